@@ -1,10 +1,12 @@
 from delaystats.functions.columns import (
     all_not_null,
     hhmm_minutes,
+    hhmm_valid,
     parse_date,
     try_float,
     try_int,
+    valid_date,
     zero_sum,
 )
 
-__all__ = ["all_not_null", "hhmm_minutes", "parse_date", "try_float", "try_int", "zero_sum"]
+__all__ = ["all_not_null", "hhmm_minutes", "hhmm_valid", "parse_date", "try_float", "try_int", "valid_date", "zero_sum"]

@@ -25,26 +25,46 @@ def try_float(c: ColumnLike) -> Column:
     return _col(c).try_cast("float")
 
 
+# Valid HHMM text of 1-4 digits, read left-padded to four: hour 00-23,
+# minute 00-59.  One anchored regex, so validity costs a single match.
+HHMM_PATTERN = r"^(?:[0-9]|[0-5][0-9]|[0-9][0-5][0-9]|(?:[01][0-9]|2[0-3])[0-5][0-9])$"
+
+
+def hhmm_valid(c: ColumnLike) -> Column:
+    return _col(c).rlike(HHMM_PATTERN)
+
+
 def hhmm_minutes(c: ColumnLike) -> Column:
     """``HHMM`` text (1-4 digits, left-padded) to minutes after midnight.
 
     ``"905"`` is 09:05 = 545, ``"55"`` is 00:55 = 55; ``"2400"``, ``"2460"``,
     ``"NA"``, ``""`` and anything over four digits give NULL.
     """
-    s = _col(c)
-    padded = F.lpad(s, 4, "0")
+    padded = F.lpad(_col(c), 4, "0")
     hours = padded.substr(1, 2).try_cast("int")
     minutes = padded.substr(3, 2).try_cast("int")
-    ok = s.rlike(r"^[0-9]{1,4}$") & (hours < 24) & (minutes < 60)
-    return F.when(ok, hours * 60 + minutes).cast("int")
+    return F.when(hhmm_valid(c), hours * 60 + minutes).cast("int")
+
+
+def days_in_month(year: ColumnLike, month: ColumnLike) -> Column:
+    y, m = _col(year), _col(month)
+    leap = ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
+    return (F.when(m == 2, F.when(leap, 29).otherwise(28))
+            .when(m.isin(4, 6, 9, 11), 30)
+            .otherwise(31))
+
+
+def valid_date(year: ColumnLike, month: ColumnLike, day: ColumnLike) -> Column:
+    """The integer parts name a real calendar date (integer arithmetic only)."""
+    y, m, d = _col(year), _col(month), _col(day)
+    return (F.coalesce(y.between(1, 9999) & m.between(1, 12)
+                       & d.between(F.lit(1), days_in_month(y, m)), F.lit(False)))
 
 
 def parse_date(year: ColumnLike, month: ColumnLike, day: ColumnLike) -> Column:
     """Calendar date from integer parts; NULL if the parts are no real date."""
     y, m, d = _col(year), _col(month), _col(day)
-    text = F.concat(y.cast("string"), F.lit("-"), m.cast("string"), F.lit("-"), d.cast("string"))
-    in_range = y.between(1, 9999) & m.between(1, 12) & d.between(1, 31)
-    return F.when(in_range, F.try_to_date(text, "y-M-d"))
+    return F.when(valid_date(y, m, d), F.make_date(y, m, d))
 
 
 def zero_sum(c: ColumnLike) -> Column:

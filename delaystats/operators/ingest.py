@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from delaystats.functions import hhmm_minutes, parse_date, try_int
+from delaystats.functions import hhmm_minutes, hhmm_valid, parse_date, try_int, valid_date
 from delaystats.schema import COLUMNS, FANOUT_YEARS, HHMM_COLUMNS, INT_COLUMNS_V5
 
 REASON = "reject_reason"
@@ -25,10 +25,10 @@ def _passthrough(df: DataFrame) -> list[str]:
 
 
 def _first_failure(checks: list[tuple[str, Column]], shape_ok: Column | None) -> Column:
-    """Name of the first check (in column order) whose converted value is NULL."""
+    """Name of the first check (in column order) that fails."""
     reason = F.lit(None).cast("string")
-    for name, converted in reversed(checks):
-        reason = F.when(converted.isNull(), F.lit(name)).otherwise(reason)
+    for name, ok in reversed(checks):
+        reason = F.when(~ok, F.lit(name)).otherwise(reason)
     if shape_ok is not None:
         reason = F.when(~shape_ok, F.lit("shape")).otherwise(reason)
     return reason
@@ -38,19 +38,25 @@ def _shape_ok(df: DataFrame) -> Column | None:
     return F.col(CORRUPT).isNull() if CORRUPT in df.columns else None
 
 
-def v1_conversions() -> list[tuple[str, Column]]:
-    """(output column, converted value) of the v1 typed row, in check order."""
-    conv = [
-        ("flightdate", parse_date(try_int("year"), try_int("month"), try_int("day"))),
-        ("dayofweek", try_int("dayofweek")),
-    ]
-    conv += [(c, hhmm_minutes(c)) for c in HHMM_COLUMNS]
-    conv += [("arrdelay", try_int("arrdelay")), ("depdelay", try_int("depdelay"))]
+def _not_null(c: Column) -> Column:
+    return c.isNotNull()
+
+
+def v1_conversions() -> list[tuple[str, Column, Column]]:
+    """(output column, converted value, accept check) of the v1 typed row,
+    in check order.  Checks are cheap predicates on the raw text where one
+    exists: a filter gets no common-subexpression sharing, so it must not
+    re-run whole conversions."""
+    ymd = try_int("year"), try_int("month"), try_int("day")
+    conv = [("flightdate", parse_date(*ymd), valid_date(*ymd))]
+    conv += [(c, try_int(c), _not_null(try_int(c))) for c in ["dayofweek"]]
+    conv += [(c, hhmm_minutes(c), F.coalesce(hhmm_valid(c), F.lit(False))) for c in HHMM_COLUMNS]
+    conv += [(c, try_int(c), _not_null(try_int(c))) for c in ["arrdelay", "depdelay"]]
     return conv
 
 
-def v5_conversions() -> list[tuple[str, Column]]:
-    return [(c, try_int(c)) for c in INT_COLUMNS_V5]
+def v5_conversions() -> list[tuple[str, Column, Column]]:
+    return [(c, try_int(c), _not_null(try_int(c))) for c in INT_COLUMNS_V5]
 
 
 @dataclass
@@ -78,8 +84,9 @@ def classify(raw: DataFrame, variant: str = "v5") -> Classified:
     both delays; 29 columns.
     """
     conversions = v1_conversions() if variant == "v1" else v5_conversions()
-    converted = dict(conversions)
-    frame = raw.withColumn(REASON, _first_failure(conversions, _shape_ok(raw)))
+    converted = {name: value for name, value, _ in conversions}
+    checks = [(name, ok) for name, _, ok in conversions]
+    frame = raw.withColumn(REASON, _first_failure(checks, _shape_ok(raw)))
     extra = _passthrough(raw)
     if variant == "v1":
         order = ["flightdate"] + COLUMNS[3:]

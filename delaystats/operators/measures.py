@@ -189,8 +189,9 @@ def range_sums(spark: SparkSession, df: DataFrame, carrier: str,
     n_rows = sum((hi.year - lo.year) * 12 + hi.month - lo.month + 1 for lo, hi in spans if hi >= lo)
     if n_rows > MAX_RANGE_MONTH_ROWS:
         raise ValueError(f"{n_rows} range-month rows: pass fewer or shorter ranges")
-    rng = spark.createDataFrame([(i + 1, lo, hi) for i, (lo, hi) in enumerate(spans)],
-                                "range_id int, lo date, hi date")
+    rng = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(i + 1).alias("range_id"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
+        for i, (lo, hi) in enumerate(spans)])))
     by_month = (rng.where(F.col("hi") >= F.col("lo"))
                 .select("range_id", "lo", "hi",
                         F.explode(F.sequence(F.trunc("lo", "MM"), F.trunc("hi", "MM"),

@@ -47,7 +47,17 @@ FLIGHT_COLUMNS = ["year", "month", "day", "uniquecarrier", "flightnum", "deptime
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A driver table; spread over all cores if its files give fewer splits.
+
+    A small Parquet file with one row group scans as one task; the per-row
+    text building and conversion after it would then run on one core.  Large
+    inputs already have more splits than cores and are left alone.
+    """
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def _s(c) -> F.Column:
