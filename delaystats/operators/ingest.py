@@ -113,22 +113,28 @@ def load_counts(raw: DataFrame, variant: str = "v5") -> DataFrame:
     )
 
 
-def observed_load(raw: DataFrame, variant: str = "v5") -> tuple[DataFrame, DataFrame, Observation]:
-    """Like :func:`typed_load`, but counts rows while the load runs.
-
-    The returned ``Observation`` is filled by whatever action consumes the
-    accepted rows (typically the layout write): no second pass to count.
+def load_layout(raw: DataFrame, path: str, variant: str = "v5",
+                rejects_path: str | None = None, **layout_options) -> dict[str, int]:
+    """Typed load of ``raw`` into the keyed layout at ``path``.
+
+    Rows are counted while they are written (``Observation`` on the write
+    job itself, no second pass over the accepted rows).  Rejected rows are
+    written to ``rejects_path`` with their reason when given, else counted.
+    Returns ``{"loaded": n, "rejected": m}``.
     """
+    from delaystats.sources.layout import write_partitioned
+
     c = classify(raw, variant)
-    obs = Observation("load")
-    bad = F.col(REASON).isNotNull()
-    observed = c.frame.observe(
-        obs,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(bad).alias("rejected"),
-    )
-    good = observed.where(~bad).select(*c.typed)
-    return good, c.rejects, obs
+    loaded = Observation("loaded")
+    write_partitioned(c.good, path, observation=loaded, **layout_options)
+    if rejects_path is not None:
+        rejected = Observation("rejected")
+        (c.rejects.observe(rejected, F.count(F.lit(1)).alias("rows"))
+         .write.mode("append").parquet(rejects_path))
+        n_rejected = rejected.get["rows"]
+    else:
+        n_rejected = c.rejects.count()
+    return {"loaded": loaded.get["rows"], "rejected": n_rejected}
 
 
 def year_fanout(df: DataFrame, years: tuple[int, int] = FANOUT_YEARS) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,10 +28,19 @@ from delaystats.schema import LOAD_BATCH_ROWS
 def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("year", "month"),
                       cluster_by: tuple[str, ...] = ("uniquecarrier", "flightnum", "day"),
                       max_records_per_file: int = LOAD_BATCH_ROWS, mode: str = "append",
-                      num_partitions: int | None = None) -> str:
+                      num_partitions: int | None = None,
+                      observation: Observation | None = None) -> str:
+    """Write ``df`` as a keyed layout.
+
+    ``observation`` (if given) counts the written rows.  It is attached
+    *after* the range exchange: the range sampler runs the plan below the
+    exchange as an extra job, and metrics collected there would count twice.
+    """
     key = [*partition_by, *cluster_by]
     ranged = (df.repartitionByRange(num_partitions, *key) if num_partitions
               else df.repartitionByRange(*key))
+    if observation is not None:
+        ranged = ranged.observe(observation, F.count(F.lit(1)).alias("rows"))
     (ranged.sortWithinPartitions(*key)
      .write.mode(mode)
      .partitionBy(*partition_by)
