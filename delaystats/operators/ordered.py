@@ -10,9 +10,9 @@ task never finishes.  Here the work is split by range instead:
    the full, unique sort key, so a hot scope is cut across many tasks.
 2. One Arrow-batched ``mapInPandas`` pass per range partition computes
    breaks, local run numbers and per-run partial sums (*pieces*) in order,
-   carrying state across batches.  Its output is checkpointed to the shared
-   checkpoint folder: computed once, lineage cut, consistent for the two
-   consumers below, and safe against executor loss.
+   carrying state across batches.  Its output is written once as a table in
+   the shared checkpoint folder: computed once, lineage cut, consistent for
+   the two consumers below, and safe against executor loss.
 3. A per-(partition, scope) *segment* summary (at most partitions + scopes
    rows) gets run offsets by a window over segments of a scope: a run
    continues across a partition boundary when the last key of the previous
@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from delaystats.session import scratch_path
+
 PID = "_pid"
 # Segment tables smaller than this are broadcast; otherwise a shuffle join.
 SEGMENT_BROADCAST_ROWS = 200_000
@@ -148,6 +150,18 @@ def _finish_pieces(df: pd.DataFrame, pid: int, scope: list[str], key: str) -> pd
     })
 
 
+def _materialize(df: DataFrame, what: str) -> DataFrame:
+    """Write ``df`` once as Parquet below the shared checkpoint folder and
+    read it back: one job, lineage cut, both consumers see the same rows.
+
+    (An eager ``checkpoint()`` of a non-persisted frame would compute the
+    Python pass twice: once to count, once to write the checkpoint.)
+    """
+    path = scratch_path(df.sparkSession, what)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _field(df: DataFrame, name: str) -> T.StructField:
     return next(f for f in df.schema.fields if f.name == name)
 
@@ -163,7 +177,7 @@ def _small_join(big: DataFrame, small: DataFrame, on: list[str], max_rows: int)
 class Spans:
     """Run pieces of a frame plus their segment offsets (see module doc)."""
 
-    pieces: DataFrame      # checkpointed: PID, scope, local_run, key, total, n
+    pieces: DataFrame      # materialized: PID, scope, local_run, key, total, n
     segments: DataFrame    # PID, scope, n_runs, first_key, last_key, cont, offset, next_cont
     scope: list[str]
     key: str
@@ -193,7 +207,8 @@ def span_by(df: DataFrame, key: str, order: Sequence[str], within: Sequence[str]
     ``within`` scope) and sum ``value`` per run.
 
     ``order`` must be a total order inside the scope; runs never cross a
-    scope boundary.  The pieces are checkpointed (an action runs here).
+    scope boundary.  The pieces are written to the checkpoint folder (an
+    action runs here).
     """
     scope = list(within)
     ranged = _ranged(df, scope, order, [*scope, key, value], num_partitions)
@@ -205,7 +220,7 @@ def span_by(df: DataFrame, key: str, order: Sequence[str], within: Sequence[str]
         T.StructField("total", T.LongType(), True),
         T.StructField("n", T.LongType(), False),
     ])
-    pieces = ranged.mapInPandas(_span_pieces(scope, key, value), schema).checkpoint(eager=True)
+    pieces = _materialize(ranged.mapInPandas(_span_pieces(scope, key, value), schema), "spans")
 
     w = Window.partitionBy(*scope).orderBy(PID)
     segs = (pieces.groupBy(PID, *scope)
@@ -257,7 +272,7 @@ def ordinal_within(df: DataFrame, within: Sequence[str], order: Sequence[str],
     cols = list(df.columns)
     ranged = _ranged(df, scope, order, cols, num_partitions)
     schema = T.StructType([*ranged.schema.fields, T.StructField("local_pos", T.LongType(), False)])
-    local = ranged.mapInPandas(_local_positions(scope), schema).checkpoint(eager=True)
+    local = _materialize(ranged.mapInPandas(_local_positions(scope), schema), "ordinals")
     w = Window.partitionBy(*scope).orderBy(PID)
     segs = (local.groupBy(PID, *scope).agg(F.max("local_pos").alias("rows"))
             .withColumn("offset", F.coalesce(

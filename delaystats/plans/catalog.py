@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import os
 import threading
 from collections.abc import Callable
 
@@ -47,7 +48,7 @@ _LOCK = threading.Lock()
 
 
 def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], object]):
-    key = (spark.sparkContext.applicationId, store_path(spark, sf_dir), what)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), what)
     with _LOCK:
         if key not in _STAGED:
             _STAGED[key] = make()
@@ -73,6 +74,20 @@ def bucketed_table(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "bucketed", make)
 
 
+def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged CSV files loaded incrementally (four files per micro-batch)."""
+    from delaystats.streaming import ingest as streaming
+
+    table, rejects = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-rejects")
+    q = streaming.start_stream_load(spark, staged_csv(spark, sf_dir), table, rejects,
+                                    scratch_path(spark, "stream-ckpt"), variant="v5",
+                                    extra=SEQ_SCHEMA, max_files_per_trigger=4)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return streaming.read_loaded(spark, table, STORE_SCHEMA).select(*COLUMNS, *SEQ)
+
+
 def _spans(spark: SparkSession, sf_dir: str) -> ordered.Spans:
     return ordered.span_by(flight_store(spark, sf_dir), key="uniquecarrier", order=RUN_ORDER,
                            within=["year", "month"], value="arrdelay")
@@ -219,6 +234,7 @@ QUERIES: dict[str, Query] = {
     "layout_partitioned": layout_partitioned,
     "layout_bucketed": layout_bucketed,
     "load_counters": lambda spark, sf: ingest.load_counts(flights_raw(spark, sf), "v5"),
+    "stream_load": stream_load,
     "cached_filter_sum": cached_filter_sum,
     "cached_span_sum": cached_span_sum,
 }

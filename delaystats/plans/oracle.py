@@ -227,6 +227,8 @@ WHERE rank <= {TOP_N}""",
         "load_counters": f"SELECT CAST(count(*) FILTER (WHERE {_ok(V5_SQL)}) AS BIGINT) AS loaded, "
                          f"CAST(count(*) FILTER (WHERE NOT ({_ok(V5_SQL)})) AS BIGINT) AS rejected "
                          f"FROM flights_raw",
+        "stream_load": f"SELECT {_typed_select(V5_SQL, COLUMNS)}, {SEQ_SQL} "
+                       f"FROM flights_raw WHERE {_ok(V5_SQL)}",
         "cached_filter_sum": f"SELECT {zsum} AS total FROM flights WHERE {yc}",
         "cached_span_sum": span,
     }
