@@ -63,17 +63,23 @@ def staged_csv(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "csv", make)
 
 
-def bucketed_table(spark: SparkSession, sf_dir: str) -> str:
+def bucketed_table(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """The keyed table bucketed on (carrier, flightnum), sorted by the day key."""
     def make():
         path = scratch_path(spark, "bucketed")
         name = "delaystats_bucketed_" + hashlib.sha1(path.encode()).hexdigest()[:12]
-        return layout.write_bucketed(flight_store(spark, sf_dir), name, path, BUCKETS,
-                                     bucket_by=("uniquecarrier", "flightnum"),
-                                     sort_by=("uniquecarrier", "flightnum", "year", "month", "day"))
+        layout.write_bucketed(flight_store(spark, sf_dir), name, path, BUCKETS,
+                              bucket_by=("uniquecarrier", "flightnum"),
+                              sort_by=("uniquecarrier", "flightnum", "year", "month", "day"))
+        return name, path
     return _once(spark, sf_dir, "bucketed", make)
 
 
+def bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, path = bucketed_table(spark, sf_dir)
+    return layout.read_bucketed(spark, name, path, BUCKETS)
+
+
 def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staged CSV files loaded incrementally (four files per micro-batch)."""
     from delaystats.streaming import ingest as streaming
@@ -168,13 +174,13 @@ def layout_partitioned(spark, sf):
 
 
 def layout_bucketed(spark, sf):
-    return (spark.table(bucketed_table(spark, sf)).groupBy("uniquecarrier", "flightnum")
+    return (bucketed(spark, sf).groupBy("uniquecarrier", "flightnum")
             .agg(F.count(F.lit(1)).cast("bigint").alias("n"),
                  F.sum("arrdelay").cast("double").alias("total")))
 
 
 def bucketed_upsert_day(spark, sf):
-    return _upsert_cols(upsert.upsert(spark.table(bucketed_table(spark, sf)), KEY_BY_DAY, SEQ))
+    return _upsert_cols(upsert.upsert(bucketed(spark, sf), KEY_BY_DAY, SEQ))
 
 
 def clustered_scan(spark, sf):

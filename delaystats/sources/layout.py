@@ -61,6 +61,40 @@ def write_bucketed(df: DataFrame, table: str, path: str, buckets: int,
     return table
 
 
+def bucket_bytes(spark: SparkSession, path: str) -> DataFrame:
+    """Bytes per bucket of a bucketed layout, from a metadata-only listing
+    (``binaryFile`` reads no content when ``content`` is not selected)."""
+    files = (spark.read.format("binaryFile")
+             .option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.parquet")
+             .load(path).select("path", "length"))
+    bucket = F.regexp_extract("path", r"_(\d{5})\.c\d{3}", 1).cast("int")
+    return files.groupBy(bucket.alias("bucket")).agg(F.sum("length").alias("bytes"))
+
+
+# A bucket larger than this many times its fair share (and than the floor)
+# is too big for the one task a bucketed scan gives it.
+SKEW_FACTOR = 3.0
+SKEW_FLOOR_BYTES = 256 << 20
+
+
+def read_bucketed(spark: SparkSession, table: str, path: str, buckets: int,
+                  factor: float = SKEW_FACTOR, floor_bytes: int = SKEW_FLOOR_BYTES) -> DataFrame:
+    """The bucketed table, scanned by bucket unless one bucket is hot.
+
+    A bucketed scan reads each bucket in exactly one task: shuffle-free, but
+    a hot key makes that one task hold its whole bucket.  When the largest
+    bucket exceeds ``factor`` x its fair share, read the same files as plain
+    Parquet instead: files split across tasks, and the consumer's partial
+    aggregation / partial window limit absorbs the hot key before its shuffle.
+    """
+    stats = bucket_bytes(spark, path).agg(F.max("bytes").alias("mx"), F.sum("bytes").alias("tot")).first()
+    mx, tot = (stats["mx"] or 0), (stats["tot"] or 0)
+    if mx > floor_bytes and mx > factor * tot / max(buckets, 1):
+        return spark.read.schema(spark.table(table).schema).parquet(path)
+    return spark.table(table)
+
+
 def read_layout(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a layout with its declared schema (partition values keep types)."""
     return spark.read.schema(schema).parquet(path)

@@ -58,3 +58,16 @@ def test_no_python_udf_in_measures(spark):
     for name in ("partition_sum", "split_sum", "carrier_sum", "grid_sum", "typed_load"):
         p = plan(spark, name)
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_hot_bucket_falls_back_to_split_scan(spark):
+    from delaystats.plans import catalog
+    name, path = catalog.bucketed_table(spark, SF_SMALL)
+    sizes = layout.bucket_bytes(spark, path).collect()
+    assert len(sizes) == catalog.BUCKETS and all(r["bytes"] > 0 for r in sizes)
+    normal = layout.read_bucketed(spark, name, path, catalog.BUCKETS)
+    forced = layout.read_bucketed(spark, name, path, catalog.BUCKETS, factor=0.5, floor_bytes=0)
+    agg = lambda df: df.groupBy("uniquecarrier", "flightnum").count()
+    assert "Exchange" not in plan_text(agg(normal))
+    assert "Exchange" in plan_text(agg(forced)) and "hashpartitioning" in plan_text(agg(forced))
+    assert sorted(map(tuple, agg(normal).collect())) == sorted(map(tuple, agg(forced).collect()))
