@@ -6,10 +6,9 @@ clustering columns.  Here a keyed table is a Parquet directory:
 * ``write_partitioned``: directories per partition-key value (default
   ``year/month``: one directory per month keeps files large at any scale),
   rows sorted by the clustering columns inside each file so that row-group
-  statistics prune on them.  Rows are range-partitioned on the full
-  (partition + clustering) key first: tasks are balanced by sampling even
-  when one key value holds a third of the data, and each task writes a
-  contiguous key range (few files per task, no tasks x keys explosion).
+  statistics prune on them.  Rows are rebalanced on the partition key first
+  (AQE splits an oversized directory across tasks), so each task writes few
+  directories: no tasks x keys file explosion, no single-task hot month.
 * ``write_bucketed``: hash buckets on a high-cardinality key, sorted inside;
   a later ``groupBy``/join on the bucket column needs no shuffle.
 """
@@ -25,23 +24,41 @@ from pyspark.sql import types as T
 from delaystats.schema import LOAD_BATCH_ROWS
 
 
+def _aqe_on(spark: SparkSession) -> bool:
+    return str(spark.conf.get("spark.sql.adaptive.enabled", "true")).lower() == "true"
+
+
 def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("year", "month"),
                       cluster_by: tuple[str, ...] = ("uniquecarrier", "flightnum", "day"),
                       max_records_per_file: int = LOAD_BATCH_ROWS, mode: str = "append",
                       num_partitions: int | None = None,
                       observation: Observation | None = None) -> str:
-    """Write ``df`` as a keyed layout.
+    """Write ``df`` as a keyed layout: ``partitionBy`` directories, files
+    sorted by the clustering columns.
+
+    With AQE on, rows are *rebalanced* on the partition key: one shuffle, no
+    sampling pass over the input, tasks get whole directories (one file per
+    directory and task), and AQE splits a directory that is too big for one
+    task (a month holding a third of the data) by map-output size.  Without
+    AQE, or with an explicit ``num_partitions``, the rows are range-partitioned
+    on the full (partition + clustering) key instead: balanced by sampling,
+    at the price of a sampling pass over the input.
 
     ``observation`` (if given) counts the written rows.  It is attached
-    *after* the range exchange: the range sampler runs the plan below the
-    exchange as an extra job, and metrics collected there would count twice.
+    *after* the exchange: a range sampler runs the plan below the exchange
+    as an extra job, and metrics collected there would count twice.
     """
+    spark = df.sparkSession
     key = [*partition_by, *cluster_by]
-    ranged = (df.repartitionByRange(num_partitions, *key) if num_partitions
-              else df.repartitionByRange(*key))
+    if num_partitions is None and _aqe_on(spark):
+        spread = df.hint("rebalance", *partition_by)
+    elif num_partitions:
+        spread = df.repartitionByRange(num_partitions, *key)
+    else:
+        spread = df.repartitionByRange(*key)
     if observation is not None:
-        ranged = ranged.observe(observation, F.count(F.lit(1)).alias("rows"))
-    (ranged.sortWithinPartitions(*key)
+        spread = spread.observe(observation, F.count(F.lit(1)).alias("rows"))
+    (spread.sortWithinPartitions(*key)
      .write.mode(mode)
      .partitionBy(*partition_by)
      .option("maxRecordsPerFile", max_records_per_file)

@@ -128,3 +128,26 @@ def test_year_fanout(spark, tmpdir_path):
     assert out.count() == 15
     assert sorted({r["year"] for r in out.collect()}) == [2007, 2008, 2009, 2010, 2011]
     assert out.columns == good.columns
+
+
+def test_hot_month_is_split_across_writers(spark, tmpdir_path):
+    """A month holding most rows is written by several tasks, not one."""
+    from pyspark.sql import functions as F
+    from delaystats.sources.layout import write_partitioned
+    n = 200_000
+    df = (spark.range(n).select(
+        F.when(F.col("id") % 10 < 8, F.lit(7)).otherwise((F.col("id") % 12 + 1).cast("int")).alias("month"),
+        F.lit(1997).alias("year"), (F.col("id") % 20).cast("string").alias("uniquecarrier"),
+        (F.col("id") % 500).cast("string").alias("flightnum"), (F.col("id") % 28 + 1).alias("day"),
+        F.col("id")))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        out = os.path.join(tmpdir_path, "hot")
+        write_partitioned(df, out, mode="overwrite")
+    finally:
+        spark.conf.set(key, old)
+    hot = os.path.join(out, "year=1997", "month=7")
+    assert len([f for f in os.listdir(hot) if f.endswith(".parquet")]) > 1
+    assert spark.read.parquet(out).count() == n
