@@ -13,8 +13,9 @@ task never finishes.  Here the work is split by range instead:
    carrying state across batches.  Its output is written once as a table in
    the shared checkpoint folder: computed once, lineage cut, consistent for
    the two consumers below, and safe against executor loss.
-3. A per-(partition, scope) *segment* summary (at most partitions + scopes
-   rows) gets run offsets by a window over segments of a scope: a run
+3. The same pass emits one summary row per (partition, scope) *segment* (at
+   most partitions + scopes rows; stored apart, read back pruned).  Segments
+   get run offsets by a window over segments of a scope: a run
    continues across a partition boundary when the last key of the previous
    segment equals the first key of this one.
 4. Pieces get their global run number by joining their segment's offset.
@@ -66,22 +67,29 @@ def _changes(a: np.ndarray, prev, has_prev: bool, null_breaks: bool) -> np.ndarr
 
 
 def _span_pieces(scope: list[str], key: str, value: str):
-    """mapInPandas body: ordered rows of one range partition -> run pieces."""
+    """mapInPandas body: ordered rows of one range partition -> run pieces
+    (``kind`` 0) and one summary row per (partition, scope) segment (``kind``
+    1: ``local_run`` = runs in the segment, ``key`` / ``last_key`` = first /
+    last key, ``n`` = rows)."""
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         has_prev = False
         prev_scope: list = []
         prev_key = None
         seg_runs = 0          # runs so far in the open segment
-        pending: dict | None = None
+        pending: dict | None = None     # open (last) piece
+        open_seg: dict | None = None    # open (last) segment
+        pid = 0
 
         for pdf in batches:
             n = len(pdf)
             if n == 0:
                 continue
+            pid = int(pdf[PID].iloc[0])
+            scope_vals = {c: pdf[c].to_numpy() for c in scope}
             scope_ch = np.zeros(n, dtype=bool)
             for i, c in enumerate(scope):
-                scope_ch |= _changes(pdf[c].to_numpy(), prev_scope[i] if has_prev else None,
+                scope_ch |= _changes(scope_vals[c], prev_scope[i] if has_prev else None,
                                      has_prev, null_breaks=False)
             k = pdf[key].to_numpy()
             brk = scope_ch | _changes(k, prev_key, has_prev, null_breaks=True)
@@ -95,6 +103,7 @@ def _span_pieces(scope: list[str], key: str, value: str):
             runs = pd.Series(brk.astype(np.int64)).groupby(seg_idx).cumsum().to_numpy()
             runs = runs + np.where(seg_idx == 0, seg_runs, 0)
 
+            # -- pieces: one per run start in this batch -------------------
             starts = np.flatnonzero(brk)
             if not brk[0]:
                 starts = np.concatenate(([0], starts))
@@ -103,7 +112,7 @@ def _span_pieces(scope: list[str], key: str, value: str):
             nn = np.add.reduceat(present.astype(np.int64), starts)
             cnt = ends - starts
 
-            piece = pd.DataFrame({c: pdf[c].to_numpy()[starts] for c in scope})
+            piece = pd.DataFrame({c: scope_vals[c][starts] for c in scope})
             piece["local_run"] = runs[starts]
             piece[key] = k[starts]
             piece["total"] = sums
@@ -125,32 +134,65 @@ def _span_pieces(scope: list[str], key: str, value: str):
                     out.append(done)
                 pending = piece.iloc[-1].to_dict()
 
+            # -- segments: one per scope start in this batch ----------------
+            s0 = np.flatnonzero(scope_ch)
+            head_end = s0[0] if len(s0) else n      # rows continuing the open segment
+            if head_end > 0:
+                open_seg["last_key"] = k[head_end - 1]
+                open_seg["local_run"] = int(runs[head_end - 1])
+                open_seg["n"] += int(head_end)
+            closed = []
+            if len(s0):
+                if open_seg is not None:
+                    closed.append(pd.DataFrame([open_seg]))
+                e0 = np.append(s0[1:], n)
+                segs = pd.DataFrame({c: scope_vals[c][s0] for c in scope})
+                segs["local_run"] = runs[e0 - 1]
+                segs[key] = k[s0]
+                segs["last_key"] = k[e0 - 1]
+                segs["n"] = e0 - s0
+                if len(segs) > 1:
+                    closed.append(segs.iloc[:-1])
+                open_seg = segs.iloc[-1].to_dict()
+
             has_prev = True
-            prev_scope = [pdf[c].iloc[-1] for c in scope]
+            prev_scope = [scope_vals[c][-1] for c in scope]
             prev_key = k[-1]
             seg_runs = int(runs[-1])
-            pid = int(pdf[PID].iloc[0])
             for o in out:
-                yield _finish_pieces(o, pid, scope, key)
+                yield _finish(o, pid, scope, key, kind=0)
+            for o in closed:
+                yield _finish(o, pid, scope, key, kind=1)
         if pending is not None:
-            yield _finish_pieces(pd.DataFrame([pending]), pid, scope, key)
+            yield _finish(pd.DataFrame([pending]), pid, scope, key, kind=0)
+        if open_seg is not None:
+            yield _finish(pd.DataFrame([open_seg]), pid, scope, key, kind=1)
 
     return fn
 
 
-def _finish_pieces(df: pd.DataFrame, pid: int, scope: list[str], key: str) -> pd.DataFrame:
-    total = df["total"].astype("Int64").where(df["_nn"] > 0)
+def _finish(df: pd.DataFrame, pid: int, scope: list[str], key: str, kind: int) -> pd.DataFrame:
+    df = df.reset_index(drop=True)
+    m = len(df)
+    if kind == 0:
+        total = df["total"].astype("Int64").where(df["_nn"] > 0)
+        last_key = pd.Series([None] * m, dtype=object)
+    else:
+        total = pd.Series([None] * m, dtype="Int64")
+        last_key = df["last_key"].to_numpy()
     return pd.DataFrame({
-        PID: np.full(len(df), pid, dtype=np.int32),
+        PID: np.full(m, pid, dtype=np.int32),
         **{c: df[c].to_numpy() for c in scope},
+        "kind": np.full(m, kind, dtype=np.int32),
         "local_run": df["local_run"].astype(np.int64).to_numpy(),
         key: df[key].to_numpy(),
+        "last_key": last_key,
         "total": total,
         "n": df["n"].astype(np.int64).to_numpy(),
     })
 
 
-def _materialize(df: DataFrame, what: str) -> DataFrame:
+def _materialize(df: DataFrame, what: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once as Parquet below the shared checkpoint folder and
     read it back: one job, lineage cut, both consumers see the same rows.
 
@@ -158,7 +200,7 @@ def _materialize(df: DataFrame, what: str) -> DataFrame:
     Python pass twice: once to count, once to write the checkpoint.)
     """
     path = scratch_path(df.sparkSession, what)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -207,26 +249,30 @@ def span_by(df: DataFrame, key: str, order: Sequence[str], within: Sequence[str]
     ``within`` scope) and sum ``value`` per run.
 
     ``order`` must be a total order inside the scope; runs never cross a
-    scope boundary.  The pieces are written to the checkpoint folder (an
-    action runs here).
+    scope boundary.  Pieces and segment summaries are written once to the
+    checkpoint folder (an action runs here).
     """
     scope = list(within)
     ranged = _ranged(df, scope, order, [*scope, key, value], num_partitions)
+    key_field = _field(df, key)
     schema = T.StructType([
         T.StructField(PID, T.IntegerType(), False),
         *[_field(df, c) for c in scope],
+        T.StructField("kind", T.IntegerType(), False),
         T.StructField("local_run", T.LongType(), False),
-        _field(df, key),
+        key_field,
+        T.StructField("last_key", key_field.dataType, True),
         T.StructField("total", T.LongType(), True),
         T.StructField("n", T.LongType(), False),
     ])
-    pieces = _materialize(ranged.mapInPandas(_span_pieces(scope, key, value), schema), "spans")
+    out = _materialize(ranged.mapInPandas(_span_pieces(scope, key, value), schema), "spans",
+                       partition_by=["kind"])
+    pieces = out.where(F.col("kind") == 0).select(PID, *scope, "local_run", key, "total", "n")
 
     w = Window.partitionBy(*scope).orderBy(PID)
-    segs = (pieces.groupBy(PID, *scope)
-            .agg(F.max("local_run").alias("n_runs"),
-                 F.min_by(key, "local_run").alias("first_key"),
-                 F.max_by(key, "local_run").alias("last_key")))
+    segs = out.where(F.col("kind") == 1).select(
+        PID, *scope, F.col("local_run").alias("n_runs"),
+        F.col(key).alias("first_key"), "last_key")
     cont = F.coalesce((F.lag("last_key").over(w) == F.col("first_key")).cast("int"), F.lit(0))
     segs = segs.withColumn("cont", cont)
     segs = (segs.withColumn("offset", F.coalesce(
