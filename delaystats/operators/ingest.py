@@ -117,14 +117,31 @@ def load_layout(raw: DataFrame, path: str, variant: str = "v5",
                 rejects_path: str | None = None, **layout_options) -> dict[str, int]:
     """Typed load of ``raw`` into the keyed layout at ``path``.
 
-    Rows are counted while they are written (``Observation`` on the write
-    job itself, no second pass over the accepted rows).  Rejected rows are
-    written to ``rejects_path`` with their reason when given, else counted.
-    Returns ``{"loaded": n, "rejected": m}``.
+    Rows are counted while they are written: an ``Observation`` on the write
+    job itself counts loaded and rejected rows in the same pass.  Rejected
+    rows are written to ``rejects_path`` with their reason when given, and
+    only if there are any (that costs a second pass over the input, which a
+    clean load never pays).  Returns ``{"loaded": n, "rejected": m}``.
+
+    When the layout writer samples its input (no AQE, or a fixed partition
+    count), metrics below its exchange would count twice; then the accepted
+    rows are observed after the exchange and the rejects counted apart.
     """
-    from delaystats.sources.layout import write_partitioned
+    from delaystats.sources.layout import samples_input, write_partitioned
 
     c = classify(raw, variant)
+    bad = F.col(REASON).isNotNull()
+    if not samples_input(raw.sparkSession, layout_options.get("num_partitions")):
+        obs = Observation("load")
+        observed = c.frame.observe(obs, F.count(F.lit(1)).alias("rows"),
+                                   F.count_if(bad).alias("rejected"))
+        write_partitioned(observed.where(~bad).select(*c.typed), path, **layout_options)
+        n_rejected = obs.get["rejected"]
+        n_loaded = obs.get["rows"] - n_rejected
+        if rejects_path is not None and n_rejected:
+            c.rejects.write.mode("append").parquet(rejects_path)
+        return {"loaded": n_loaded, "rejected": n_rejected}
+
     loaded = Observation("loaded")
     write_partitioned(c.good, path, observation=loaded, **layout_options)
     if rejects_path is not None:

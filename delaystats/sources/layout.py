@@ -28,6 +28,12 @@ def _aqe_on(spark: SparkSession) -> bool:
     return str(spark.conf.get("spark.sql.adaptive.enabled", "true")).lower() == "true"
 
 
+def samples_input(spark: SparkSession, num_partitions: int | None = None) -> bool:
+    """Whether ``write_partitioned`` will run a range-sampling pass over its
+    input (metrics observed below its exchange would then count twice)."""
+    return bool(num_partitions) or not _aqe_on(spark)
+
+
 def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("year", "month"),
                       cluster_by: tuple[str, ...] = ("uniquecarrier", "flightnum", "day"),
                       max_records_per_file: int = LOAD_BATCH_ROWS, mode: str = "append",

@@ -120,6 +120,13 @@ def test_load_layout_counts_during_write(spark, bad_csv, tmpdir_path):
     assert spark.read.parquet(out).count() == counts["loaded"]
     assert spark.read.parquet(rej).count() == counts["rejected"]
 
+    # the sampling (range) writer path gives the same counts
+    out2, rej2 = os.path.join(tmpdir_path, "out2"), os.path.join(tmpdir_path, "rejects2")
+    counts2 = ingest.load_layout(raw, out2, "v5", rejects_path=rej2, num_partitions=3,
+                                 cluster_by=("uniquecarrier", "flightnum"))
+    assert counts2 == counts
+    assert spark.read.parquet(out2).count() == counts["loaded"]
+
 
 def test_year_fanout(spark, tmpdir_path):
     p = write(tmpdir_path, "good_a.csv", [line(flightnum=str(i)) for i in range(3)])
