@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from delaystats.functions import try_int
 from delaystats.operators import ingest, measures, ordered, topk, upsert
 from delaystats.plans import oracle
-from delaystats.schema import COLUMNS, KEY_BY_DAY, KEY_BY_MONTH
+from delaystats.schema import COLUMNS, KEY_BY_DAY, KEY_BY_MONTH, LAYOUTS
 from delaystats.session import scratch_path
 from delaystats.sources import csv as csv_source
 from delaystats.sources import layout
@@ -183,6 +183,15 @@ def bucketed_upsert_day(spark, sf):
     return _upsert_cols(upsert.upsert(bucketed(spark, sf), KEY_BY_DAY, SEQ))
 
 
+def keyed_layout(table: str):
+    """Write the store as one of the keyed table variants, read it back."""
+    def run(spark, sf):
+        path = scratch_path(spark, "keyed", table)
+        layout.write_keyed(flight_store(spark, sf), LAYOUTS[table], path, SEQ)
+        return _upsert_cols(layout.read_layout(spark, path, STORE_SCHEMA))
+    return run
+
+
 def clustered_scan(spark, sf):
     rows = flight_store(spark, sf).select("year", "month", "uniquecarrier", "flightnum", "day",
                                           "arrdelay", *SEQ)
@@ -243,6 +252,8 @@ QUERIES: dict[str, Query] = {
     "keyed_upsert_day": _store(lambda s, df: _upsert_cols(upsert.upsert(df, KEY_BY_DAY, SEQ))),
     "keyed_upsert_month": _store(lambda s, df: _upsert_cols(upsert.upsert(df, KEY_BY_MONTH, SEQ))),
     "bucketed_upsert_day": bucketed_upsert_day,
+    "keyed_layout_month": keyed_layout("by_month"),
+    "keyed_layout_day": keyed_layout("by_month_day"),
     "layout_partitioned": layout_partitioned,
     "layout_bucketed": layout_bucketed,
     "load_counters": lambda spark, sf: ingest.load_counts(flights_raw(spark, sf), "v5"),

@@ -219,6 +219,8 @@ WHERE rank <= {TOP_N}""",
         "keyed_upsert_day": upsert("year, month, uniquecarrier, flightnum, day"),
         "keyed_upsert_month": upsert("year, month, uniquecarrier, flightnum"),
         "bucketed_upsert_day": upsert("year, month, uniquecarrier, flightnum, day"),
+        "keyed_layout_month": upsert("year, month, uniquecarrier, flightnum"),
+        "keyed_layout_day": upsert("year, month, uniquecarrier, flightnum, day"),
         "layout_partitioned": "SELECT year, month, CAST(count(*) AS BIGINT) AS n, "
                               "CAST(sum(arrdelay) AS DOUBLE) AS total FROM flights GROUP BY year, month",
         "layout_bucketed": "SELECT uniquecarrier, flightnum, CAST(count(*) AS BIGINT) AS n, "

@@ -52,13 +52,20 @@ class KeyedLayout:
 
 
 LAYOUTS = {
-    "airlines": KeyedLayout("airlines", ("uniquecarrier",), ("flightdate", "flightnum")),
-    "airlines3": KeyedLayout("airlines3", ("uniquecarrier",), ("year", "month", "day", "flightnum")),
-    "airlines4": KeyedLayout("airlines4", ("year", "month"), ("uniquecarrier", "flightnum")),
-    "airlines5": KeyedLayout("airlines5", ("year", "month"), ("uniquecarrier", "flightnum", "day")),
-    # The final table: partition key (year, uniquecarrier, month); clustering
-    # chosen so that (partition key + clustering) is the day-level flight key.
-    "final": KeyedLayout("final", ("year", "uniquecarrier", "month"), ("flightnum", "day")),
+    # typed v1 row; one partition per carrier, day-level flight key
+    "by_carrier": KeyedLayout("by_carrier", ("uniquecarrier",), ("flightdate", "flightnum")),
+    # all-text row; same uniqueness as by_carrier
+    "by_carrier_ymd": KeyedLayout("by_carrier_ymd", ("uniquecarrier",),
+                                  ("year", "month", "day", "flightnum")),
+    # one row per flight number and month (no day in the key)
+    "by_month": KeyedLayout("by_month", ("year", "month"), ("uniquecarrier", "flightnum")),
+    # typed ints; one row per flight number and day
+    "by_month_day": KeyedLayout("by_month_day", ("year", "month"),
+                                ("uniquecarrier", "flightnum", "day")),
+    # partition key (year, uniquecarrier, month); clustering chosen so that
+    # (partition key + clustering) is the day-level flight key
+    "by_carrier_month": KeyedLayout("by_carrier_month", ("year", "uniquecarrier", "month"),
+                                    ("flightnum", "day")),
 }
 
 # Upsert uniqueness sets.

@@ -15,13 +15,14 @@ clustering columns.  Here a keyed table is a Parquet directory:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from delaystats.schema import LOAD_BATCH_ROWS
+from delaystats.schema import LOAD_BATCH_ROWS, KeyedLayout
 
 
 def _aqe_on(spark: SparkSession) -> bool:
@@ -72,6 +73,23 @@ def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] =
     return path
 
 
+def write_keyed(df: DataFrame, table: KeyedLayout, path: str, seq: Sequence[str],
+                mode: str = "overwrite", **options) -> str:
+    """Write ``df`` as the keyed table ``table``: one row per primary key,
+    the last write (highest ``seq``) winning, partitioned by the table's
+    partition key and sorted by its clustering columns.
+
+    Two shuffles, both skew-safe: the upsert hashes on the full primary key
+    (and keeps one row per key and task before it), the layout write
+    rebalances on the partition key.
+    """
+    from delaystats.operators.upsert import upsert
+
+    latest = upsert(df, table.primary_key, seq)
+    return write_partitioned(latest, path, partition_by=table.partition,
+                             cluster_by=table.clustering, mode=mode, **options)
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, buckets: int,
                    bucket_by: str = "uniquecarrier",
                    sort_by: tuple[str, ...] = ("year", "month", "flightnum", "day")) -> str:

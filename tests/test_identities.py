@@ -93,3 +93,20 @@ def test_load_counters_add_up(spark):
     c = one(spark, "load_counters")[0]
     assert c["loaded"] == one(spark, "scan_count")[0]["n"]
     assert c["loaded"] + c["rejected"] == len(one(spark, "coerce_getters"))
+
+
+def test_every_key_variant_writes_one_row_per_key(spark, tmpdir_path):
+    import os
+    from delaystats.schema import LAYOUTS
+    from delaystats.sources import layout
+    from delaystats.sources.testdata import SEQ, STORE_SCHEMA, flight_store
+    store = flight_store(spark, SF_SMALL)
+    for name in ("by_carrier", "by_month", "by_month_day", "by_carrier_month"):
+        t = LAYOUTS[name]
+        path = os.path.join(tmpdir_path, name)
+        layout.write_keyed(store, t, path, SEQ)
+        back = layout.read_layout(spark, path, STORE_SCHEMA)
+        keys = back.select(*t.primary_key)
+        assert keys.count() == keys.distinct().count() == store.select(*t.primary_key).distinct().count()
+        assert {d for d in os.listdir(path) if "=" in d} == \
+            {f"{t.partition[0]}={r[0]}" for r in store.select(t.partition[0]).distinct().collect()}
