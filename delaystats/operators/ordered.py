@@ -284,45 +284,90 @@ def span_by(df: DataFrame, key: str, order: Sequence[str], within: Sequence[str]
 
 # -- ordinals -----------------------------------------------------------------
 
-def _local_positions(scope: list[str]):
+def _local_positions(scope: list[str], cols: list[str]):
+    """mapInPandas body: ordered rows of one range partition -> the rows with
+    their position in the (partition, scope) segment (``kind`` 0), plus one
+    row per segment with its row count in ``local_pos`` (``kind`` 1)."""
+
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         has_prev = False
         prev_scope: list = []
         pos = 0
+        open_seg: dict | None = None
+        pid = 0
         for pdf in batches:
             n = len(pdf)
             if n == 0:
                 continue
+            pid = int(pdf[PID].iloc[0])
+            scope_vals = {c: pdf[c].to_numpy() for c in scope}
             scope_ch = np.zeros(n, dtype=bool)
             for i, c in enumerate(scope):
-                scope_ch |= _changes(pdf[c].to_numpy(), prev_scope[i] if has_prev else None,
+                scope_ch |= _changes(scope_vals[c], prev_scope[i] if has_prev else None,
                                      has_prev, null_breaks=False)
             seg_idx = np.cumsum(scope_ch)
             local = pd.Series(np.ones(n, dtype=np.int64)).groupby(seg_idx).cumsum().to_numpy()
             local = local + np.where(seg_idx == 0, pos, 0)
+
+            s0 = np.flatnonzero(scope_ch)
+            head_end = s0[0] if len(s0) else n
+            if head_end > 0:
+                open_seg["local_pos"] = int(local[head_end - 1])
+            closed = []
+            if len(s0):
+                if open_seg is not None:
+                    closed.append(open_seg)
+                e0 = np.append(s0[1:], n)
+                for a, b in zip(s0[:-1], e0[:-1]):
+                    closed.append({**{c: scope_vals[c][a] for c in scope}, "local_pos": int(local[b - 1])})
+                open_seg = {**{c: scope_vals[c][s0[-1]] for c in scope}, "local_pos": int(local[-1])}
+
             has_prev = True
-            prev_scope = [pdf[c].iloc[-1] for c in scope]
+            prev_scope = [scope_vals[c][-1] for c in scope]
             pos = int(local[-1])
-            yield pdf.assign(local_pos=local)
+            yield pdf[[PID, *cols]].assign(kind=np.int32(0), local_pos=local)
+            if closed:
+                yield _segment_rows(closed, pid, cols)
+        if open_seg is not None:
+            yield _segment_rows([open_seg], pid, cols)
     return fn
 
 
+def _segment_rows(segs: list[dict], pid: int, cols: list[str]) -> pd.DataFrame:
+    """Segment summaries in the row schema (payload columns left NULL)."""
+    seg = pd.DataFrame(segs)
+    out = pd.DataFrame({PID: np.full(len(seg), pid, dtype=np.int32)})
+    for c in cols:
+        out[c] = seg[c].to_numpy() if c in seg else pd.Series([None] * len(seg), dtype=object)
+    out["kind"] = np.int32(1)
+    out["local_pos"] = seg["local_pos"].astype(np.int64).to_numpy()
+    return out
+
+
 def ordinal_within(df: DataFrame, within: Sequence[str], order: Sequence[str],
                    name: str = "pos", num_partitions: int | None = None) -> DataFrame:
     """Add ``name``: 1-based position of each row in ``order`` inside its scope.
 
     Equal to ``row_number()`` over ``partitionBy(within).orderBy(order)`` for
-    a total order, without putting a scope into one task.
+    a total order, without putting a scope into one task: local positions
+    per range partition, plus offsets from the rows of the preceding
+    segments of the same scope (segment counts come out of the same pass).
     """
     scope = list(within)
     cols = list(df.columns)
     ranged = _ranged(df, scope, order, cols, num_partitions)
-    schema = T.StructType([*ranged.schema.fields, T.StructField("local_pos", T.LongType(), False)])
-    local = _materialize(ranged.mapInPandas(_local_positions(scope), schema), "ordinals")
+    fields = [f if f.name in scope else T.StructField(f.name, f.dataType, True)
+              for f in ranged.schema.fields]
+    schema = T.StructType([*fields, T.StructField("kind", T.IntegerType(), False),
+                           T.StructField("local_pos", T.LongType(), False)])
+    out = _materialize(ranged.mapInPandas(_local_positions(scope, cols), schema), "ordinals",
+                       partition_by=["kind"])
     w = Window.partitionBy(*scope).orderBy(PID)
-    segs = (local.groupBy(PID, *scope).agg(F.max("local_pos").alias("rows"))
+    segs = (out.where(F.col("kind") == 1)
+            .select(PID, *scope, F.col("local_pos").alias("rows"))
             .withColumn("offset", F.coalesce(
                 F.sum("rows").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
             .select(PID, *scope, "offset"))
-    j = _small_join(local, segs, [PID, *scope], SEGMENT_BROADCAST_ROWS)
+    rows = out.where(F.col("kind") == 0)
+    j = _small_join(rows, segs, [PID, *scope], SEGMENT_BROADCAST_ROWS)
     return j.select(*cols, (F.col("offset") + F.col("local_pos")).cast("bigint").alias(name))
