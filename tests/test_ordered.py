@@ -67,3 +67,25 @@ def test_ordinal_within_matches_row_number(spark, parts):
     p["pos"] = p.groupby("s").cumcount() + 1
     want = sorted(zip(p["o2"].astype(int), p["pos"].astype(int)))
     assert got == want
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+ROWS = st.lists(st.tuples(st.integers(1, 3),                       # scope
+                          st.sampled_from(["A", "B", None]),        # key
+                          st.one_of(st.none(), st.integers(-5, 5))),  # value
+                min_size=1, max_size=60)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=ROWS, parts=st.integers(1, 9))
+def test_span_by_property(spark, rows, parts):
+    pdf = pd.DataFrame({"s": [r[0] for r in rows], "o1": np.zeros(len(rows), dtype=np.int64),
+                        "o2": np.arange(len(rows), dtype=np.int64), "k": [r[1] for r in rows],
+                        "v": pd.array([r[2] for r in rows], dtype="Int64")})
+    pdf["s"] = pdf["s"].astype(np.int32)
+    df = spark.createDataFrame(pdf, "s int, o1 bigint, o2 bigint, k string, v bigint")
+    spans = ordered.span_by(df, "k", ["o1", "o2"], ["s"], "v", num_partitions=parts)
+    got = sorted((r["s"], r["run"], r["k"], r["total"]) for r in spans.runs().collect())
+    assert got == brute_runs(pdf)
