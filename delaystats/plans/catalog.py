@@ -131,9 +131,16 @@ def cached_span_sum(spark, sf):
     return spans.runs()
 
 
+def _iso_dates(df: DataFrame, *cols: str) -> DataFrame:
+    """Dates as ISO text in a registered query's output (lossless; keeps the
+    cross-engine value comparison independent of date representations)."""
+    return df.select(*[F.date_format(c, "yyyy-MM-dd").alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
 def typed_load(spark, sf):
     good, _ = ingest.typed_load(flights_raw(spark, sf), "v1")
-    return good
+    return _iso_dates(good, "flightdate")
 
 
 def typed_load_ints(spark, sf):
@@ -223,8 +230,8 @@ QUERIES: dict[str, Query] = {
         df, CARRIER, RANGE_LO, RANGE_HI, closed=False)),
     "range_sum_closed": _store(lambda s, df: measures.date_range_sum(
         df, CARRIER, RANGE_LO, RANGE_HI, closed=True)),
-    "monthly_range_sums": _store(lambda s, df: measures.range_sums(
-        s, df, CARRIER, measures.calendar_month_ranges(YEAR))),
+    "monthly_range_sums": _store(lambda s, df: _iso_dates(measures.range_sums(
+        s, df, CARRIER, measures.calendar_month_ranges(YEAR)), "lo", "hi")),
     "top_delays": _store(lambda s, df: topk.top_delays(df, YEAR, CARRIER, tiebreak=SEQ)),
     "key_by_delay": _store(lambda s, df: measures.key_by_delay(df, YEAR, CARRIER)
                            .select("delay", "key.year", "key.uniquecarrier")),

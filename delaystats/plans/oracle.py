@@ -173,7 +173,8 @@ LEFT JOIN (SELECT uniquecarrier, month, sum(arrdelay) AS total FROM flights
         "range_sum_closed": f"SELECT {zsum} AS total FROM flights WHERE uniquecarrier = '{carrier}' "
                             f"AND flightdate >= {lo_hi[0]} AND flightdate <= {lo_hi[1]}",
         "monthly_range_sums": f"""
-SELECT r.range_id, r.lo, r.hi, COALESCE(CAST(sum(f.arrdelay) AS DOUBLE), 0.0) AS total
+SELECT r.range_id, strftime(r.lo, '%Y-%m-%d') AS lo, strftime(r.hi, '%Y-%m-%d') AS hi,
+       COALESCE(CAST(sum(f.arrdelay) AS DOUBLE), 0.0) AS total
 FROM {_ranges_values(year)}
 LEFT JOIN flights f ON f.uniquecarrier = '{carrier}' AND f.flightdate BETWEEN r.lo AND r.hi
 GROUP BY r.range_id, r.lo, r.hi""",
@@ -202,7 +203,8 @@ WHERE rank <= {TOP_N}""",
         "coerce_getters": "SELECT TRY_CAST(year AS INTEGER) AS year, TRY_CAST(month AS INTEGER) AS month, "
                           "uniquecarrier, TRY_CAST(arrdelay AS FLOAT) AS arrdelay, l_orderkey, l_linenumber "
                           "FROM flights_raw",
-        "typed_load": f"SELECT * FROM (SELECT {_typed_select(V1_SQL, v1_order)}, {SEQ_SQL} "
+        "typed_load": f"SELECT * REPLACE (strftime(flightdate, '%Y-%m-%d') AS flightdate) FROM "
+                      f"(SELECT {_typed_select(V1_SQL, v1_order)}, {SEQ_SQL} "
                       f"FROM flights_raw WHERE {_ok(V1_SQL)}) t",
         "typed_load_ints": f"SELECT {_typed_select(V5_SQL, COLUMNS)}, {SEQ_SQL} "
                            f"FROM flights_raw WHERE {_ok(V5_SQL)}",
