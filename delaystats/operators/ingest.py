@@ -59,6 +59,15 @@ def v5_conversions() -> list[tuple[str, Column, Column]]:
     return [(c, try_int(c), _not_null(try_int(c))) for c in INT_COLUMNS_V5]
 
 
+def final_conversions() -> list[tuple[str, Column, Column]]:
+    """The final table types only ``arrdelay`` (an int); every other column
+    stays text, so a non-integer delay is the one way a row is rejected."""
+    return [("arrdelay", try_int("arrdelay"), _not_null(try_int("arrdelay")))]
+
+
+CONVERSIONS = {"v1": v1_conversions, "v5": v5_conversions, "final": final_conversions}
+
+
 @dataclass
 class Classified:
     """A raw frame with its typed projection and reject reason side by side."""
@@ -81,9 +90,9 @@ def classify(raw: DataFrame, variant: str = "v5") -> Classified:
 
     ``v1``: date from year/month/day, int dayofweek, four HHMM times as
     minutes, int delays; 29 -> 27 columns.  ``v5``: int year, month, day and
-    both delays; 29 columns.
+    both delays; 29 columns.  ``final``: int ``arrdelay`` only; 29 columns.
     """
-    conversions = v1_conversions() if variant == "v1" else v5_conversions()
+    conversions = CONVERSIONS[variant]()
     converted = {name: value for name, value, _ in conversions}
     checks = [(name, ok) for name, _, ok in conversions]
     frame = raw.withColumn(REASON, _first_failure(checks, _shape_ok(raw)))

@@ -153,6 +153,11 @@ def load_rejects(spark, sf):
     return bad.select(*SEQ, "deptime", "arrdelay", ingest.REASON)
 
 
+def load_rejects_final(spark, sf):
+    _, bad = ingest.typed_load(flights_raw(spark, sf), "final")
+    return bad.select(*SEQ, "arrdelay", ingest.REASON)
+
+
 def hhmm_minutes(spark, sf):
     from delaystats.functions import hhmm_minutes as hhmm
     return flights_raw(spark, sf).select("deptime", hhmm("deptime").alias("minutes")).distinct()
@@ -250,6 +255,7 @@ QUERIES: dict[str, Query] = {
     "typed_load": typed_load,
     "typed_load_ints": typed_load_ints,
     "load_rejects": load_rejects,
+    "load_rejects_final": load_rejects_final,
     "hhmm_minutes": hhmm_minutes,
     "year_fanout": year_fanout,
     "csv_scan": lambda spark, sf: _csv_rows(spark, staged_csv(spark, sf)),

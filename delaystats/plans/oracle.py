@@ -210,6 +210,8 @@ WHERE rank <= {TOP_N}""",
                            f"FROM flights_raw WHERE {_ok(V5_SQL)}",
         "load_rejects": f"SELECT {SEQ_SQL}, deptime, arrdelay, {_reason(V1_SQL)} AS reject_reason "
                         f"FROM flights_raw WHERE NOT ({_ok(V1_SQL)})",
+        "load_rejects_final": f"SELECT {SEQ_SQL}, arrdelay, 'arrdelay' AS reject_reason "
+                              f"FROM flights_raw WHERE TRY_CAST(arrdelay AS INTEGER) IS NULL",
         "hhmm_minutes": f"SELECT DISTINCT deptime, {hhmm_sql('deptime')} AS minutes FROM flights_raw",
         "year_fanout": f"SELECT CAST(y.fy AS INTEGER) AS year, CAST(count(*) AS BIGINT) AS n, "
                        f"CAST(sum(arrdelay) AS DOUBLE) AS total FROM flights "
