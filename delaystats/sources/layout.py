@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from delaystats.schema import LOAD_BATCH_ROWS, KeyedLayout
+from delaystats.schema import KeyedLayout
 
 
 def _aqe_on(spark: SparkSession) -> bool:
@@ -37,7 +37,7 @@ def samples_input(spark: SparkSession, num_partitions: int | None = None) -> boo
 
 def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("year", "month"),
                       cluster_by: tuple[str, ...] = ("uniquecarrier", "flightnum", "day"),
-                      max_records_per_file: int = LOAD_BATCH_ROWS, mode: str = "append",
+                      max_records_per_file: int | None = None, mode: str = "append",
                       num_partitions: int | None = None,
                       observation: Observation | None = None) -> str:
     """Write ``df`` as a keyed layout: ``partitionBy`` directories, files
@@ -51,6 +51,12 @@ def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] =
     on the full (partition + clustering) key instead: balanced by sampling,
     at the price of a sampling pass over the input.
 
+    ``max_records_per_file`` caps rows per file (``LOAD_BATCH_ROWS`` gives
+    the reference's load groups).  Off by default: at scale a 50 000-row cap
+    would mean millions of ~1 MB files; without it, file size follows the
+    rebalance's advisory partition size (``spark.sql.adaptive.
+    advisoryPartitionSizeInBytes``).
+
     ``observation`` (if given) counts the written rows.  It is attached
     *after* the exchange: a range sampler runs the plan below the exchange
     as an extra job, and metrics collected there would count twice.
@@ -65,11 +71,10 @@ def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] =
         spread = df.repartitionByRange(*key)
     if observation is not None:
         spread = spread.observe(observation, F.count(F.lit(1)).alias("rows"))
-    (spread.sortWithinPartitions(*key)
-     .write.mode(mode)
-     .partitionBy(*partition_by)
-     .option("maxRecordsPerFile", max_records_per_file)
-     .parquet(path))
+    writer = spread.sortWithinPartitions(*key).write.mode(mode).partitionBy(*partition_by)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    writer.parquet(path)
     return path
 
 

@@ -158,3 +158,19 @@ def test_hot_month_is_split_across_writers(spark, tmpdir_path):
     hot = os.path.join(out, "year=1997", "month=7")
     assert len([f for f in os.listdir(hot) if f.endswith(".parquet")]) > 1
     assert spark.read.parquet(out).count() == n
+
+
+def test_load_groups_cap_rows_per_file(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+    from delaystats.schema import LOAD_BATCH_ROWS
+    from delaystats.sources.layout import write_partitioned
+    n = 2 * LOAD_BATCH_ROWS + 10
+    df = spark.range(n).select(F.lit(2007).alias("year"), F.lit(1).alias("month"),
+                               F.lit("WN").alias("uniquecarrier"),
+                               F.col("id").cast("string").alias("flightnum"), F.lit(1).alias("day"))
+    out = os.path.join(tmpdir_path, "groups")
+    write_partitioned(df, out, max_records_per_file=LOAD_BATCH_ROWS, num_partitions=1)
+    files = [f for f in os.listdir(os.path.join(out, "year=2007", "month=1")) if f.endswith(".parquet")]
+    assert len(files) == 3
+    assert spark.read.parquet(out).count() == n
+
