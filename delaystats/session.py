@@ -57,3 +57,34 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
     return "/".join([root.rstrip("/"), "delaystats", *parts, uuid.uuid4().hex])
+
+
+def scale_conf(input_bytes: int, total_cores: int,
+               partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict[str, str]:
+    """Session settings sized for an input of ``input_bytes`` on a cluster
+    with ``total_cores`` executor cores.
+
+    Shuffles start with about one partition per ``partition_bytes`` of input
+    (at least two per core, at most ``max_partitions``: map x reduce shuffle
+    blocks grow with the product); AQE then coalesces small partitions,
+    splits skewed ones and turns joins with a small measured side into
+    broadcasts.  Scans read ``partition_bytes`` per task.
+    """
+    parts = max(2 * total_cores, min(max_partitions, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> SparkSession:
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return spark

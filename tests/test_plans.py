@@ -71,3 +71,12 @@ def test_hot_bucket_falls_back_to_split_scan(spark):
     assert "Exchange" not in plan_text(agg(normal))
     assert "Exchange" in plan_text(agg(forced)) and "hashpartitioning" in plan_text(agg(forced))
     assert sorted(map(tuple, agg(normal).collect())) == sorted(map(tuple, agg(forced).collect()))
+
+
+def test_scale_conf_sizes_partitions():
+    from delaystats.session import scale_conf
+    big = scale_conf(100 * 10**12, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    small = scale_conf(10 << 20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert big["spark.sql.adaptive.enabled"] == "true"
