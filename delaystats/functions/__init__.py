@@ -1,5 +1,6 @@
 from delaystats.functions.columns import (
     all_not_null,
+    hhmm_arith,
     hhmm_minutes,
     hhmm_valid,
     parse_date,
@@ -9,4 +10,4 @@ from delaystats.functions.columns import (
     zero_sum,
 )
 
-__all__ = ["all_not_null", "hhmm_minutes", "hhmm_valid", "parse_date", "try_float", "try_int", "valid_date", "zero_sum"]
+__all__ = ["all_not_null", "hhmm_arith", "hhmm_minutes", "hhmm_valid", "parse_date", "try_float", "try_int", "valid_date", "zero_sum"]

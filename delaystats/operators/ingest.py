@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from delaystats.functions import hhmm_minutes, hhmm_valid, parse_date, try_int, valid_date
+from delaystats.functions import hhmm_arith, hhmm_valid, parse_date, try_int, valid_date
 from delaystats.schema import COLUMNS, FANOUT_YEARS, HHMM_COLUMNS, INT_COLUMNS_V5
 
 REASON = "reject_reason"
@@ -50,7 +50,8 @@ def v1_conversions() -> list[tuple[str, Column, Column]]:
     ymd = try_int("year"), try_int("month"), try_int("day")
     conv = [("flightdate", parse_date(*ymd), valid_date(*ymd))]
     conv += [(c, try_int(c), _not_null(try_int(c))) for c in ["dayofweek"]]
-    conv += [(c, hhmm_minutes(c), F.coalesce(hhmm_valid(c), F.lit(False))) for c in HHMM_COLUMNS]
+    # accepted rows passed the HHMM check, so their value needs no re-check
+    conv += [(c, hhmm_arith(c), F.coalesce(hhmm_valid(c), F.lit(False))) for c in HHMM_COLUMNS]
     conv += [(c, try_int(c), _not_null(try_int(c))) for c in ["arrdelay", "depdelay"]]
     return conv
 
