@@ -22,29 +22,25 @@ from delaystats.session import build_session  # noqa: E402
 
 
 def summarise(plan: str) -> dict[str, str]:
-    body = plan.split("\n\n")[0]
-    exchanges = re.findall(r"Exchange \((\d+)\)", body)
-    details = {m.group(1): m.group(2) for m in re.finditer(r"\((\d+)\) (Exchange|BroadcastExchange)\n", plan)}
-    kinds = []
-    for m in re.finditer(r"\(\d+\) Exchange\nInput \[\d+\]: .*?\nArguments: (\w+)", plan):
-        kinds.append(m.group(1))
+    body = plan.split("\n\n")[0]                      # the operator tree
+    kinds = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: .*?\nArguments: (\w+)", plan)
     joins = sorted(set(re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|"
                                   r"BroadcastNestedLoopJoin|CartesianProduct)", body)))
-    part = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
-    pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
+    part = [p for p in re.findall(r"PartitionFilters: \[([^\]]*)\]", plan) if p]
+    pushed = [p for p in re.findall(r"PushedFilters: \[([^\]]*)\]", plan) if p]
     special = sorted(set(re.findall(r"(TakeOrderedAndProject|WindowGroupLimit|Window|"
                                     r"HashAggregate|SortAggregate|ObjectHashAggregate|"
                                     r"MapInPandas|ArrowEvalPython|BatchEvalPython|Generate|Expand|"
                                     r"InMemoryTableScan)", body)))
-    bucketed = "Bucketed: true" in plan
-    del details
+    if "Bucketed: true" in plan:
+        special.append("bucketed scan")
     return {
-        "shuffles": f"{len(kinds)} ({', '.join(kinds)})" if kinds else ("0" if not exchanges else str(len(exchanges))),
+        "shuffles": f"{len(kinds)} ({', '.join(kinds)})" if kinds else "0",
         "broadcasts": str(body.count("BroadcastExchange")),
         "joins": ", ".join(joins) or "-",
-        "partition filters": "; ".join(p for p in part if p) or "-",
-        "pushed filters": "; ".join(p for p in pushed if p) or "-",
-        "operators": ", ".join(special) + (", bucketed scan" if bucketed else ""),
+        "partition filters": "; ".join(part) or "-",
+        "pushed filters": "; ".join(pushed) or "-",
+        "operators": ", ".join(special),
     }
 
 
