@@ -52,30 +52,45 @@ def filter_sum(df: DataFrame, year: int, carrier: str, measure: str = MEASURE) -
     return key_sum(df, measure, year=year, uniquecarrier=carrier)
 
 
+def _month_dim(spark: SparkSession, months: Sequence[int]) -> DataFrame:
+    return spark.range(1).select(F.explode(F.array(*[F.lit(int(m)) for m in months])).alias("month"))
+
+
 def split_sum(df: DataFrame, year: int, carrier: str, months: Sequence[int] = MONTHS,
               measure: str = MEASURE) -> DataFrame:
-    """Per-month sums of (year, carrier) and their total (``month`` NULL).
+    """Per-month sums of (year, carrier), 0.0 for an empty month, and their
+    total (``month`` NULL).
 
     The reference runs one job per month and adds the results on the driver;
-    here one pruned scan and a ROLLUP give both levels.
+    here one pruned scan is aggregated per month (partial + final), joined
+    to the month list (at most len(months) rows each side) and rolled up, so
+    every month and the total are present even when nothing matches.
     """
     rows = df.where(_eq(year=year, uniquecarrier=carrier) & F.col("month").isin(list(months)))
-    return (rows.rollup("month")
-            .agg(zero_sum(measure).alias("total"))
+    per_month = rows.groupBy("month").agg(F.sum(measure).cast("double").alias("_m"))
+    filled = (_month_dim(df.sparkSession, months)
+              .join(F.broadcast(per_month), "month", "left")
+              .select("month", F.coalesce("_m", F.lit(0.0)).alias("_m")))
+    return (filled.rollup("month")
+            .agg(F.sum("_m").alias("total"))
             .select(F.col("month").cast("int").alias("month"), "total"))
 
 
 MONTH_SUM_SQL = """
-SELECT month, CAST(COALESCE(SUM({measure}), 0) AS DOUBLE) AS total
-FROM {{flights}}
-WHERE year = :year AND uniquecarrier = :carrier AND month BETWEEN 1 AND 12
-GROUP BY month
+SELECT CAST(m.id AS INT) AS month, CAST(COALESCE(s.total, 0) AS DOUBLE) AS total
+FROM range(1, 13) AS m
+LEFT JOIN (SELECT month, SUM({measure}) AS total
+           FROM {{flights}}
+           WHERE year = :year AND uniquecarrier = :carrier AND month BETWEEN 1 AND 12
+           GROUP BY month) AS s
+  ON s.month = m.id
 """
 
 
 def sql_month_sum(spark: SparkSession, df: DataFrame, year: int, carrier: str,
                   measure: str = MEASURE) -> DataFrame:
-    """The per-month aggregate as bound-parameter SQL text."""
+    """The per-month aggregate as bound-parameter SQL text (0.0 for a month
+    without rows, as a per-month statement would answer)."""
     return spark.sql(MONTH_SUM_SQL.format(measure=measure),
                      args={"year": year, "carrier": carrier}, flights=df)
 

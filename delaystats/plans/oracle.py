@@ -154,10 +154,17 @@ LEFT JOIN (SELECT uniquecarrier, month, sum(arrdelay) AS total FROM flights
         "empty_sum": f"SELECT {zsum} AS total FROM flights "
                      f"WHERE year = {empty_year} AND uniquecarrier = '{carrier}' AND month = {month}",
         "filter_sum": f"SELECT {zsum} AS total FROM flights WHERE {yc}",
-        "split_sum": f"SELECT CAST(month AS INTEGER) AS month, {zsum} AS total FROM flights "
-                     f"WHERE {yc} AND month IN ({_list(range(1, 13))}) GROUP BY ROLLUP (month)",
-        "sql_month_sum": f"SELECT month, {zsum} AS total FROM flights "
-                         f"WHERE {yc} AND month BETWEEN 1 AND 12 GROUP BY month",
+        "split_sum": f"""
+SELECT CAST(m.month AS INTEGER) AS month, CAST(sum(COALESCE(s.t, 0)) AS DOUBLE) AS total
+FROM (SELECT unnest(range(1, 13)) AS month) m
+LEFT JOIN (SELECT month, sum(arrdelay) AS t FROM flights WHERE {yc} GROUP BY month) s
+  ON s.month = m.month
+GROUP BY ROLLUP (m.month)""",
+        "sql_month_sum": f"""
+SELECT CAST(m.month AS INTEGER) AS month, CAST(COALESCE(s.t, 0) AS DOUBLE) AS total
+FROM (SELECT unnest(range(1, 13)) AS month) m
+LEFT JOIN (SELECT month, sum(arrdelay) AS t FROM flights WHERE {yc} GROUP BY month) s
+  ON s.month = m.month""",
         "carrier_sum": f"SELECT uniquecarrier, {zsum} AS total FROM flights "
                        f"WHERE year = {year} GROUP BY uniquecarrier",
         "carrier_avg": f"SELECT uniquecarrier, round(avg(CAST(arrdelay AS DOUBLE)), 6) AS avg_delay "

@@ -110,3 +110,17 @@ def test_every_key_variant_writes_one_row_per_key(spark, tmpdir_path):
         assert keys.count() == keys.distinct().count() == store.select(*t.primary_key).distinct().count()
         assert {d for d in os.listdir(path) if "=" in d} == \
             {f"{t.partition[0]}={r[0]}" for r in store.select(t.partition[0]).distinct().collect()}
+
+
+def test_split_sums_zero_fill_empty_selection(spark):
+    """No matching rows: every month is 0.0 and so is the total."""
+    from delaystats.operators import measures
+    from delaystats.sources.testdata import flight_store
+    df = flight_store(spark, SF_SMALL)
+    rows = measures.split_sum(df, 1900, "WN").collect()
+    assert len(rows) == 13 and all(r["total"] == 0.0 for r in rows)
+    assert sum(r["month"] is None for r in rows) == 1
+    sql = measures.sql_month_sum(spark, df, 1900, "WN").collect()
+    assert sorted(r["month"] for r in sql) == list(range(1, 13))
+    assert all(r["total"] == 0.0 for r in sql)
+
