@@ -134,6 +134,12 @@ def build_store(spark: SparkSession, sf_dir: str, path: str | None = None) -> st
     return path
 
 
+def use_store(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Register an already built layout of ``sf_dir`` for this session."""
+    with _LOCK:
+        _STORES[_store_key(spark, sf_dir)] = path
+
+
 def store_path(spark: SparkSession, sf_dir: str) -> str:
     key = _store_key(spark, sf_dir)
     with _LOCK:
