@@ -208,9 +208,11 @@ def _field(df: DataFrame, name: str) -> T.StructField:
     return next(f for f in df.schema.fields if f.name == name)
 
 
-def _small_join(big: DataFrame, small: DataFrame, on: list[str], max_rows: int) -> DataFrame:
-    """Broadcast ``small`` only after checking its size; else shuffle join."""
-    if small.count() <= max_rows:
+def _small_join(big: DataFrame, small: DataFrame, on: list[str], max_rows: int,
+                small_rows: int) -> DataFrame:
+    """Broadcast ``small`` only if its checked size (``small_rows``) is under
+    ``max_rows``; else a shuffle join."""
+    if small_rows <= max_rows:
         small = F.broadcast(small)
     return big.join(small, on)
 
@@ -223,11 +225,13 @@ class Spans:
     segments: DataFrame    # PID, scope, n_runs, first_key, last_key, cont, offset, next_cont
     scope: list[str]
     key: str
+    n_segments: int        # size check for the segment broadcast
 
     def runs(self) -> DataFrame:
         """One row per run: scope, ``run`` (1-based per scope), key, ``total``."""
         seg = self.segments.select(PID, *self.scope, "n_runs", "cont", "offset", "next_cont")
-        j = _small_join(self.pieces, seg, [PID, *self.scope], SEGMENT_BROADCAST_ROWS)
+        j = _small_join(self.pieces, seg, [PID, *self.scope], SEGMENT_BROADCAST_ROWS,
+                        self.n_segments)
         j = j.withColumn("run", (F.col("offset") + F.col("local_run") - F.col("cont")).cast("bigint"))
         boundary = (((F.col("local_run") == 1) & (F.col("cont") == 1))
                     | ((F.col("local_run") == F.col("n_runs")) & (F.col("next_cont") == 1)))
@@ -270,6 +274,7 @@ def span_by(df: DataFrame, key: str, order: Sequence[str], within: Sequence[str]
     pieces = out.where(F.col("kind") == 0).select(PID, *scope, "local_run", key, "total", "n")
 
     w = Window.partitionBy(*scope).orderBy(PID)
+    n_segments = out.where(F.col("kind") == 1).count()     # reads the small kind=1 files only
     segs = out.where(F.col("kind") == 1).select(
         PID, *scope, F.col("local_run").alias("n_runs"),
         F.col(key).alias("first_key"), "last_key")
@@ -279,7 +284,7 @@ def span_by(df: DataFrame, key: str, order: Sequence[str], within: Sequence[str]
                 F.sum(F.col("n_runs") - F.col("cont")).over(
                     w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
             .withColumn("next_cont", F.coalesce(F.lead("cont").over(w), F.lit(0))))
-    return Spans(pieces, segs, scope, key)
+    return Spans(pieces, segs, scope, key, n_segments)
 
 
 # -- ordinals -----------------------------------------------------------------
@@ -369,5 +374,6 @@ def ordinal_within(df: DataFrame, within: Sequence[str], order: Sequence[str],
                 F.sum("rows").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
             .select(PID, *scope, "offset"))
     rows = out.where(F.col("kind") == 0)
-    j = _small_join(rows, segs, [PID, *scope], SEGMENT_BROADCAST_ROWS)
+    n_segments = out.where(F.col("kind") == 1).count()     # reads the small kind=1 files only
+    j = _small_join(rows, segs, [PID, *scope], SEGMENT_BROADCAST_ROWS, n_segments)
     return j.select(*cols, (F.col("offset") + F.col("local_pos")).cast("bigint").alias(name))
