@@ -174,3 +174,13 @@ def test_load_groups_cap_rows_per_file(spark, tmpdir_path):
     assert len(files) == 3
     assert spark.read.parquet(out).count() == n
 
+
+
+def test_try_int_equals_try_cast(spark):
+    from pyspark.sql import functions as F
+    from delaystats.functions import try_int
+    vals = ["12", "-5", "+7", " 12 ", "NA", "", "2007.0", "99999999999", "2147483647",
+            "2147483648", "1e3", "\t3", "0x1F", "-", "+", "007", None, "１２", "n/a"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    rows = df.select("s", try_int("s").alias("a"), F.col("s").try_cast("int").alias("b")).collect()
+    assert [r["s"] for r in rows if r["a"] != r["b"]] == []
