@@ -66,7 +66,7 @@ def _changes(a: np.ndarray, prev, has_prev: bool, null_breaks: bool) -> np.ndarr
     return ch
 
 
-def _span_pieces(scope: list[str], key: str, value: str):
+def _span_pieces(scope: list[str], key: str, value: str, integral: bool = True):
     """mapInPandas body: ordered rows of one range partition -> run pieces
     (``kind`` 0) and one summary row per (partition, scope) segment (``kind``
     1: ``local_run`` = runs in the segment, ``key`` / ``last_key`` = first /
@@ -96,7 +96,7 @@ def _span_pieces(scope: list[str], key: str, value: str):
 
             vals = pdf[value]
             present = vals.notna().to_numpy()
-            v = vals.fillna(0).to_numpy().astype(np.int64)
+            v = vals.fillna(0).to_numpy().astype(np.int64 if integral else np.float64)
 
             # local run number within the (partition, scope) segment
             seg_idx = np.cumsum(scope_ch)
@@ -122,7 +122,7 @@ def _span_pieces(scope: list[str], key: str, value: str):
             out = []
             first = 0
             if not brk[0]:
-                pending["total"] += int(sums[0])
+                pending["total"] += sums[0]
                 pending["_nn"] += int(nn[0])
                 pending["n"] += int(cnt[0])
                 first = 1
@@ -160,25 +160,27 @@ def _span_pieces(scope: list[str], key: str, value: str):
             prev_key = k[-1]
             seg_runs = int(runs[-1])
             for o in out:
-                yield _finish(o, pid, scope, key, kind=0)
+                yield _finish(o, pid, scope, key, 0, integral)
             for o in closed:
-                yield _finish(o, pid, scope, key, kind=1)
+                yield _finish(o, pid, scope, key, 1, integral)
         if pending is not None:
-            yield _finish(pd.DataFrame([pending]), pid, scope, key, kind=0)
+            yield _finish(pd.DataFrame([pending]), pid, scope, key, 0, integral)
         if open_seg is not None:
-            yield _finish(pd.DataFrame([open_seg]), pid, scope, key, kind=1)
+            yield _finish(pd.DataFrame([open_seg]), pid, scope, key, 1, integral)
 
     return fn
 
 
-def _finish(df: pd.DataFrame, pid: int, scope: list[str], key: str, kind: int) -> pd.DataFrame:
+def _finish(df: pd.DataFrame, pid: int, scope: list[str], key: str, kind: int,
+            integral: bool = True) -> pd.DataFrame:
     df = df.reset_index(drop=True)
     m = len(df)
+    nullable = "Int64" if integral else "Float64"
     if kind == 0:
-        total = df["total"].astype("Int64").where(df["_nn"] > 0)
+        total = df["total"].astype(nullable).where(df["_nn"] > 0)
         last_key = pd.Series([None] * m, dtype=object)
     else:
-        total = pd.Series([None] * m, dtype="Int64")
+        total = pd.Series([None] * m, dtype=nullable)
         last_key = df["last_key"].to_numpy()
     return pd.DataFrame({
         PID: np.full(m, pid, dtype=np.int32),
@@ -236,9 +238,8 @@ class Spans:
         boundary = (((F.col("local_run") == 1) & (F.col("cont") == 1))
                     | ((F.col("local_run") == F.col("n_runs")) & (F.col("next_cont") == 1)))
         out = [*self.scope, "run", self.key]
-        interior = j.where(~boundary).select(*out, F.col("total").cast("bigint").alias("total"))
-        merged = (j.where(boundary).groupBy(*out)
-                  .agg(F.sum("total").cast("bigint").alias("total")))
+        interior = j.where(~boundary).select(*out, "total")
+        merged = j.where(boundary).groupBy(*out).agg(F.sum("total").alias("total"))
         return interior.unionByName(merged)
 
     def count(self) -> DataFrame:
@@ -259,6 +260,8 @@ def span_by(df: DataFrame, key: str, order: Sequence[str], within: Sequence[str]
     scope = list(within)
     ranged = _ranged(df, scope, order, [*scope, key, value], num_partitions)
     key_field = _field(df, key)
+    integral = isinstance(_field(df, value).dataType, T.IntegralType)
+    total_type = T.LongType() if integral else T.DoubleType()
     schema = T.StructType([
         T.StructField(PID, T.IntegerType(), False),
         *[_field(df, c) for c in scope],
@@ -266,10 +269,10 @@ def span_by(df: DataFrame, key: str, order: Sequence[str], within: Sequence[str]
         T.StructField("local_run", T.LongType(), False),
         key_field,
         T.StructField("last_key", key_field.dataType, True),
-        T.StructField("total", T.LongType(), True),
+        T.StructField("total", total_type, True),
         T.StructField("n", T.LongType(), False),
     ])
-    out = _materialize(ranged.mapInPandas(_span_pieces(scope, key, value), schema), "spans",
+    out = _materialize(ranged.mapInPandas(_span_pieces(scope, key, value, integral), schema), "spans",
                        partition_by=["kind"])
     pieces = out.where(F.col("kind") == 0).select(PID, *scope, "local_run", key, "total", "n")
 

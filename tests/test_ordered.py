@@ -89,3 +89,21 @@ def test_span_by_property(spark, rows, parts):
     spans = ordered.span_by(df, "k", ["o1", "o2"], ["s"], "v", num_partitions=parts)
     got = sorted((r["s"], r["run"], r["k"], r["total"]) for r in spans.runs().collect())
     assert got == brute_runs(pdf)
+
+
+def test_span_by_fractional_values(spark):
+    df, pdf = make_frame(spark, n=800, seed=11)
+    df = df.withColumn("v", (df["v"] / 4).cast("double"))
+    pdf["v"] = pdf["v"].astype("Float64") / 4
+    spans = ordered.span_by(df, "k", ["o1", "o2"], ["s"], "v", num_partitions=7)
+    got = sorted((r["s"], r["run"], r["k"], r["total"]) for r in spans.runs().collect())
+    p = pdf.sort_values(["s", "o1", "o2"]).reset_index(drop=True)
+    prev_k = p.groupby("s")["k"].shift()
+    brk = (p["s"] != p["s"].shift()) | p["k"].isna() | prev_k.isna() | (p["k"] != prev_k)
+    p["run"] = brk.astype(int).groupby(p["s"]).cumsum()
+    want = sorted((int(s), int(r), g["k"].iloc[0],
+                   None if g["v"].notna().sum() == 0 else float(g["v"].sum()))
+                  for (s, r), g in p.groupby(["s", "run"]))
+    assert [w[:3] for w in want] == [x[:3] for x in got]
+    for (_, _, _, a), (_, _, _, b) in zip(got, want):
+        assert (a is None and b is None) or abs(a - b) < 1e-9
