@@ -107,3 +107,16 @@ def test_span_by_fractional_values(spark):
     assert [w[:3] for w in want] == [x[:3] for x in got]
     for (_, _, _, a), (_, _, _, b) in zip(got, want):
         assert (a is None and b is None) or abs(a - b) < 1e-9
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(scopes=st.lists(st.integers(1, 3), min_size=1, max_size=50), parts=st.integers(1, 9))
+def test_ordinal_within_property(spark, scopes, parts):
+    pdf = pd.DataFrame({"s": np.array(scopes, dtype=np.int32),
+                        "o1": np.zeros(len(scopes), dtype=np.int64),
+                        "o2": np.arange(len(scopes), dtype=np.int64)})
+    df = spark.createDataFrame(pdf, "s int, o1 bigint, o2 bigint")
+    got = sorted((r["o2"], r["pos"]) for r in
+                 ordered.ordinal_within(df, ["s"], ["o1", "o2"], num_partitions=parts).collect())
+    pdf["pos"] = pdf.groupby("s").cumcount() + 1
+    assert got == sorted(zip(pdf["o2"].astype(int), pdf["pos"].astype(int)))
