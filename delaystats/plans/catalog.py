@@ -125,10 +125,17 @@ def cached_filter_sum(spark, sf):
     return measures.filter_sum(cached_base(spark, sf), YEAR, CARRIER)
 
 
+def cached_spans(spark: SparkSession, sf_dir: str) -> ordered.Spans:
+    """The run-grouped intermediate, built once per session, pieces persisted."""
+    def make():
+        spans = _spans(spark, sf_dir)
+        spans.pieces.persist(StorageLevel.MEMORY_AND_DISK)
+        return spans
+    return _once(spark, sf_dir, "cached_spans", make)
+
+
 def cached_span_sum(spark, sf):
-    spans = _spans(spark, sf)
-    spans.pieces.persist(StorageLevel.MEMORY_AND_DISK)
-    return spans.runs()
+    return cached_spans(spark, sf).runs()
 
 
 def _iso_dates(df: DataFrame, *cols: str) -> DataFrame:
