@@ -28,11 +28,18 @@ bit map of fixed size):
    only signatures shared by two different sets survive (G).
 2. A second pass computes every document's set key and, for sets in a bounded
    bit map of G, the set itself; a saturated map only lets more sets pass.
-3. Star round: each set is tested against the smallest set it shares a
-   signature with.  Pieces of a hub's star are salted by their number.
-4. Links become components.  Signatures whose sets are not all in one
-   component are gone through again: pairs of *different* components only.
-   So no pair of different texts stays untested unless already connected.
+3. Elements found in no other set of G bound what a set can share: sets with
+   more than 1 - gamma of them link with nothing and leave G.
+4. Star rounds: a set is tested against hubs, the sets with the most common
+   signatures of their groups, first the best one, then, where a signature's
+   sets are not all in one component, that signature's hub.  Members of a
+   hub are salted by their number.
+5. For sets x, y with distances a, b from a common hub and ux, uy elements of
+   their own, |x ^ y| >= a + b - 2 min(a - ux, b - uy).  Sets that no other
+   one of the group can reach by this bound leave it (per-group minima, no
+   pairs); what is left of different components is paired under the bound,
+   each pair once, and tested.  So no pair of different texts stays untested
+   unless the bound rules it out or it is already connected.
 
 Equal sets are one class and are never paired with each other.
 """
@@ -43,7 +50,6 @@ import itertools
 import math
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +66,17 @@ _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19
                              0xD6E8FEB86659FD93)]
 
 
+_MEMO: dict = {}
+
+
+def _once(f, *args):
+    """f(*args), kept in the task (few bands, so few entries)."""
+    key = (f.__name__, *args)
+    if key not in _MEMO:
+        _MEMO[key] = f(*args)
+    return _MEMO[key]
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -87,7 +104,6 @@ def shingle_set(text: str | None, n: int = 4) -> np.ndarray:
     return np.unique(_mix(acc))
 
 
-@lru_cache(maxsize=None)
 def bands(gamma_num: int, gamma_den: int, top: int) -> tuple[int, ...]:
     """Upper ends of the size bands up to one that covers ``top``: a band
     holds the sizes from one above the previous end to its own end, and the
@@ -100,7 +116,6 @@ def bands(gamma_num: int, gamma_den: int, top: int) -> tuple[int, ...]:
     return tuple(ends)
 
 
-@lru_cache(maxsize=None)
 def scheme(size: int, smallest: int, gamma_num: int, gamma_den: int) -> tuple[int, int, int, int, int]:
     """(n1, n2, k2, m, t) for a band that ends at ``size`` and gets sets of
     ``smallest`` elements and more."""
@@ -122,7 +137,6 @@ def scheme(size: int, smallest: int, gamma_num: int, gamma_den: int) -> tuple[in
     return base, 2, 1, 0, 0
 
 
-@lru_cache(maxsize=None)
 def _subsets(n2: int, k2: int) -> np.ndarray:
     """0/1 rows: the enumerated subsets of n2 - k2 second-level partitions."""
     rows = list(itertools.combinations(range(n2), n2 - k2))
@@ -137,14 +151,14 @@ def signatures(s: np.ndarray, gamma_num: int = 85, gamma_den: int = 100) -> np.n
     size = len(s)
     if not size:
         return np.empty(0, np.uint64)
-    ends = bands(gamma_num, gamma_den, 1 << (2 * size + 4).bit_length())
+    ends = _once(bands, gamma_num, gamma_den, 1 << (2 * size + 4).bit_length())
     own = bisect_left(ends, size)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_mix(s * _C[1]), dtype=np.uint64)))
     high = s >> np.uint64(32)
     out = []
     for b in (own, own + 1):
         below = ends[b - 2] if b >= 2 else 0
-        n1, n2, k2, m, t = scheme(ends[b], below + 1, gamma_num, gamma_den)
+        n1, n2, k2, m, t = _once(scheme, ends[b], below + 1, gamma_num, gamma_den)
         if b > own and size * gamma_den < gamma_num * (ends[own] + 1):
             continue        # no size of the next band is similar to this one
         cells = n1 * n2
@@ -152,7 +166,7 @@ def signatures(s: np.ndarray, gamma_num: int = 85, gamma_den: int = 100) -> np.n
         counts = np.bincount(cell.astype(np.int64), minlength=cells)
         at = np.concatenate((np.zeros(1, np.int64), np.cumsum(counts)))
         part = (sums[at[1:]] - sums[at[:-1]]).reshape(n1, n2)
-        subsets = _subsets(n2, k2)
+        subsets = _once(_subsets, n2, k2)
         sig = part @ subsets.T
         tag = np.arange(sig.size, dtype=np.uint64).reshape(sig.shape) + np.uint64(b << 40)
         sig = _mix(sig ^ _mix(tag * _C[2] + np.uint64(1)))
@@ -270,7 +284,7 @@ def _tested(num: int, den: int):
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, hub_set = None, None
         for batch in batches:
-            a, b = [], []
+            a, b, dist, link = [], [], [], []
             hubs, salts, is_member, nodes, sets = (batch.column(i).to_pylist() for i in range(5))
             for hub, salt, member, node, blob in zip(hubs, salts, is_member, nodes, sets):
                 s = np.frombuffer(blob, np.uint64)
@@ -278,16 +292,18 @@ def _tested(num: int, den: int):
                     at, hub_set = (hub, salt), s
                 elif at == (hub, salt):
                     both = len(np.intersect1d(hub_set, s, assume_unique=True))
-                    if den * both >= num * (len(s) + len(hub_set) - both):
-                        a.append(hub)
-                        b.append(node)
+                    a.append(hub)
+                    b.append(node)
+                    dist.append(len(s) + len(hub_set) - 2 * both)
+                    link.append(den * both >= num * (len(s) + len(hub_set) - both))
             if a:
-                yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()),
+                                       "dist": pa.array(dist, pa.int64()), "link": pa.array(link)})
     return fn
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Of pairs (a, b) those that link.  Every hub a is sent to ceil(members /
+    """Distance of each pair (a, b) and whether it links.  Every hub a is sent to ceil(members /
     STAR_PIECE) places, so a hub of a third of all sets is spread out."""
     spread = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR_PIECE).cast("int").alias("n"))
     hubs = (spread.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
@@ -297,7 +313,48 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
                        F.lit(1).alias("member"), F.col("b").alias("node")))
     rows = hubs.unionByName(members).join(sets, "node").select("hub", "salt", "member", "node", "elements")
     return (rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", "member", "node")
-            .mapInArrow(_tested(num, den), "a long, b long"))
+            .mapInArrow(_tested(num, den), "a long, b long, dist long, link boolean").distinct())
+
+
+def _element_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, 500):
+            part = batch.slice(start, 500)
+            sets = [np.frombuffer(x, np.int64) for x in part.column(1).to_pylist()]
+            nodes = np.repeat(np.asarray(part.column(0)), [len(x) for x in sets])
+            yield pa.record_batch({"element": pa.array(np.concatenate(sets)), "node": pa.array(nodes)})
+
+
+def _with_own_elements(shared: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The rows of G whose set can still link, with its size n and the number
+    u of its elements that no other set of G has."""
+    own = (sets.mapInArrow(_element_rows, "element long, node long")
+           .groupBy("element").agg(F.min("node").alias("node"), F.max("node").alias("other"))
+           .where("node = other").groupBy("node").agg(F.count("*").alias("u")))
+    sizes = sets.select("node", (F.length("elements") / 8).cast("long").alias("n")).distinct()
+    able = (sizes.join(own, "node", "left").select("node", "n", F.coalesce("u", F.lit(0)).alias("u"))
+            .where(F.lit(den) * (F.col("n") - F.col("u")) >= F.lit(num) * F.col("n")))
+    return shared.join(able, "node")
+
+
+def _with_hubs(rows: DataFrame) -> DataFrame:
+    """Signatures of two sets or more, each with its hub: of its sets the one
+    with the most companions over all signatures."""
+    groups = rows.groupBy("sig").agg((F.count("*") - 1).alias("others")).where("others > 0")
+    rows = rows.join(groups, "sig")
+    score = rows.groupBy("node").agg(F.sum("others").alias("score"))
+    rows = rows.join(score, "node").drop("others")
+    hubs = rows.groupBy("sig").agg(F.max(F.struct("score", "node")).alias("hub"))
+    return rows.join(hubs, "sig").select("sig", "node", "n", "u", F.col("hub.node").alias("hub"),
+                                         F.col("hub.score").alias("score"))
+
+
+def _open(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the signatures whose sets are not all in one component."""
+    rows = rows.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    sigs = (rows.groupBy("sig").agg((F.min("comp") != F.max("comp")).alias("open"))
+            .where("open").select("sig"))
+    return rows.join(sigs, "sig")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -320,6 +377,34 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _reachable(rows: DataFrame, tested: DataFrame, num: int, den: int) -> DataFrame:
+    """Untested pairs of different components that the hub bound allows: with
+    p = (num+den)(2u - a) - (den-num) n and q = (num+den) a - (den-num) n, a
+    pair x, y can link only if p(x) + q(y) <= 0 and p(y) + q(x) <= 0."""
+    step = den - num
+    rows = (rows.where("hub != node")
+            .join(tested.select(F.col("a").alias("hub"), F.col("b").alias("node"), "dist"), ["hub", "node"])
+            .withColumn("p", (num + den) * (2 * F.col("u") - F.col("dist")) - step * F.col("n"))
+            .withColumn("q", (num + den) * F.col("dist") - step * F.col("n")))
+    for _ in range(2):
+        least = rows.groupBy("sig").agg(F.min("p").alias("least_p"), F.min("q").alias("least_q"),
+                                        F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        rows = (rows.join(least.where("lo != hi").drop("lo", "hi"), "sig")
+                .where("least_p + q <= 0 and p + least_q <= 0").drop("least_p", "least_q"))
+    rows = written(rows.select("sig", "node", "comp", "p", "q"), "reachable")
+    groups = (rows.groupBy("sig").agg(F.count("*").alias("m"), F.sum(F.xxhash64("node").cast("decimal(38,0)"))
+                                      .alias("members"))
+              .groupBy("m", "members").agg(F.min("sig").alias("sig")).select("sig"))
+    rows = rows.join(groups, "sig")
+    x = rows.select("sig", *[F.col(c).alias(f"x_{c}") for c in ("node", "comp", "p", "q")])
+    y = rows.select("sig", *[F.col(c).alias(f"y_{c}") for c in ("node", "comp", "p", "q")])
+    return (x.join(y, "sig")
+            .where("x_node < y_node and x_comp != y_comp and x_p + y_q <= 0 and y_p + x_q <= 0")
+            .select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct()
+            .join(tested.select("a", "b"), ["a", "b"], "left_anti")
+            .join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
+
+
 def ngram_components(docs: DataFrame, n: int = 4, similarity: tuple[int, int] = (85, 100),
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``.
@@ -341,23 +426,22 @@ def ngram_components(docs: DataFrame, n: int = 4, similarity: tuple[int, int] =
                                       "key2 long, elements binary"), "sets")
     sets = keyed.where("elements is not null").select("node", "elements")
 
-    hubs = shared.groupBy("sig").agg(F.min("node").alias("a"))
-    star = (shared.join(hubs, "sig").groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a"))
-            .where("a < b"))
-    tested = written(star, "star")
-    links = written(_verify(tested, sets, num, den), "links")
-    labels = components(links)
-    rest = (shared.join(labels, "node", "left")
-            .select("sig", "node", F.coalesce("comp", "node").alias("comp")))
-    open_sigs = (rest.groupBy("sig").agg((F.min("comp") != F.max("comp")).alias("open"))
-                 .where("open").select("sig"))
-    rest = written(rest.join(open_sigs, "sig"), "open")
-    left = rest.select("sig", F.col("node").alias("a"), F.col("comp").alias("ca"))
-    right = rest.select("sig", F.col("node").alias("b"), F.col("comp").alias("cb"))
-    pairs = (left.join(right, "sig").where("a < b and ca != cb").select("a", "b").distinct()
-             .join(tested, ["a", "b"], "left_anti"))
-    more = written(_verify(written(pairs, "pairs"), sets, num, den), "links")
-    labels = components(links.unionAll(more))
+    rows = written(_with_hubs(_with_own_elements(shared, sets, num, den)), "rows")
+
+    best = (rows.where("hub != node").groupBy(F.col("node").alias("b"))
+            .agg(F.max(F.struct("score", "hub")).alias("best")).select(F.col("best.hub").alias("a"), "b"))
+    star = written(_verify(written(best, "pairs"), sets, num, den), "tested")
+    labels = components(star.where("link"))
+
+    rest = written(_open(rows, labels).drop("comp"), "open")
+    pairs = (rest.where("hub != node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+             .join(star, ["a", "b"], "left_anti"))
+    star = written(star.unionAll(_verify(written(pairs, "pairs"), sets, num, den)), "tested")
+    labels = components(star.where("link"))
+
+    pairs = _reachable(_open(rest, labels), star, num, den)
+    more = written(_verify(written(pairs, "pairs"), sets, num, den), "tested")
+    labels = components(star.unionAll(more).where("link"))
     classes = (keyed.groupBy("n_shingles", "node", "key2").agg(F.min("doc_id").alias("first"))
                .join(labels, "node", "left"))
     named = classes.withColumn("comp", F.coalesce("comp", "node"))
