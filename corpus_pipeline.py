@@ -8,10 +8,55 @@ the tests compare each stage with a brute-force version.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from delaystats.llm import byte_bpe, decontaminate, ngram_join, secret_scan, toxicity
+from delaystats.llm.common import table
+from delaystats.llm.queries import byte_bpe_tokenizer
 from delaystats.session import scratch_path
 
-STAGES: list = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the toxicity model rejects go."""
+    return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays (five words, 0.8)."""
+    return ngram_join.keep_one(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are masked; n_chars follows the text."""
+    forest = secret_scan.fit(secret_scan.labelled_findings(docs, path_col="source"), docs)
+    found = secret_scan.scan(docs, forest, path_col="source")
+    masked = {"text": F.col("redacted")}
+    if "n_chars" in docs.columns:
+        masked["n_chars"] = F.when(F.size("secrets") > 0, F.char_length("redacted").cast("long")).otherwise(
+            F.col("n_chars"))
+    return found.withColumns(masked).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document that is left, and the hash of what they decode to."""
+    bpe = byte_bpe_tokenizer()
+    return byte_bpe.encoded(docs, bpe).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
+        F.sha2(bpe.decode(F.col("ids")), 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard_join", drop_near_copies),
+    ("benchmark_decontamination", drop_leaks),
+    ("secret_scan", mask_secrets),
+    ("byte_bpe", encode),
+]
 
 ORACLE_SQL = None
 

@@ -452,3 +452,18 @@ def ngram_components(docs: DataFrame, n: int = 4, similarity: tuple[int, int] =
             .select("doc_id", "n_shingles", "component_id"))
     empty = keyed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return full.unionAll(empty)
+
+
+def keep_one(docs: DataFrame, n: int = 5, similarity: tuple[int, int] = (80, 100),
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns kept, that name their component: one
+    document of each group of near copies, the one with the smallest id.
+
+    Documents without words all stay, as do rows without an id.  Rows that
+    share an id are one document where their texts are equal.
+    """
+    found = ngram_components(docs.select(id_col, text_col), n, similarity, id_col, text_col)
+    named = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows"))
+    rows = docs.join(named.withColumnRenamed("doc_id", "_id"), F.col(id_col) == F.col("_id")).drop("_id")
+    once, more = rows.where("_rows = 1"), rows.where("_rows > 1").dropDuplicates([id_col, text_col])
+    return once.unionAll(more).drop("_rows").unionAll(docs.where(F.col(id_col).isNull()))

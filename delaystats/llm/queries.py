@@ -1,20 +1,81 @@
-"""The registered queries of this subpackage: name -> (spark, sf_dir) -> DataFrame."""
+"""The registered queries of this subpackage: name -> (spark, sf_dir) -> DataFrame.
+
+Each applies one operator with its production parameters to a whole table and
+derives the columns of its contract from the operator's output.  None of the
+results can be stated in SQL over the tables (trained models, tokenizers,
+iterative joins, archives), so ORACLE_SQL is empty and ``tests/llm`` compares
+each with a brute-force version.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from delaystats.llm import byte_bpe, decontaminate, ngram_join, quality, secret_scan, toxicity
+from delaystats.llm.common import held_out, table
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer file (installed with the environment)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
-from delaystats.llm import ngram_join
-from delaystats.llm.common import table
+
+def byte_bpe_tokenizer() -> byte_bpe.ByteBpe:
+    import public_tokenizers
+
+    ranks = byte_bpe.read_ranks(tokenizer_path("byte_bpe_multi_50k.tiktoken"))
+    return byte_bpe.ByteBpe(ranks, public_tokenizers.PATTERN)
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bpe = byte_bpe_tokenizer()
+    rows = byte_bpe.encoded(table(spark, sf_dir, "documents"), bpe)
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                       F.sha2(bpe.decode(F.col("ids")), 256).alias("decoded_sha256"))
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.coverage(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.leaks(found)
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    forest = secret_scan.fit(secret_scan.labelled_findings(docs, path_col="source"), docs)
+    return secret_scan.scan(docs, forest, path_col="source").select(
+        "doc_id", "n_candidates", F.size("secrets").alias("n_secrets"), "secrets",
+        F.sha2(F.col("redacted").cast("binary"), 256).alias("redacted_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_toxicity": op2_toxicity,
+    "op3_quality_rules": op3_quality_rules,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_secret_scan": op10_secret_scan,
 }
 ORACLE_SQL: dict[str, str] = {}
