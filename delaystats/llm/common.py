@@ -34,3 +34,13 @@ def hash_sample(df: DataFrame, id_col: str, rows: int, seed: int) -> DataFrame:
     (a uniform sample that does not depend on partitioning or order)."""
     return (df.withColumn("_h", F.xxhash64(F.lit(seed), F.col(id_col)))
             .orderBy("_h", id_col).limit(rows).drop("_h"))
+
+
+def worker_cache(name: str) -> dict:
+    """A dict that lives as long as the Python worker process, so that tasks
+    run by the same worker share it."""
+    import sys
+    import types
+
+    module = sys.modules.setdefault("_delaystats_worker_cache", types.ModuleType("_delaystats_worker_cache"))
+    return module.__dict__.setdefault(name, {})
