@@ -316,6 +316,14 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             .mapInArrow(_tested(num, den), "a long, b long, dist long, link boolean").distinct())
 
 
+def _kept_sets(bits: bytes):
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(table[np.asarray(batch.column(0)) & (len(table) - 1)]))
+    return fn
+
+
 def _element_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, 500):
@@ -396,10 +404,13 @@ def _reachable(rows: DataFrame, tested: DataFrame, num: int, den: int) -> DataFr
                                       .alias("members"))
               .groupBy("m", "members").agg(F.min("sig").alias("sig")).select("sig"))
     rows = rows.join(groups, "sig")
-    x = rows.select("sig", *[F.col(c).alias(f"x_{c}") for c in ("node", "comp", "p", "q")])
-    y = rows.select("sig", *[F.col(c).alias(f"y_{c}") for c in ("node", "comp", "p", "q")])
+    # a pair is made by the smallest of its common signatures only
+    rows = rows.join(rows.groupBy("node").agg(F.collect_list("sig").alias("sigs")), "node")
+    x = rows.select("sig", *[F.col(c).alias(f"x_{c}") for c in ("node", "comp", "p", "q", "sigs")])
+    y = rows.select("sig", *[F.col(c).alias(f"y_{c}") for c in ("node", "comp", "p", "q", "sigs")])
     return (x.join(y, "sig")
-            .where("x_node < y_node and x_comp != y_comp and x_p + y_q <= 0 and y_p + x_q <= 0")
+            .where("x_node < y_node and x_comp != y_comp and x_p + y_q <= 0 and y_p + x_q <= 0 "
+                   "and array_min(array_intersect(x_sigs, y_sigs)) = sig")
             .select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct()
             .join(tested.select("a", "b"), ["a", "b"], "left_anti")
             .join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
@@ -427,6 +438,8 @@ def ngram_components(docs: DataFrame, n: int = 4, similarity: tuple[int, int] =
     sets = keyed.where("elements is not null").select("node", "elements")
 
     rows = written(_with_hubs(_with_own_elements(shared, sets, num, den)), "rows")
+    left = _bitmap(rows.select("node").distinct())
+    sets = written(sets.mapInArrow(_kept_sets(left), "node long, elements binary"), "alive")
 
     best = (rows.where("hub != node").groupBy(F.col("node").alias("b"))
             .agg(F.max(F.struct("score", "hub")).alias("best")).select(F.col("best.hub").alias("a"), "b"))
