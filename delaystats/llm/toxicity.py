@@ -21,19 +21,19 @@ learnt from.  Scoring is one Arrow pass over every whole text.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaystats.llm.common import hash_sample, held_out
 
-POSITIVES = 3000        # confirmed toxic texts in the fit, at most
-UNLABELLED = 6000       # unlabelled texts in the fit, at most
+POSITIVES = 2500        # confirmed toxic texts in the fit, at most
+UNLABELLED = 5000       # unlabelled texts in the fit, at most
 MIN_POSITIVES = 5       # a word counts if so many P texts have it
 MIN_SHARE = 0.01        # ... and this share of them (a family of near copies is no evidence)
 MIN_Z = 5.0             # ... and so many standard errors more often than U texts
@@ -64,30 +64,38 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
-def fit_nnpu(positive: list[list[str]], unlabelled: list[list[str]], prior: float) -> Model:
-    """Minimise the non-negative risk by full-batch Adam in numpy."""
-    seen = Counter(w for doc in positive for w in set(doc))
-    usual = Counter(w for doc in unlabelled for w in set(doc))
-
-    def z(word: str, count: int) -> float:
-        a, b = max(len(positive), 1), max(len(unlabelled), 1)
-        share = (count + usual[word]) / (a + b)
-        return (count / a - usual[word] / b) / max((share * (1 - share) * (1 / a + 1 / b)) ** 0.5, 1e-9)
-
-    least = max(min(MIN_POSITIVES, max(len(positive) // 4, 1)), int(MIN_SHARE * len(positive)))
-    vocab = [w for w, c in sorted(seen.items(), key=lambda x: (-x[1], x[0]))
-             if c >= least and z(w, c) >= MIN_Z][:VOCABULARY]
-    if not positive or not vocab:
+def fit_nnpu(positive, unlabelled, prior: float) -> Model:
+    """Minimise the non-negative risk by full-batch Adam in numpy.  The texts
+    are lists of distinct words (Python or Arrow lists)."""
+    kind = pa.list_(pa.string())
+    p_docs, u_docs = (x.cast(kind) if isinstance(x, pa.Array) else pa.array(x, kind) for x in (positive, unlabelled))
+    if not len(u_docs):
+        u_docs = p_docs
+    coded = pc.dictionary_encode(pa.concat_arrays([p_docs.flatten(), u_docs.flatten()]))
+    codes = np.asarray(coded.indices).astype(np.int64)
+    words, size = coded.dictionary, len(coded.dictionary)
+    cut = len(p_docs.flatten())
+    n_p, n_u = max(len(p_docs), 1), max(len(u_docs), 1)
+    seen, usual = np.bincount(codes[:cut], minlength=size), np.bincount(codes[cut:], minlength=size)
+    share = (seen + usual) / (n_p + n_u)
+    z = (seen / n_p - usual / n_u) / np.maximum(np.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u)), 1e-9)
+    least = max(min(MIN_POSITIVES, max(len(p_docs) // 4, 1)), int(MIN_SHARE * len(p_docs)))
+    picked = np.flatnonzero((seen >= least) & (z >= MIN_Z))
+    names = words.take(pa.array(picked)).to_pylist()
+    order = sorted(range(len(picked)), key=lambda i: (-seen[picked[i]], names[i]))[:VOCABULARY]
+    vocab = [names[i] for i in order]
+    if not vocab:
         return Model({}, -40.0 if prior <= 0 else float(np.log(prior / max(1 - prior, 1e-9))))
-    at = {w: i for i, w in enumerate(vocab)}
     prior = min(max(prior, 1e-4), 0.9)
+    column = np.full(size, -1)
+    column[picked[order]] = np.arange(len(vocab))
 
-    def sparse(docs):
-        cols = [sorted(at[w] for w in set(d) if w in at) for d in docs]
-        return (np.repeat(np.arange(len(docs)), [len(c) for c in cols]),
-                np.fromiter((i for c in cols for i in c), np.int64), len(docs))
+    def sparse(docs, part):
+        row = np.repeat(np.arange(len(docs)), np.diff(np.asarray(docs.offsets)))
+        col = column[part]
+        return row[col >= 0], col[col >= 0], len(docs)
 
-    p, u = sparse(positive), sparse(unlabelled or positive)
+    p, u = sparse(p_docs, codes[:cut]), sparse(u_docs, codes[cut:])
     w, b = np.zeros(len(vocab)), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(len(vocab) + 1), np.zeros(len(vocab) + 1)
 
@@ -137,7 +145,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def lists(chosen):      # at most POSITIVES or UNLABELLED ids, so the broadcast is bounded
         rows = texts.join(F.broadcast(chosen), "doc_id", "left_semi").select("text")
-        return [r.words for r in rows.mapInArrow(_word_lists, "words array<string>").collect()]
+        got = rows.mapInArrow(_word_lists, "words array<string>").toArrow().column("words")
+        return pa.concat_arrays(got.chunks) if got.num_chunks else pa.array([], pa.list_(pa.string()))
 
     return fit_nnpu(lists(chosen_p), lists(chosen_u), float(prior))
 
