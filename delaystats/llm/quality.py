@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from delaystats.llm.common import hash_sample
 
-SAMPLE = 4000           # labelled texts in the fit, at most
+SAMPLE = 2000           # labelled texts in the fit, at most
 BITS = 15               # hashed features per family
 THRESHOLD = 0.5         # calibrated probability of good quality to keep
 MIN_WORDS = 50
@@ -112,9 +112,9 @@ def fit_logistic(texts: list[str], labels: list[int]) -> Model:
         for ids in features(t):
             if len(ids):
                 u, c = np.unique(ids, return_counts=True)
-                rows.append(np.full(len(u), i))
-                cols.append(u)
-                vals.append(c / len(ids))
+                rows.append(np.full(len(u), i, np.int32))
+                cols.append(u.astype(np.int32))
+                vals.append((c / len(ids)).astype(np.float32))
     r, c, x = (np.concatenate(a) for a in (rows, cols, vals))
     y = np.asarray(labels, float)
     n = len(y)
