@@ -37,8 +37,8 @@ from delaystats.llm.common import hash_sample
 BASE = 256                  # code point of token 0
 PAIR_BUCKETS = 1 << 15
 WORD_BUCKETS = 1 << 16
-CACHE_WORDS = 300_000       # words in the literal, at most
-CACHE_TEXTS = 12_000         # texts whose words are counted for it
+CACHE_WORDS = 200_000       # words in the literal, at most
+CACHE_TEXTS = 8000           # texts whose words are counted for it
 BLOCK_CHARS = 16_000_000    # characters of text per block (a longer text is a block)
 NO_RANK = "\uffff"          # sorts after every token
 
@@ -138,9 +138,14 @@ class ByteBpe:
         words = (sample.select(F.explode(self.split(F.col("text"))).alias("word")).groupBy("word").count()
                  .where(~F.col("word").rlike("[\\x01-\\x03]"))
                  .orderBy(F.desc("count"), "word").limit(CACHE_WORDS).select("word"))
-        rows = words.repartition(words.sparkSession.sparkContext.defaultParallelism).select(
-            "word", self.fold(F.col("word")).alias("tokens")).collect()
-        self.words = _buckets([(r.word, r.tokens) for r in rows], WORD_BUCKETS, "") if rows else None
+        tokens = words.repartition(words.sparkSession.sparkContext.defaultParallelism).select(
+            (F.crc32(F.col("word").cast("binary")) % WORD_BUCKETS).cast("int").alias("bucket"),
+            F.concat(F.lit("\x01"), "word", F.lit("\x02"), self.fold(F.col("word"))).alias("entry"))
+        got = (tokens.groupBy("bucket").agg(F.array_join(F.sort_array(F.collect_list("entry")), "").alias("entries"))
+               .toArrow())
+        held = dict(zip(got.column("bucket").to_pylist(), got.column("entries").to_pylist()))
+        del got
+        self.words = F.split(F.lit("\x03".join(held.get(b, "") for b in range(WORD_BUCKETS))), "\x03") if held else None
         return self
 
     def tokens(self, words: Column) -> Column:
