@@ -95,8 +95,10 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     path = token_ids.write_ids(table(spark, sf_dir, "documents"), scratch_path(spark, "llm", "token-ids"),
-                               tokenizer_path("byte_bpe_50k.json"))
+                               tokenizer_path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
     return token_ids.read_ids(spark, path).select(
         "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
