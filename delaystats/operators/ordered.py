@@ -32,12 +32,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import delaystats
 from delaystats.session import scratch_path
 
+# The Arrow passes are pickled by value: workers need not import the package.
+cloudpickle.register_pickle_by_value(delaystats)
+
 PID = "_pid"
 # Segment tables smaller than this are broadcast; otherwise a shuffle join.
 SEGMENT_BROADCAST_ROWS = 200_000
@@ -61,8 +66,12 @@ def _changes(a: np.ndarray, prev, has_prev: bool, null_breaks: bool) -> np.ndarr
         if n > 1:
             ch[1:] |= isna[1:] | isna[:-1]
         ch[0] = (not has_prev) or bool(isna[0]) or prev is None or (prev != prev) or bool(a[0] != prev)
-    else:
-        ch[0] = (not has_prev) or bool(a[0] != prev)
+    else:       # in a scope column, null equals null
+        isna = pd.isna(a)
+        if n > 1:
+            ch[1:] = np.where(isna[1:] | isna[:-1], isna[1:] != isna[:-1], ch[1:])
+        both_null = has_prev and bool(pd.isna(prev)) and bool(isna[0])
+        ch[0] = (not has_prev) or (not both_null and (bool(pd.isna(prev)) or bool(isna[0]) or bool(a[0] != prev)))
     return ch
 
 
@@ -216,7 +225,9 @@ def _small_join(big: DataFrame, small: DataFrame, on: list[str], max_rows: int,
     ``max_rows``; else a shuffle join."""
     if small_rows <= max_rows:
         small = F.broadcast(small)
-    return big.join(small, on)
+    small = small.withColumnsRenamed({c: f"_s_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in on]      # a null scope is a scope
+    return big.join(small, same).drop(*[f"_s_{c}" for c in on])
 
 
 @dataclass

@@ -47,12 +47,15 @@ def build_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting one only if unset."""
+    """Return the session's checkpoint folder, setting one only if unset, and
+    only on a local master: executors elsewhere would not see a local folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     base = configured or tempfile.mkdtemp(prefix="delaystats-ckpt-")
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir()
