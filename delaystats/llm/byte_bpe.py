@@ -35,10 +35,10 @@ from pyspark.sql import functions as F
 from delaystats.llm.common import hash_sample
 
 BASE = 256                  # code point of token 0
-PAIR_BUCKETS = 1 << 15
-WORD_BUCKETS = 1 << 16
-CACHE_WORDS = 200_000       # words in the literal, at most
-CACHE_TEXTS = 8000           # texts whose words are counted for it
+PAIR_BUCKETS = 1 << 14
+WORD_BUCKETS = 1 << 14
+CACHE_WORDS = 60_000        # words in the literal, at most
+CACHE_TEXTS = 3000           # texts whose words are counted for it
 BLOCK_CHARS = 16_000_000    # characters of text per block (a longer text is a block)
 NO_RANK = "\uffff"          # sorts after every token
 
@@ -57,6 +57,17 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+def last_merge(token: bytes, ranks: dict[bytes, int]) -> tuple[bytes, bytes]:
+    """The two tokens whose merge makes ``token``: ranked merges run over its
+    own bytes until two parts are left.  A token comes about in no other way:
+    no merge crosses its ends, and inside them the merges are always the same."""
+    parts = [token[i:i + 1] for i in range(len(token))]
+    while len(parts) > 2:
+        i = min(range(len(parts) - 1), key=lambda k: ranks.get(parts[k] + parts[k + 1], 1 << 40))
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+    return parts[0], parts[1]
+
+
 def _buckets(entries: list[tuple[str, str]], n: int, default: str) -> Column:
     """Literal array of n strings: ``default``, then \\x01 key \\x02 value of
     the keys with crc32(key) mod n."""
@@ -84,9 +95,10 @@ class ByteBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.python_pattern, self.pattern = pattern, java_pattern(pattern)
         self.char = {t: chr(r + BASE) for t, r in ranks.items()}
-        pairs = [(self.char[t[:i]] + self.char[t[i:]], c) for t, c in self.char.items()
-                 for i in range(1, len(t)) if t[:i] in self.char and t[i:] in self.char]
+        pairs = [(self.char[a] + self.char[b], self.char[a + b])
+                 for a, b in (last_merge(t, ranks) for t in ranks if len(t) > 1)]
         self.pairs = _buckets(pairs, PAIR_BUCKETS, NO_RANK)
+        del pairs
         size = max(ranks.values()) + 1
         pieces = [""] * size
         for t, r in ranks.items():
