@@ -26,8 +26,7 @@ from delaystats.llm.byte_bpe import _chunks
 from delaystats.llm.common import worker_cache, written
 
 BLOCK_IDS = 1 << 16         # ids after which a block is closed
-CACHED_CHUNKS = 250_000     # encoded text chunks a worker keeps
-CACHED_WORDS = 500_000      # encoded words a worker keeps
+CACHED_CHUNKS = 600_000     # encoded text chunks a worker keeps
 #: Selector -> (values per word, bits per value).
 SELECTORS = ((240, 0), (1, 32), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8),
              (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
@@ -109,36 +108,30 @@ def unpack(words: np.ndarray) -> np.ndarray:
     return out
 
 
-def _encoder(tokenizer_json: str, pattern: str):
-    """text -> little-endian uint32 ids.  A worker keeps the ids of chunks of
-    text (see ``_chunks``) and, while there is room, of the words in them; the
-    library encodes every word that is new."""
-    import regex
+def _encoder(tokenizer_json: str):
+    """text -> little-endian uint32 ids; the library encodes each chunk of
+    text (see ``_chunks``) once per worker while the cache has room."""
     from tokenizers import Tokenizer
 
     library = worker_cache("tokenizers")
     if tokenizer_json not in library:
         t = Tokenizer.from_str(tokenizer_json)
         t.encode_special_tokens = True
-        library[tokenizer_json] = t, {}, {}
-    t, chunks, words = library[tokenizer_json]
-    split = regex.compile(pattern).findall
+        library[tokenizer_json] = t, {}
+    t, cache = library[tokenizer_json]
 
     def encode(texts: list[str]) -> list[bytes]:
         cut = [_chunks(x) for x in texts]
-        missing = {c: split(c) for c in set().union(*cut).difference(chunks)} if cut else {}
-        unknown = list(set().union(*missing.values()).difference(words)) if missing else []
-        new = {w: np.array(e.ids, "<u4").tobytes()
-               for w, e in zip(unknown, t.encode_batch_fast(unknown, add_special_tokens=False))}
-        known = _Both(words, new) if len(words) + len(new) > CACHED_WORDS else words
-        if known is words:
-            words.update(new)
-        found = {c: b"".join(map(known.__getitem__, x)) for c, x in missing.items()}
-        if len(chunks) + len(found) <= CACHED_CHUNKS:
-            chunks.update(found)
-            return [b"".join(map(chunks.__getitem__, x)) for x in cut]
-        both = _Both(chunks, found)
-        return [b"".join(map(both.__getitem__, x)) for x in cut]
+        known = cache
+        missing = list(set().union(*cut).difference(cache)) if cut else []
+        if missing:
+            new = {c: np.array(e.ids, "<u4").tobytes()
+                   for c, e in zip(missing, t.encode_batch_fast(missing, add_special_tokens=False))}
+            if len(cache) + len(new) <= CACHED_CHUNKS:
+                cache.update(new)
+            else:
+                known = _Both(cache, new)
+        return [b"".join(map(known.__getitem__, x)) for x in cut]
     return encode
 
 
@@ -156,11 +149,11 @@ class _Both(dict):
 _BLOCK = ("part int, block int, part_start long, n_ids long, doc_ids array<long>, counts array<int>, data binary")
 
 
-def _block_rows(tokenizer_json: str, pattern: str, end_id: int):
+def _block_rows(tokenizer_json: str, end_id: int):
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = _encoder(tokenizer_json, pattern)
+        encode = _encoder(tokenizer_json)
         end = np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         ids, raw, total, block, start = [], [], 0, 0, 0
@@ -190,10 +183,9 @@ def _block_rows(tokenizer_json: str, pattern: str, end_id: int):
     return fn
 
 
-def write_ids(docs: DataFrame, path: str, tokenizer_file: str, pattern: str, end_id: int = 0,
+def write_ids(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 0,
               id_col: str = "doc_id", text_col: str = "text") -> str:
     """Write the ids of every row, ``end_id`` after each, in ascending id order.
-    ``pattern`` is the one by which the tokenizer splits text into words.
 
     Null text is empty (the end id alone); null ids come first; rows with the
     same id are ordered by a hash of their text, and an id with very many rows
@@ -205,7 +197,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_file: str, pattern: str, end
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     order = ["doc_id", F.xxhash64("text")]
     (rows.repartitionByRange(*order).sortWithinPartitions(*order)
-     .mapInArrow(_block_rows(tokenizer_json, pattern, end_id), _BLOCK).write.parquet(path))
+     .mapInArrow(_block_rows(tokenizer_json, end_id), _BLOCK).write.parquet(path))
     return path
 
 
