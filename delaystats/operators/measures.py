@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -170,7 +171,9 @@ def date_range_sum(df: DataFrame, carrier: str, lo: str | dt.date, hi: str | dt.
     """Sum over a date range: open (lo < d < hi) or closed (lo <= d <= hi)."""
     lo_d, hi_d = _as_date(lo), _as_date(hi)
     d = F.col(date_col)
-    in_range = d.between(F.lit(lo_d), F.lit(hi_d)) if closed else (d > F.lit(lo_d)) & (d < F.lit(hi_d))
+    # make_date, as a date literal before the year 1000 is refused
+    lo_c, hi_c = (F.make_date(F.lit(x.year), F.lit(x.month), F.lit(x.day)) for x in (lo_d, hi_d))
+    in_range = d.between(lo_c, hi_c) if closed else (d > lo_c) & (d < hi_c)
     return (df.where(_month_prune(lo_d, hi_d) & (F.col("uniquecarrier") == carrier) & in_range)
             .agg(zero_sum(measure).alias("total")))
 
@@ -185,7 +188,8 @@ def calendar_month_ranges(year: int) -> list[tuple[dt.date, dt.date]]:
     return out
 
 
-MAX_RANGE_MONTH_ROWS = 100_000
+#: Range-month rows up to which Spark may broadcast them (some 3 MB).
+BROADCAST_RANGE_MONTHS = 100_000
 
 
 def range_sums(spark: SparkSession, df: DataFrame, carrier: str,
@@ -193,34 +197,35 @@ def range_sums(spark: SparkSession, df: DataFrame, carrier: str,
                date_col: str = "flightdate", measure: str = MEASURE) -> DataFrame:
     """Closed-range sums for a list of (lo, hi) date ranges, one row per range.
 
-    Instead of a nested-loop range join, every range is expanded into the
-    (year, month) partitions it touches and joined on those partition
-    columns (an equi-join; the expanded list also drives dynamic partition
-    pruning), then the exact bounds are applied.  A row inside overlapping
-    ranges counts in each.  The expanded list has one row per (range, month)
-    and is built from the caller's list, so its size is known up front.
+    Rows are first added up per date, so overlapping ranges never multiply
+    rows: what is joined is one total per calendar day.  Every range is
+    expanded into the (year, month) pairs it touches and joined on those (an
+    equi-join instead of a nested loop), then the exact bounds are applied.
+    A date inside overlapping ranges counts in each; a range without rows, or
+    with hi < lo, has the sum 0.  The number of range-month rows follows from
+    the list: above BROADCAST_RANGE_MONTHS they are merge-joined.
     """
     spans = [(_as_date(lo), _as_date(hi)) for lo, hi in ranges]
-    n_rows = sum((hi.year - lo.year) * 12 + hi.month - lo.month + 1 for lo, hi in spans if hi >= lo)
-    if n_rows > MAX_RANGE_MONTH_ROWS:
-        raise ValueError(f"{n_rows} range-month rows: pass fewer or shorter ranges")
-    rng = spark.range(1).select(F.inline(F.array(*[
-        F.struct(F.lit(i + 1).alias("range_id"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
-        for i, (lo, hi) in enumerate(spans)])))
+    rng = spark.createDataFrame(pa.table({
+        "range_id": pa.array(range(1, len(spans) + 1), pa.int32()),
+        "lo": pa.array([lo for lo, _ in spans], pa.date32()),
+        "hi": pa.array([hi for _, hi in spans], pa.date32())}))
     by_month = (rng.where(F.col("hi") >= F.col("lo"))
                 .select("range_id", "lo", "hi",
                         F.explode(F.sequence(F.trunc("lo", "MM"), F.trunc("hi", "MM"),
                                              F.expr("INTERVAL 1 MONTH"))).alias("m"))
                 .select("range_id", "lo", "hi", F.year("m").alias("year"), F.month("m").alias("month")))
-    d = F.col(date_col)
-    lo_all = min(lo for lo, _ in spans) if spans else dt.date(1, 1, 1)
-    hi_all = max(hi for _, hi in spans) if spans else dt.date(1, 1, 1)
-    rows = df.where((F.col("uniquecarrier") == carrier) & _month_prune(lo_all, hi_all)) \
-        .select("year", "month", d.alias("_d"), F.col(measure).alias("_v"))
-    sums = (rows.join(F.broadcast(by_month), ["year", "month"])
+    n_months = sum((hi.year - lo.year) * 12 + hi.month - lo.month + 1 for lo, hi in spans if hi >= lo)
+    if n_months > BROADCAST_RANGE_MONTHS:
+        by_month = by_month.hint("merge")
+    lo_all = min((lo for lo, _ in spans), default=dt.date(1, 1, 1))
+    hi_all = max((hi for _, hi in spans), default=dt.date(1, 1, 1))
+    daily = (df.where((F.col("uniquecarrier") == carrier) & _month_prune(lo_all, hi_all))
+             .groupBy("year", "month", F.col(date_col).alias("_d")).agg(F.sum(measure).alias("_v")))
+    sums = (daily.join(by_month, ["year", "month"])
             .where(F.col("_d").between(F.col("lo"), F.col("hi")))
             .groupBy("range_id").agg(F.sum("_v").cast("double").alias("_total")))
-    return (rng.join(F.broadcast(sums), "range_id", "left")
+    return (rng.join(sums, "range_id", "left")
             .select("range_id", "lo", "hi", F.coalesce("_total", F.lit(0.0)).alias("total")))
 
 

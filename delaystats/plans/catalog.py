@@ -12,6 +12,7 @@ import datetime as dt
 import hashlib
 import os
 import threading
+from collections import defaultdict
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -31,6 +32,7 @@ from delaystats.sources.testdata import (
     STORE_SCHEMA,
     flight_store,
     flights_raw,
+    source_key,
     store_path,
 )
 
@@ -39,20 +41,27 @@ EMPTY_YEAR = 1900
 RANGE_LO, RANGE_HI = dt.date(YEAR, 1, 1), dt.date(YEAR, 1, 31)
 RUN_ORDER = ["day", "flightnum", *SEQ]          # total order for runs
 CLUSTER_ORDER = ["flightnum", "day", *SEQ]      # clustering order of the final layout
-BUCKETS = 8
+BUCKETS = 8                                     # at least
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_STAGED: dict[tuple, object] = {}
-_LOCK = threading.Lock()
+_STAGED: dict[tuple, tuple[str, object]] = {}
+_LOCKS: dict[tuple, threading.Lock] = defaultdict(threading.Lock)
 
 
 def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], object]):
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), what)
-    with _LOCK:
-        if key not in _STAGED:
-            _STAGED[key] = make()
-        return _STAGED[key]
+    """make() once per session and state of the input: other files, sizes or
+    times of ``lineitem`` make it anew.  Only callers of the same thing wait."""
+    app, source = source_key(spark, sf_dir)
+    key = (app, os.path.abspath(sf_dir), what)
+    with _LOCKS[key]:
+        if key not in _STAGED or _STAGED[key][0] != source:
+            old = _STAGED.pop(key, ("", None))[1]
+            frame = getattr(old, "pieces", old)
+            if isinstance(frame, DataFrame):
+                frame.unpersist()
+            _STAGED[key] = source, make()
+        return _STAGED[key][1]
 
 
 def staged_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -68,7 +77,8 @@ def bucketed_table(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     def make():
         path = scratch_path(spark, "bucketed")
         name = "delaystats_bucketed_" + hashlib.sha1(path.encode()).hexdigest()[:12]
-        layout.write_bucketed(flight_store(spark, sf_dir), name, path, BUCKETS,
+        buckets = layout.bucket_count(spark, store_path(spark, sf_dir), BUCKETS)
+        layout.write_bucketed(flight_store(spark, sf_dir), name, path, buckets,
                               bucket_by=("uniquecarrier", "flightnum"),
                               sort_by=("uniquecarrier", "flightnum", "year", "month", "day"))
         return name, path
@@ -109,8 +119,7 @@ def _upsert_cols(df: DataFrame) -> DataFrame:
 
 
 def native_count(spark, sf):
-    n = layout.native_count(spark, store_path(spark, sf), STORE_SCHEMA)
-    return spark.range(1).select(F.lit(n).cast("bigint").alias("n"))
+    return layout.native_count(spark, store_path(spark, sf), STORE_SCHEMA)
 
 
 def cached_base(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,6 @@ clustering columns.  Here a keyed table is a Parquet directory:
 from __future__ import annotations
 
 from collections.abc import Sequence
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -96,10 +95,12 @@ def write_keyed(df: DataFrame, table: KeyedLayout, path: str, seq: Sequence[str]
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, buckets: int,
-                   bucket_by: str = "uniquecarrier",
+                   bucket_by: str | Sequence[str] = "uniquecarrier",
                    sort_by: tuple[str, ...] = ("year", "month", "flightnum", "day")) -> str:
-    (df.write.mode("overwrite")
-     .bucketBy(buckets, bucket_by)
+    keys = [bucket_by] if isinstance(bucket_by, str) else list(bucket_by)
+    # one exchange on the bucket key: a file per bucket, not tasks x buckets
+    (df.repartition(buckets, *keys).write.mode("overwrite")
+     .bucketBy(buckets, keys)
      .sortBy(*sort_by)
      .option("path", path)
      .format("parquet")
@@ -118,21 +119,31 @@ def bucket_bytes(spark: SparkSession, path: str) -> DataFrame:
     return files.groupBy(bucket.alias("bucket")).agg(F.sum("length").alias("bytes"))
 
 
-# A bucket larger than this many times its fair share (and than the floor)
-# is too big for the one task a bucketed scan gives it.
-SKEW_FACTOR = 3.0
-SKEW_FLOOR_BYTES = 256 << 20
+# A bucket above this size is too big for the one task a bucketed scan gives it.
+BUCKET_BYTES = 256 << 20
+
+
+def bucket_count(spark: SparkSession, path: str, least: int = 8) -> int:
+    """Buckets for rows now stored below ``path``: half of BUCKET_BYTES each."""
+    return max(least, -(-stored_bytes(spark, path) // (BUCKET_BYTES // 2)))
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``, from the store's own summary."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
 
 
 def read_bucketed(spark: SparkSession, table: str, path: str, buckets: int,
-                  factor: float = SKEW_FACTOR, floor_bytes: int = SKEW_FLOOR_BYTES) -> DataFrame:
-    """The bucketed table, scanned by bucket unless one bucket is hot.
+                  factor: float = 0.0, floor_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """The bucketed table, scanned by bucket unless one bucket is too big.
 
     A bucketed scan reads each bucket in exactly one task: shuffle-free, but
-    a hot key makes that one task hold its whole bucket.  When the largest
-    bucket exceeds ``factor`` x its fair share, read the same files as plain
-    Parquet instead: files split across tasks, and the consumer's partial
-    aggregation / partial window limit absorbs the hot key before its shuffle.
+    that task holds its whole bucket.  When the largest bucket exceeds
+    ``floor_bytes`` (and ``factor`` x its fair share, if one is given), read
+    the same files as plain Parquet instead: files split across tasks, and the
+    consumer's partial aggregation / partial window limit absorbs a hot key
+    before its shuffle.
     """
     stats = bucket_bytes(spark, path).agg(F.max("bytes").alias("mx"), F.sum("bytes").alias("tot")).first()
     mx, tot = (stats["mx"] or 0), (stats["tot"] or 0)
@@ -146,35 +157,25 @@ def read_layout(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).parquet(path)
 
 
-@contextmanager
-def _conf(spark: SparkSession, settings: dict[str, str]):
-    old = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+def _footer_session(spark: SparkSession) -> SparkSession:
+    """A session of its own for footer counts: the caller's settings, and
+    queries planned meanwhile, are not touched."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own
 
 
-def native_count(spark: SparkSession, path: str, schema: T.StructType) -> int:
-    """Row count answered from Parquet footers, moving no rows.
+def native_count(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """One row ``n``: the row count answered from Parquet footers, moving no rows.
 
     The v2 Parquet scan pushes ``COUNT(*)`` into the files (each task reads
-    footers only); the session settings are restored afterwards.
+    footers only).  The frame is lazy and belongs to a session of its own.
     """
-    with _conf(spark, {"spark.sql.sources.useV1SourceList": "",
-                       "spark.sql.parquet.aggregatePushdown": "true"}):
-        return read_layout(spark, path, schema).agg(F.count(F.lit(1))).first()[0]
+    return read_layout(_footer_session(spark), path, schema).agg(F.count(F.lit(1)).alias("n"))
 
 
 def count_plan(spark: SparkSession, path: str, schema: T.StructType) -> str:
     """Formatted plan of the footer count (for plan assertions)."""
-    with _conf(spark, {"spark.sql.sources.useV1SourceList": "",
-                       "spark.sql.parquet.aggregatePushdown": "true"}):
-        from delaystats.plans.explain import plan_text
-        return plan_text(read_layout(spark, path, schema).agg(F.count(F.lit(1))))
+    from delaystats.plans.explain import plan_text
+    return plan_text(native_count(spark, path, schema))

@@ -13,8 +13,10 @@ DuckDB oracle can build the same rows from the same parquet.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import threading
+from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,17 +115,23 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _STORES: dict[tuple[str, str], str] = {}
-_LOCK = threading.Lock()
+_LOCKS: dict[tuple[str, str], threading.Lock] = defaultdict(threading.Lock)
 
 
-def _store_key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    src = os.path.join(sf_dir, "lineitem.parquet")
-    try:
-        st = os.stat(src)
-        stamp = f"{st.st_size}-{int(st.st_mtime)}"
-    except OSError:
-        stamp = "remote"
-    return (spark.sparkContext.applicationId, f"{os.path.abspath(sf_dir)}|{stamp}")
+def source_key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Application, and the files of ``lineitem`` with their sizes and times as
+    the store that Spark reads lists them (one listing per folder)."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    todo, seen = [os.path.join(sf_dir, "lineitem.parquet")], []
+    fs = fs_path(todo[0]).getFileSystem(spark._jsc.hadoopConfiguration())
+    while todo:
+        for status in fs.listStatus(fs_path(todo.pop())):
+            entry = status.toString()       # one call per file: path, length and times
+            if "; isDirectory=true" in entry:
+                todo.append(entry.split("path=", 1)[1].split("; isDirectory=")[0])
+            else:
+                seen.append(entry.split("; access_time=")[0])
+    return spark.sparkContext.applicationId, hashlib.sha1("\n".join([sf_dir, *sorted(seen)]).encode()).hexdigest()
 
 
 def build_store(spark: SparkSession, sf_dir: str, path: str | None = None) -> str:
@@ -136,13 +144,12 @@ def build_store(spark: SparkSession, sf_dir: str, path: str | None = None) -> st
 
 def use_store(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Register an already built layout of ``sf_dir`` for this session."""
-    with _LOCK:
-        _STORES[_store_key(spark, sf_dir)] = path
+    _STORES[source_key(spark, sf_dir)] = path
 
 
 def store_path(spark: SparkSession, sf_dir: str) -> str:
-    key = _store_key(spark, sf_dir)
-    with _LOCK:
+    key = source_key(spark, sf_dir)
+    with _LOCKS[key]:
         if key not in _STORES:
             _STORES[key] = build_store(spark, sf_dir)
         return _STORES[key]
