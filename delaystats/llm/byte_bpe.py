@@ -2,29 +2,29 @@
 
 Words (matches of the split pattern) repeat, so a block of texts is reduced to
 its distinct words first: an Arrow pass writes, per block of at most BLOCK_CHARS
-of text, one row with the distinct words and, per document, the numbers of its
-words.  On that row Spark expressions encode every distinct word:
-
-* A token id is written as one character (code point id + 256), so that the
-  rank map, from pairs of tokens to the token they merge into (its id is its
-  rank), is a literal of hash buckets of short strings.
-* The fold starts from the bytes of a word and the rank of each neighbouring
-  pair; each step merges the leftmost pair of lowest rank and looks up the two
-  ranks that change, until no pair has one.
+of text, one row with the byte arrays of its distinct words and, per document,
+the numbers of its words.  On that row Spark expressions encode every word:
+
+* A merge makes one token of two, and that token's id is its rank.  The rank
+  map is a literal: row displacement puts the merges of all left tokens into
+  one array, so that the rank of a pair is one addition and one XOR away.
+* The state of the fold is one array: token, rank of the pair with the next,
+  next token, ...; tokens lie above all ranks, so array_min finds the merge of
+  lowest rank and array_position its leftmost place.  A step replaces the two
+  tokens and looks up the two ranks that change, until no pair has one.
 * The distinct words of a bounded sample of texts (the most frequent
-  CACHE_WORDS of them) are folded beforehand and kept as a literal too.  This
-  only saves time: any other word is folded in its row.
+  CACHE_WORDS of them) are folded once beforehand and go to the Arrow passes.
+  This only saves time: any other word is folded in its block.
 
 A second Arrow pass puts the words' ids together per document.  Nothing is
-shuffled, and a block, the literals and the largest text bound the memory.
+shuffled, and a block, the known words and the largest text bound the memory.
 Decoding looks up each id's binary piece (as hex) and concatenates them.
 """
 
 from __future__ import annotations
 
 import base64
-import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,21 +34,9 @@ from pyspark.sql import functions as F
 
 from delaystats.llm.common import hash_sample
 
-BASE = 256                  # code point of token 0
-PAIR_BUCKETS = 1 << 14
-WORD_BUCKETS = 1 << 14
-CACHE_WORDS = 60_000        # words in the literal, at most
-CACHE_TEXTS = 3000           # texts whose words are counted for it
-BLOCK_CHARS = 16_000_000    # characters of text per block (a longer text is a block)
-NO_RANK = "\uffff"          # sorts after every token
-
-_SPACE = r"\t-\r \x85\xA0  -     　"
-
-
-def java_pattern(pattern: str) -> str:
-    """The split pattern with Unicode white space spelt out (Java's \\s is ASCII)."""
-    return (pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^{_SPACE}\p{{L}}\p{{N}}]")
-            .replace(r"\S", f"[^{_SPACE}]").replace(r"\s", f"[{_SPACE}]"))
+CACHE_WORDS = 200_000       # words folded beforehand, at most
+CACHE_TEXTS = 10_000        # texts whose words are counted for them
+BLOCK_CHARS = 32_000_000    # characters of text per block (a longer text is a block)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -68,112 +56,97 @@ def last_merge(token: bytes, ranks: dict[bytes, int]) -> tuple[bytes, bytes]:
     return parts[0], parts[1]
 
 
-def _buckets(entries: list[tuple[str, str]], n: int, default: str) -> Column:
-    """Literal array of n strings: ``default``, then \\x01 key \\x02 value of
-    the keys with crc32(key) mod n."""
-    held = defaultdict(list)
-    for key, value in entries:
-        held[zlib.crc32(key.encode()) % n].append(f"\x01{key}\x02{value}")
-    return F.split(F.lit("\x03".join(default + "".join(held[i]) for i in range(n))), "\x03")
-
-
-def _found(buckets: Column, n: int, key: Column) -> Column:
-    """Value of ``key``, or the default."""
-    bucket = F.get(buckets, F.crc32(key.cast("binary")) % n)
-    rest = F.call_function("substring_index", bucket, F.concat(F.lit("\x01"), key, F.lit("\x02")), F.lit(-1))
-    return F.substring_index(rest, "\x01", 1)
-
-
-def _let(value: Column, body) -> Column:
-    """body(value) with the value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _displaced(merges: list[tuple[int, int, int]], base: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, cells) with cells[first[a] + b] ^ (a << bits) = m for every merge
+    (a, b, m) and at least ``base`` = 1 << bits for any other pair; a and b count
+    from ``base``.  Each left token's merges get a place where all cells are free."""
+    bits = base.bit_length() - 1
+    rows = defaultdict(list)
+    for a, b, m in merges:
+        rows[a].append((b, m))
+    n = 4 * len(merges) + 256
+    free, cells, first = np.ones(n + base, bool), np.zeros(n + base, np.int64), np.zeros(2 * base, np.int64)
+    for a in sorted(rows, key=lambda a: (-len(rows[a]), a)):
+        b, m = np.array(rows[a], np.int64).T
+        low = b.min()
+        fits = np.ones(n, bool)
+        for x in b - low:
+            fits &= free[x:x + n]
+        first[a + base] = fits.argmax() - low
+        at = first[a + base] + b
+        free[at], cells[at] = False, ((a + base) << bits) | m
+    end = int(np.flatnonzero(~free).max(initial=0)) + 1
+    return first, np.concatenate((np.zeros(base, np.int64), cells[:end], np.zeros(base, np.int64)))
+
+
+def _numbers(values: np.ndarray) -> Column:
+    """Literal array<bigint> (folded by the optimiser)."""
+    return F.split(F.lit(",".join(map(str, values.tolist()))), ",").cast("array<bigint>")
 
 
 class ByteBpe:
     """Encoder and decoder of one rank file; columns in, columns out."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.python_pattern, self.pattern = pattern, java_pattern(pattern)
-        self.char = {t: chr(r + BASE) for t, r in ranks.items()}
-        pairs = [(self.char[a] + self.char[b], self.char[a + b])
-                 for a, b in (last_merge(t, ranks) for t in ranks if len(t) > 1)]
-        self.pairs = _buckets(pairs, PAIR_BUCKETS, NO_RANK)
-        del pairs
+        self.pattern = pattern
         size = max(ranks.values()) + 1
+        self.base = 1 << size.bit_length()      # a token in the fold is its id + base
+        merges = [(ranks[a], ranks[b], m) for t, m in ranks.items() if len(t) > 1
+                  for a, b in (last_merge(t, ranks),)]
+        first, cells = _displaced(merges, self.base)
+        self.first, self.cells = _numbers(first), _numbers(cells)
+        del merges, first, cells
+        self.byte_tokens = np.array([ranks[bytes([b])] for b in range(256)], np.int64) + self.base
+        self.end = 2 * self.base - 1            # stands before and after a word and merges with nothing
         pieces = [""] * size
         for t, r in ranks.items():
             pieces[r] = t.hex()
         self.pieces = F.split(F.lit(" ".join(pieces)), " ")
-        self.words: Column | None = None
+        self.known = pa.table({"word": pa.array([], pa.string()), "ids": pa.array([], pa.list_(pa.int32()))})
 
-    def split(self, text: Column) -> Column:
-        """The words of a text, by the pattern."""
-        return F.regexp_extract_all(text, F.lit(self.pattern), F.lit(0))
+    def rank(self, a: Column, b: Column) -> Column:
+        """Rank of a pair of tokens, ``base`` or more if it does not merge."""
+        return self.cells[self.first[a] + b].bitwiseXOR(F.shiftleft(a, self.base.bit_length() - 1))
 
     def fold(self, word: Column) -> Column:
-        """Token characters of one word: the ranked merges folded over its bytes."""
-        latin = "".join(map(chr, range(256)))
-        start = F.translate(F.decode(word.cast("binary"), "ISO-8859-1"), latin,
-                            "".join(self.char.get(bytes([b]), "?") for b in range(256)))
-
-        def rank(a: Column, b: Column) -> Column:
-            return _found(self.pairs, PAIR_BUCKETS, F.concat(a, b))
-
-        def merged(state: Column, best: Column, at: Column) -> Column:
-            t, r, none = state["t"], state["r"], F.array().cast("array<string>")
-            left = F.when(at > 1, F.array(rank(F.get(t, at - 2), best))).otherwise(none)
-            right = F.when(at + 1 < F.size(t), F.array(rank(best, F.get(t, at + 1)))).otherwise(none)
-            return F.struct(
-                F.concat(F.slice(t, 1, at - 1), F.array(best), F.slice(t, at + 2, F.size(t))).alias("t"),
-                F.concat(F.slice(r, 1, F.greatest(at - 2, F.lit(0))), left, right,
-                         F.slice(r, at + 2, F.size(t))).alias("r"))
-
-        def step(state: Column) -> Column:
-            done = F.struct(state["t"].alias("t"), F.array().cast("array<string>").alias("r"))
-            return F.when(F.size(state["r"]) == 0, state).otherwise(
-                _let(F.array_min(state["r"]), lambda best: F.when(best == NO_RANK, done).otherwise(
-                    merged(state, best, F.array_position(state["r"], best).cast("int")))))
-
-        def fold(t: Column) -> Column:
-            r = F.zip_with(F.slice(t, 1, F.size(t) - 1), F.slice(t, 2, F.size(t)), rank)
-            steps = F.sequence(F.lit(1), F.size(t) - 1)
-            return F.when(F.size(t) < 2, F.array_join(t, "")).otherwise(F.aggregate(
-                steps, F.struct(t.alias("t"), r.alias("r")), lambda state, _: step(state),
-                lambda state: F.array_join(state["t"], "")))
-
-        return _let(F.split(start, ""), fold)
+        """Token ids of one word (an array of the tokens of its bytes between
+        two ends): the ranked merges folded over it."""
+        base = F.lit(self.base).cast("bigint")
+
+        def merged(s: Column, at: Column) -> Column:
+            token = s[at - 1] + base
+            return F.concat(F.slice(s, F.lit(1), at - 3),
+                            F.array(self.rank(s[at - 4], token), token, self.rank(token, s[at + 2])),
+                            F.slice(s, at + 3, F.size(s)))
+
+        def step(s: Column, _) -> Column:
+            least = F.array_min(s)
+            place = F.array(F.array_position(s, least).cast("int"))
+            return F.call_function("if", least < base, F.aggregate(place, s, merged), s)
+
+        pairs = F.zip_with(word, F.slice(word, F.lit(2), F.size(word)), lambda a, b: F.array(a, self.rank(a, b)))
+        return F.aggregate(F.slice(word, F.lit(4), F.size(word) - 3), F.flatten(pairs), step, lambda s: F.transform(
+            F.sequence(F.lit(3), F.size(s) - 3, F.lit(2)), lambda i: (s[i - 1] - base).cast("int")))
 
     def learn_words(self, docs: DataFrame) -> ByteBpe:
-        """Fold the frequent distinct words of a bounded sample into the literal."""
+        """Fold the frequent distinct words of a bounded sample beforehand."""
         ids = hash_sample(docs.select("doc_id").where("doc_id is not null").distinct(), "doc_id", CACHE_TEXTS, 5)
-        sample = docs.join(F.broadcast(ids), "doc_id", "left_semi")
-        words = (sample.select(F.explode(self.split(F.col("text"))).alias("word")).groupBy("word").count()
-                 .where(~F.col("word").rlike("[\\x01-\\x03]"))
-                 .orderBy(F.desc("count"), "word").limit(CACHE_WORDS).select("word"))
-        tokens = words.repartition(words.sparkSession.sparkContext.defaultParallelism).select(
-            (F.crc32(F.col("word").cast("binary")) % WORD_BUCKETS).cast("int").alias("bucket"),
-            F.concat(F.lit("\x01"), "word", F.lit("\x02"), self.fold(F.col("word"))).alias("entry"))
-        got = (tokens.groupBy("bucket").agg(F.array_join(F.sort_array(F.collect_list("entry")), "").alias("entries"))
-               .toArrow())
-        held = dict(zip(got.column("bucket").to_pylist(), got.column("entries").to_pylist()))
-        del got
-        self.words = F.split(F.lit("\x03".join(held.get(b, "") for b in range(WORD_BUCKETS))), "\x03") if held else None
+        sample = docs.join(F.broadcast(ids), "doc_id", "left_semi").select("text")
+        words = (sample.mapInArrow(_word_counts(self.pattern), "word string, n long")
+                 .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(CACHE_WORDS))
+        self.known = (words.repartition(docs.sparkSession.sparkContext.defaultParallelism)
+                      .mapInArrow(_word_bytes(self.byte_tokens, self.end), "word string, bytes array<long>")
+                      .select("word", self.fold(F.col("bytes")).alias("ids")).toArrow())
         return self
 
-    def tokens(self, words: Column) -> Column:
-        """Token characters of every word of an array."""
-        if self.words is None:
-            return F.transform(words, self.fold)
-        known = F.transform(words, lambda w: _found(self.words, WORD_BUCKETS, w))
-        return _let(known, lambda k: F.transform(
-            k, lambda v, i: F.when(v != "", v).otherwise(self.fold(F.get(words, i)))))
-
     def encode(self, docs: DataFrame) -> DataFrame:
         """(doc_id, ids) of (doc_id, text) rows."""
-        blocks = docs.mapInArrow(_blocks(self.python_pattern), "doc_ids array<long>, words array<string>, "
-                                 "counts array<int>, numbers binary")
-        return (blocks.select("doc_ids", "counts", "numbers", self.tokens(F.col("words")).alias("tokens"))
-                .mapInArrow(_documents, "doc_id long, ids array<int>"))
+        ids = self.known.column("ids").combine_chunks()
+        known = self.known.column("word").to_pylist(), ids.flatten().to_numpy(), ids.value_lengths().to_numpy()
+        blocks = docs.mapInArrow(_blocks(self.pattern, known[0], self.byte_tokens, self.end),
+                                 "doc_ids array<long>, words array<array<long>>, counts array<int>, numbers binary")
+        return (blocks.select("doc_ids", "counts", "numbers", F.transform("words", self.fold).alias("tokens"))
+                .mapInArrow(_documents(*known[1:]), "doc_id long, ids array<int>"))
 
     def decode(self, ids: Column) -> Column:
         """binary: the concatenated pieces of the ids; null or empty ids give
@@ -195,23 +168,60 @@ def _chunks(text: str) -> list[str]:
     return out
 
 
-def _blocks(pattern: str):
+def _word_counts(pattern: str):
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         split = regex.compile(pattern).findall
-        ids: list = []
+        for batch in batches:
+            counts: Counter = Counter()
+            for text in batch.column(0).to_pylist():
+                counts.update(split(text or ""))
+            yield pa.record_batch({"word": pa.array(list(counts), pa.string()),
+                                   "n": pa.array(list(counts.values()), pa.int64())})
+    return fn
+
+
+def _byte_arrays(words: list[str], byte_tokens: np.ndarray, end: int) -> pa.ListArray:
+    """The tokens of the bytes of each word, with an end on either side."""
+    raw = [w.encode() for w in words]
+    sizes = np.fromiter(map(len, raw), np.int64, len(raw)) + 2
+    offsets = np.concatenate(([0], np.cumsum(sizes)))
+    inner = np.ones(offsets[-1], bool)
+    inner[offsets[:-1]] = inner[offsets[1:] - 1] = False
+    out = np.full(offsets[-1], end, np.int64)
+    out[inner] = byte_tokens[np.frombuffer(b"".join(raw), np.uint8)]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out))
+
+
+def _word_bytes(byte_tokens: np.ndarray, end: int):
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch({"word": batch.column(0),
+                                   "bytes": _byte_arrays(batch.column(0).to_pylist(), byte_tokens, end)})
+    return fn
+
+
+def _blocks(pattern: str, known: list[str], byte_tokens: np.ndarray, end: int):
+    """Words are numbered: the known ones first, then the others of the block."""
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import regex
+
+        split = regex.compile(pattern).findall
+        first = {w: i for i, w in enumerate(known)}
 
         def flush() -> pa.RecordBatch:
             offsets = pa.array([0, len(ids)], pa.int32())
+            new = _byte_arrays(list(words)[len(first):], byte_tokens, end)
             return pa.record_batch({
                 "doc_ids": pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int64())),
-                "words": pa.array([list(words)], pa.list_(pa.string())),
+                "words": pa.ListArray.from_arrays(pa.array([0, len(new)], pa.int32()), new),
                 "counts": pa.ListArray.from_arrays(offsets, pa.array([len(x) // 4 for x in numbers], pa.int32())),
                 "numbers": pa.array([b"".join(numbers)], pa.binary())})
 
-        words: dict[str, int] = {}
+        words: dict[str, int] = dict(first)
         chunks: dict[str, bytes] = {}
+        ids: list = []
         numbers: list[bytes] = []
         size = 0
         for batch in batches:
@@ -224,28 +234,30 @@ def _blocks(pattern: str):
                 size += len(text or "")
                 if size >= BLOCK_CHARS:
                     yield flush()
-                    ids, words, chunks, numbers, size = [], {}, {}, [], 0
+                    ids, words, chunks, numbers, size = [], dict(first), {}, [], 0
         if ids:
             yield flush()
     return fn
 
 
-def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            points = np.frombuffer("".join(row["tokens"]).encode("utf-32-le"), "<u4").astype("<i4") - BASE
-            ends = np.cumsum([len(t) for t in row["tokens"]]).tolist()
-            raw, last, word_ids = points.tobytes(), 0, []
-            for e in ends:
-                word_ids.append(raw[4 * last:4 * e])
-                last = e
-            number = np.frombuffer(row["numbers"], "<i4")
-            ids = np.frombuffer(b"".join(map(word_ids.__getitem__, number.tolist())), "<i4")
-            lengths = np.diff(np.concatenate(([0], ends))).astype(np.int64)
-            total = np.concatenate(([0], np.cumsum(lengths[number])))
-            at = total[np.concatenate(([0], np.cumsum(row["counts"])))]
-            yield pa.record_batch({"doc_id": pa.array(row["doc_ids"], pa.int64()),
-                                   "ids": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids))})
+def _documents(known_ids: np.ndarray, known_sizes: np.ndarray):
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc_ids, counts, numbers, tokens = (batch.column(i) for i in range(4))
+            for row in range(batch.num_rows):
+                new = tokens[row].values
+                ids = np.concatenate((known_ids, new.flatten().to_numpy())).astype("<i4")
+                sizes = np.concatenate((known_sizes, new.value_lengths().to_numpy())).astype(np.int64)
+                ends = np.concatenate(([0], np.cumsum(sizes))) * 4
+                raw, at = ids.tobytes(), ends.tolist()
+                word_ids = [raw[a:b] for a, b in zip(at, at[1:])]
+                number = np.frombuffer(numbers[row].as_py(), "<i4")
+                text_ids = np.frombuffer(b"".join(map(word_ids.__getitem__, number.tolist())), "<i4")
+                total = np.concatenate(([0], np.cumsum(sizes[number])))
+                cut = total[np.concatenate(([0], np.cumsum(counts[row].values.to_numpy())))]
+                yield pa.record_batch({"doc_id": doc_ids[row].values,
+                                       "ids": pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(text_ids))})
+    return fn
 
 
 def encoded(docs: DataFrame, bpe: ByteBpe, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
