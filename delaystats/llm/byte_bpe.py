@@ -36,7 +36,7 @@ from delaystats.llm.common import hash_sample
 
 CACHE_WORDS = 200_000       # words folded beforehand, at most
 CACHE_TEXTS = 10_000        # texts whose words are counted for them
-BLOCK_CHARS = 32_000_000    # characters of text per block (a longer text is a block)
+BLOCK_CHARS = 8_000_000     # characters of text per block (a longer text is a block)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
