@@ -15,7 +15,9 @@ that Spark reads can hold; parts ascend by document id, blocks within parts.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -110,7 +112,9 @@ def unpack(words: np.ndarray) -> np.ndarray:
 
 def _encoder(tokenizer_json: str):
     """text -> little-endian uint32 ids; the library encodes each chunk of
-    text (see ``_chunks``) once per worker while the cache has room."""
+    text (see ``_chunks``) once per worker while the cache has room.  Spark
+    runs a task per core, so the library's own threads stay off."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     library = worker_cache("tokenizers")
@@ -125,8 +129,10 @@ def _encoder(tokenizer_json: str):
         known = cache
         missing = list(set().union(*cut).difference(cache)) if cut else []
         if missing:
-            new = {c: np.array(e.ids, "<u4").tobytes()
-                   for c, e in zip(missing, t.encode_batch_fast(missing, add_special_tokens=False))}
+            ids = [e.ids for e in t.encode_batch_fast(missing, add_special_tokens=False)]
+            ends = np.cumsum([4 * len(x) for x in ids]).tolist()
+            raw = np.fromiter(chain.from_iterable(ids), "<u4", ends[-1] // 4).tobytes()
+            new = {c: raw[a:b] for c, a, b in zip(missing, [0, *ends], ends)}
             if len(cache) + len(new) <= CACHED_CHUNKS:
                 cache.update(new)
             else:
