@@ -23,6 +23,7 @@ assembled, and read back, in bounded memory.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 
@@ -53,6 +54,7 @@ def unescape(text: str) -> str:
 
 
 def _library(tokenizer_json: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark runs a task per core
     from tokenizers import Tokenizer
 
     kept = worker_cache("chat")

@@ -114,6 +114,33 @@ def test_byte_bpe_equals_the_library(spark):
         assert x.ids == library.encode_ordinary(text) and bytes(x.raw) == text.encode()
 
 
+def test_byte_bpe_folds_words_that_are_not_known(spark, monkeypatch):
+    import tiktoken
+
+    monkeypatch.setattr(byte_bpe, "BLOCK_CHARS", 200)
+    ranks = byte_bpe.read_ranks(tokenizer_files.path("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding("t", pat_str=tokenizer_files.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    r = random.Random(6)
+    rows = [(None, "no id"), (1, "same row"), (1, "same row"), (2, "x" * 500), (3, None), (4, "")]
+    rows += [(10 + i, " ".join("".join(r.choice("aeiouthnsçé你") for _ in range(r.randint(1, 14))) for _ in range(12)))
+             for i in range(40)]
+    bpe = byte_bpe.ByteBpe(ranks, tokenizer_files.PATTERN)
+    got = bpe.encode(docs(spark, rows).select("doc_id", "text")).collect()
+    want = [(i, library.encode_ordinary(t or "")) for i, t in rows]
+    assert sorted(map(str, ((x.doc_id, x.ids) for x in got))) == sorted(map(str, want))
+    assert byte_bpe.encoded(docs(spark, []), bpe).collect() == []
+
+
+def test_rank_map_finds_every_merge_and_no_other():
+    merges = [(a, b, 8 * a + b) for a in range(8) for b in range(8) if (a * b) % 3 != 1]
+    first, cells = byte_bpe._displaced(merges, 64)
+    for a in range(64):
+        for b in range(64):
+            got = cells[first[a + 64] + b + 64] ^ ((a + 64) << 6)
+            held = a < 8 and b < 8 and (a * b) % 3 != 1
+            assert got == 8 * a + b if held else got >= 64
+
+
 def test_chat_round_trip(spark):
     from tokenizers import Tokenizer
 
