@@ -260,3 +260,18 @@ def test_secret_scan(spark):
         assert got[i].redacted == rows[i][1].replace(k, secret_scan.MASK)
     assert all(not got[100 + i].secrets and got[100 + i].redacted == got[100 + i].text for i in range(60))
     assert got[300].redacted is None and got[301].redacted == ""
+
+
+def test_secret_candidates_are_the_values_of_assignments(spark):
+    forms = [("AWS_SECRET_ACCESS_KEY={}", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"), ("api_key={}", "sk1234567890abcdef"),
+             ("https://h.example/p?token={}&x=1", "ab12cd34ef56ab78"), ("password = {} and", "hunter2hunter2"),
+             ("passwd: '{}'", "correcthorse"), ("API_KEY_2024_PRODUCTION=\"{}\"", "c2VjcmV0IHZhbHVlIDEyMw=="),
+             ("git://me:{}@host/x", "s3cret"), ("Authorization: Bearer {}", "abc.def"), ("pwd = {}.", "x"),
+             ("password: {}", "P@ss/w0rd!"), ("{{\"secret\":\"{}\"}}", "a&b=c,d"), ("k={} ", "0123456789abcdefABCD==")]
+    rows = [(i, "some words " + form.format(v)) for i, (form, v) in enumerate(forms)]
+    values, gaps = secret_scan._with_context(F.col("text"))
+    table = docs(spark, rows).select("doc_id", values.alias("v"), gaps.alias("g"))
+    got = table.select("doc_id", "v", F.transform("v", lambda v, i: secret_scan._left("v", "g", i).rlike(
+        secret_scan.CREDENTIAL)).alias("assigned")).collect()
+    for x in got:
+        assert (forms[x.doc_id][1], forms[x.doc_id][0] != "k={} ") in list(zip(x.v, x.assigned)), (forms[x.doc_id], x)
