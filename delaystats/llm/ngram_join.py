@@ -433,18 +433,8 @@ def _reachable(rows: DataFrame, tested: DataFrame, num: int, den: int) -> DataFr
             .join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
 
 
-def ngram_components(docs: DataFrame, n: int = 4, similarity: tuple[int, int] = (85, 100),
-                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs``.
-
-    Null text counts as empty; documents without words link with nothing and
-    are their own component.  Repeated rows give repeated results.  A null id
-    never names a component if another member has an id; a component of null
-    ids only has a null component_id.  Rows with the same id but other texts
-    are kept apart as texts and share the component of each.  Other columns
-    are ignored, whatever their names; an empty table gives an empty result.
-    """
-    num, den = similarity
+def _prepared(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str):
+    """Every document's set key, the sets that can link, and their signatures with hubs."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = source.select("text").mapInArrow(_signature_rows(n, num, den), "sig long, node long")
     shared = written(rows.repartition("sig").sortWithinPartitions("sig", "node")
@@ -457,6 +447,48 @@ def ngram_components(docs: DataFrame, n: int = 4, similarity: tuple[int, int] =
     rows = written(_with_hubs(_with_own_elements(shared, sets, num, den)), "rows")
     left = _bitmap(rows.select("node").distinct())
     sets = written(sets.mapInArrow(_kept_sets(left), "node long, elements binary"), "alive")
+    return keyed, sets, rows
+
+
+def ngram_links(docs: DataFrame, n: int = 4, similarity: tuple[int, int] = (85, 100),
+                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The join itself: a row per link of two different sets, each named by the
+    smallest id of its documents (doc_a, doc_b) with the number of its rows
+    (copies_a, copies_b).
+
+    Unlike the components, no pair is left out for being connected already:
+    every set is tested against all hubs of its signatures, and every other
+    pair with a common signature that the hub bound allows.
+    """
+    num, den = similarity
+    keyed, sets, rows = _prepared(docs, n, num, den, id_col, text_col)
+    pairs = rows.where("hub != node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    star = written(_verify(written(pairs, "pairs"), sets, num, den), "tested")
+    pairs = _reachable(rows.withColumn("comp", F.col("node")), star, num, den)
+    more = _verify(written(pairs, "pairs"), sets, num, den)
+    links = (star.unionAll(more).where("link")
+             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    named = (keyed.where("n_shingles > 0").groupBy("node")
+             .agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies")))
+    for side in ("a", "b"):
+        links = links.join(named.select(F.col("node").alias(side), F.col("doc").alias(f"doc_{side}"),
+                                        F.col("copies").alias(f"copies_{side}")), side)
+    return links.select("doc_a", "doc_b", "copies_a", "copies_b")
+
+
+def ngram_components(docs: DataFrame, n: int = 4, similarity: tuple[int, int] = (85, 100),
+                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs``.
+
+    Null text counts as empty; documents without words link with nothing and
+    are their own component.  Repeated rows give repeated results.  A null id
+    never names a component if another member has an id; a component of null
+    ids only has a null component_id.  Rows with the same id but other texts
+    are kept apart as texts and share the component of each.  Other columns
+    are ignored, whatever their names; an empty table gives an empty result.
+    """
+    num, den = similarity
+    keyed, sets, rows = _prepared(docs, n, num, den, id_col, text_col)
 
     best = (rows.where("hub != node").groupBy(F.col("node").alias("b"))
             .agg(F.max(F.struct("score", "hub")).alias("best")).select(F.col("best.hub").alias("a"), "b"))

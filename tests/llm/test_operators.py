@@ -301,3 +301,27 @@ def test_secret_scan_needs_no_planted_form(spark):
                          secret_scan._label(F.col("v"), F.lit("my_token=")).alias("b")).first()
     assert (labels.a, labels.b) == (None, 1)
     assert secret_scan.fit(found.where("label = 0")).trees == [1.0]
+
+
+def test_ngram_links_hold_every_similar_pair(spark):
+    r = random.Random(12)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(0, None), (1, "one two")]
+    for size in (40, 120, 300):
+        base = [r.choice(words) for _ in range(size)]
+        for _ in range(14):
+            copy = list(base)
+            for _ in range(r.randint(0, 4)):
+                copy[r.randrange(size)] = r.choice(words)
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(100, rows[-1][1]), (101, rows[5][1])]
+    classes = {}
+    for i, t in rows:
+        if t:
+            classes.setdefault(frozenset(shingles(t, 4)), []).append(i)
+    sets = list(classes.items())
+    want = [sorted([(min(i), len(i)), (min(j), len(j))]) for k, (x, i) in enumerate(sets) for y, j in sets[:k]
+            if 100 * len(x & y) >= 85 * len(x | y)]
+    got = ngram_join.ngram_links(docs(spark, rows)).collect()
+    assert sorted(sorted([(x.doc_a, x.copies_a), (x.doc_b, x.copies_b)]) for x in got) == sorted(want)
+    assert len(want) > len(sets)
