@@ -4,221 +4,92 @@
 textbook Spark form is ``lag`` + running ``sum`` over
 ``Window.partitionBy(scope).orderBy(order)``, but that window puts a whole
 scope into one task: with one (year, month) holding a third of 100 TB, that
-task never finishes.  Here the work is split by range instead:
-
-1. ``repartitionByRange`` on (scope, order).  The sampler balances tasks on
-   the full, unique sort key, so a hot scope is cut across many tasks.
-2. One Arrow-batched ``mapInPandas`` pass per range partition computes
-   breaks, local run numbers and per-run partial sums (*pieces*) in order,
-   carrying state across batches.  Its output is written once as a table in
-   the shared checkpoint folder: computed once, lineage cut, consistent for
-   the two consumers below, and safe against executor loss.
-3. The same pass emits one summary row per (partition, scope) *segment* (at
-   most partitions + scopes rows; stored apart, read back pruned).  Segments
-   get run offsets by a window over segments of a scope: a run
-   continues across a partition boundary when the last key of the previous
-   segment equals the first key of this one.
-4. Pieces get their global run number by joining their segment's offset.
-   Only pieces touching a partition boundary can belong to a run that spans
-   partitions; only those are re-aggregated, the rest are final already.
-
-The result never depends on how Spark cut the ranges.
+task never finishes.  Here every scope is cut into *chunks* of the order:
+
+1. Split points of the full sort key (scope + order) come from a random
+   sample of the key columns, about SAMPLE rows a chunk, picked on the JVM.
+   They are data from then on, so the chunk of a row is a pure function of its
+   key (a binary search): whichever task or retry evaluates it gets the same.
+2. Windows over (scope, chunk) give positions or run breaks inside a chunk.
+   Hash partitioning on (scope, chunk) spreads a hot scope over many tasks.
+3. One summary row per (scope, chunk) is aggregated, and a window over the
+   summaries of a scope turns them into offsets: rows before the chunk, or
+   runs before it (a run goes on across a border when the last key of one
+   chunk equals the first key of the next).
+
+Scopes that all fit a task (checked by a count) are left whole: one window, no
+offsets, the same rows.  Everything runs on the JVM, so no value changes on its way, whatever its type.
+The order must be total inside a scope; equal sort keys share a chunk.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-import delaystats
 from delaystats.session import scratch_path
 
-# The Arrow passes are pickled by value: workers need not import the package.
-cloudpickle.register_pickle_by_value(delaystats)
-
-PID = "_pid"
+CHUNK = "_chunk"
+BEFORE = "_before"
+CHUNK_ROWS = 4_000_000      # a scope above this is always cut
+LEAST_ROWS = 4_096          # a scope below this is never cut
+SAMPLE = 30                 # sampled keys per chunk
 # Segment tables smaller than this are broadcast; otherwise a shuffle join.
 SEGMENT_BROADCAST_ROWS = 200_000
 
 
-def _ranged(df: DataFrame, scope: Sequence[str], order: Sequence[str],
-            cols: Sequence[str], num_partitions: int | None) -> DataFrame:
-    key = [*scope, *order]
-    r = df.repartitionByRange(num_partitions, *key) if num_partitions else df.repartitionByRange(*key)
-    return r.sortWithinPartitions(*key).select(F.spark_partition_id().alias(PID), *cols)
-
-
-def _changes(a: np.ndarray, prev, has_prev: bool, null_breaks: bool) -> np.ndarray:
-    """Row i differs from row i-1 (row 0 is compared with ``prev``)."""
-    n = len(a)
-    ch = np.empty(n, dtype=bool)
-    if n > 1:
-        ch[1:] = a[1:] != a[:-1]
-    if null_breaks:
-        isna = pd.isna(a)
-        if n > 1:
-            ch[1:] |= isna[1:] | isna[:-1]
-        ch[0] = (not has_prev) or bool(isna[0]) or prev is None or (prev != prev) or bool(a[0] != prev)
-    else:       # in a scope column, null equals null
-        isna = pd.isna(a)
-        if n > 1:
-            ch[1:] = np.where(isna[1:] | isna[:-1], isna[1:] != isna[:-1], ch[1:])
-        both_null = has_prev and bool(pd.isna(prev)) and bool(isna[0])
-        ch[0] = (not has_prev) or (not both_null and (bool(pd.isna(prev)) or bool(isna[0]) or bool(a[0] != prev)))
-    return ch
-
-
-def _span_pieces(scope: list[str], key: str, value: str, integral: bool = True):
-    """mapInPandas body: ordered rows of one range partition -> run pieces
-    (``kind`` 0) and one summary row per (partition, scope) segment (``kind``
-    1: ``local_run`` = runs in the segment, ``key`` / ``last_key`` = first /
-    last key, ``n`` = rows)."""
-
-    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        has_prev = False
-        prev_scope: list = []
-        prev_key = None
-        seg_runs = 0          # runs so far in the open segment
-        pending: dict | None = None     # open (last) piece
-        open_seg: dict | None = None    # open (last) segment
-        pid = 0
-
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            pid = int(pdf[PID].iloc[0])
-            scope_vals = {c: pdf[c].to_numpy() for c in scope}
-            scope_ch = np.zeros(n, dtype=bool)
-            for i, c in enumerate(scope):
-                scope_ch |= _changes(scope_vals[c], prev_scope[i] if has_prev else None,
-                                     has_prev, null_breaks=False)
-            k = pdf[key].to_numpy()
-            brk = scope_ch | _changes(k, prev_key, has_prev, null_breaks=True)
-
-            vals = pdf[value]
-            present = vals.notna().to_numpy()
-            v = vals.fillna(0).to_numpy().astype(np.int64 if integral else np.float64)
-
-            # local run number within the (partition, scope) segment
-            seg_idx = np.cumsum(scope_ch)
-            runs = pd.Series(brk.astype(np.int64)).groupby(seg_idx).cumsum().to_numpy()
-            runs = runs + np.where(seg_idx == 0, seg_runs, 0)
-
-            # -- pieces: one per run start in this batch -------------------
-            starts = np.flatnonzero(brk)
-            if not brk[0]:
-                starts = np.concatenate(([0], starts))
-            ends = np.append(starts[1:], n)
-            sums = np.add.reduceat(v, starts)
-            nn = np.add.reduceat(present.astype(np.int64), starts)
-            cnt = ends - starts
-
-            piece = pd.DataFrame({c: scope_vals[c][starts] for c in scope})
-            piece["local_run"] = runs[starts]
-            piece[key] = k[starts]
-            piece["total"] = sums
-            piece["_nn"] = nn
-            piece["n"] = cnt
-
-            out = []
-            first = 0
-            if not brk[0]:
-                pending["total"] += sums[0]
-                pending["_nn"] += int(nn[0])
-                pending["n"] += int(cnt[0])
-                first = 1
-            if first < len(piece):
-                if pending is not None:
-                    out.append(pd.DataFrame([pending]))
-                done = piece.iloc[first:-1]
-                if len(done):
-                    out.append(done)
-                pending = piece.iloc[-1].to_dict()
-
-            # -- segments: one per scope start in this batch ----------------
-            s0 = np.flatnonzero(scope_ch)
-            head_end = s0[0] if len(s0) else n      # rows continuing the open segment
-            if head_end > 0:
-                open_seg["last_key"] = k[head_end - 1]
-                open_seg["local_run"] = int(runs[head_end - 1])
-                open_seg["n"] += int(head_end)
-            closed = []
-            if len(s0):
-                if open_seg is not None:
-                    closed.append(pd.DataFrame([open_seg]))
-                e0 = np.append(s0[1:], n)
-                segs = pd.DataFrame({c: scope_vals[c][s0] for c in scope})
-                segs["local_run"] = runs[e0 - 1]
-                segs[key] = k[s0]
-                segs["last_key"] = k[e0 - 1]
-                segs["n"] = e0 - s0
-                if len(segs) > 1:
-                    closed.append(segs.iloc[:-1])
-                open_seg = segs.iloc[-1].to_dict()
-
-            has_prev = True
-            prev_scope = [scope_vals[c][-1] for c in scope]
-            prev_key = k[-1]
-            seg_runs = int(runs[-1])
-            for o in out:
-                yield _finish(o, pid, scope, key, 0, integral)
-            for o in closed:
-                yield _finish(o, pid, scope, key, 1, integral)
-        if pending is not None:
-            yield _finish(pd.DataFrame([pending]), pid, scope, key, 0, integral)
-        if open_seg is not None:
-            yield _finish(pd.DataFrame([open_seg]), pid, scope, key, 1, integral)
-
-    return fn
-
-
-def _finish(df: pd.DataFrame, pid: int, scope: list[str], key: str, kind: int,
-            integral: bool = True) -> pd.DataFrame:
-    df = df.reset_index(drop=True)
-    m = len(df)
-    nullable = "Int64" if integral else "Float64"
-    if kind == 0:
-        total = df["total"].astype(nullable).where(df["_nn"] > 0)
-        last_key = pd.Series([None] * m, dtype=object)
-    else:
-        total = pd.Series([None] * m, dtype=nullable)
-        last_key = df["last_key"].to_numpy()
-    return pd.DataFrame({
-        PID: np.full(m, pid, dtype=np.int32),
-        **{c: df[c].to_numpy() for c in scope},
-        "kind": np.full(m, kind, dtype=np.int32),
-        "local_run": df["local_run"].astype(np.int64).to_numpy(),
-        key: df[key].to_numpy(),
-        "last_key": last_key,
-        "total": total,
-        "n": df["n"].astype(np.int64).to_numpy(),
-    })
-
-
-def _materialize(df: DataFrame, what: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def split_points(df: DataFrame, scope: Sequence[str], key: Sequence[str],
+                 chunks: int | None = None) -> list | None:
+    """The sorted keys that start a new chunk, or None where every scope fits
+    one task: no scope then holds more than LEAST_ROWS rows or two tasks' fair
+    share of them.  Two jobs over the key columns: rows per scope, and a
+    sample of some SAMPLE x chunks rows (at most SAMPLE x rows / LEAST_ROWS)."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = df.groupBy(*scope).agg(F.count(F.lit(1)).alias("n"))
+    most, rows = sizes.agg(F.max("n"), F.sum("n")).first()
+    if chunks is None:
+        room = max(LEAST_ROWS, min(2 * rows // tasks, CHUNK_ROWS)) if rows else 0
+        chunks = 1 if not rows or most <= room else 4 * rows // room
+    if chunks <= 1 or not rows:
+        return None
+    drawn = (df.select(F.struct(*key).alias("k")).sample(min(1.0, SAMPLE * chunks / rows), seed=17)
+             .agg(F.sort_array(F.collect_list("k")).alias("all")))
+    step = F.size("all") / F.lit(float(chunks))
+    picked = F.transform(F.sequence(F.lit(1), F.lit(chunks - 1)), lambda i: F.get("all", F.floor(i * step).cast("int")))
+    return drawn.select(F.array_distinct(F.filter(picked, lambda p: p.isNotNull())).alias("points")).collect()
+
+
+def in_chunks(df: DataFrame, within: Sequence[str], order: Sequence[str], chunks: int | None = None) -> DataFrame | None:
+    """``df`` with the chunk of each row in ``_chunk``: the number of split
+    points at or before its key, by binary search.  None for a single chunk."""
+    key = list(dict.fromkeys([*within, *order]))
+    points = split_points(df, within, key, chunks)
+    if points is None:
+        return None
+    steps = [1 << b for b in reversed(range(len(points[0]["points"]).bit_length()))]
+    literal = df.sparkSession.createDataFrame(
+        points, df.select(F.array(F.struct(*key)).alias("points")).schema)
+    at = F.col("_points")
+
+    def search(own):
+        return F.aggregate(F.array(F.lit(0), *map(F.lit, steps)), F.lit(0), lambda low, step: F.call_function(
+            "if", (step > 0) & (F.get(at, low + step - 1) <= own), low + step, low))
+
+    chunk = F.transform(F.array(F.struct(*key)), search)[0]     # the key is put together once a row
+    return df.withColumn("_points", literal.scalar()).withColumn(CHUNK, chunk).drop("_points")
+
+
+def _materialize(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` once as Parquet below the shared checkpoint folder and
-    read it back: one job, lineage cut, both consumers see the same rows.
-
-    (An eager ``checkpoint()`` of a non-persisted frame would compute the
-    Python pass twice: once to count, once to write the checkpoint.)
-    """
+    read it back: one job, lineage cut, every consumer sees the same rows."""
     path = scratch_path(df.sparkSession, what)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _field(df: DataFrame, name: str) -> T.StructField:
-    return next(f for f in df.schema.fields if f.name == name)
-
-
 def _small_join(big: DataFrame, small: DataFrame, on: list[str], max_rows: int,
                 small_rows: int) -> DataFrame:
     """Broadcast ``small`` only if its checked size (``small_rows``) is under
@@ -234,27 +105,31 @@ def _small_join(big: DataFrame, small: DataFrame, on: list[str], max_rows: int,
 class Spans:
     """Run pieces of a frame plus their segment offsets (see module doc)."""
 
-    pieces: DataFrame      # materialized: PID, scope, local_run, key, total, n
-    segments: DataFrame    # PID, scope, n_runs, first_key, last_key, cont, offset, next_cont
+    pieces: DataFrame               # scope, _chunk, local_run, key, total, n; written if there are segments
+    segments: DataFrame | None      # scope, _chunk, n_runs, cont, offset, next_cont; None: every scope is whole
     scope: list[str]
     key: str
-    n_segments: int        # size check for the segment broadcast
+    n_segments: int                 # size check for the segment broadcast
 
     def runs(self) -> DataFrame:
         """One row per run: scope, ``run`` (1-based per scope), key, ``total``."""
-        seg = self.segments.select(PID, *self.scope, "n_runs", "cont", "offset", "next_cont")
-        j = _small_join(self.pieces, seg, [PID, *self.scope], SEGMENT_BROADCAST_ROWS,
+        if self.segments is None:
+            return self.pieces.select(*self.scope, F.col("local_run").alias("run"), self.key, "total")
+        j = _small_join(self.pieces, self.segments, [*self.scope, CHUNK], SEGMENT_BROADCAST_ROWS,
                         self.n_segments)
         j = j.withColumn("run", (F.col("offset") + F.col("local_run") - F.col("cont")).cast("bigint"))
         boundary = (((F.col("local_run") == 1) & (F.col("cont") == 1))
                     | ((F.col("local_run") == F.col("n_runs")) & (F.col("next_cont") == 1)))
         out = [*self.scope, "run", self.key]
         interior = j.where(~boundary).select(*out, "total")
-        merged = j.where(boundary).groupBy(*out).agg(F.sum("total").alias("total"))
+        # only pieces at a chunk border can belong to a run of several pieces
+        merged = j.where(boundary).groupBy(*out).agg(F.sum("total").cast(j.schema["total"].dataType).alias("total"))
         return interior.unionByName(merged)
 
     def count(self) -> DataFrame:
         """Number of runs (one row, ``n``)."""
+        if self.segments is None:
+            return self.pieces.agg(F.count(F.lit(1)).alias("n"))
         return self.segments.agg(
             F.coalesce(F.sum(F.col("n_runs") - F.col("cont")), F.lit(0)).cast("bigint").alias("n"))
 
@@ -262,105 +137,39 @@ class Spans:
 def span_by(df: DataFrame, key: str, order: Sequence[str], within: Sequence[str],
             value: str, num_partitions: int | None = None) -> Spans:
     """Group consecutive rows with equal ``key`` (in ``order``, inside each
-    ``within`` scope) and sum ``value`` per run.
+    ``within`` scope) and sum ``value`` per run; a null key is a run of its own.
 
     ``order`` must be a total order inside the scope; runs never cross a
-    scope boundary.  Pieces and segment summaries are written once to the
-    checkpoint folder (an action runs here).
+    scope boundary.  ``num_partitions`` fixes the number of chunks.  The run
+    pieces of cut scopes are written once to the checkpoint folder (an action
+    runs here), and their segments are counted by the write itself.
     """
     scope = list(within)
-    ranged = _ranged(df, scope, order, [*scope, key, value], num_partitions)
-    key_field = _field(df, key)
-    integral = isinstance(_field(df, value).dataType, T.IntegralType)
-    total_type = T.LongType() if integral else T.DoubleType()
-    schema = T.StructType([
-        T.StructField(PID, T.IntegerType(), False),
-        *[_field(df, c) for c in scope],
-        T.StructField("kind", T.IntegerType(), False),
-        T.StructField("local_run", T.LongType(), False),
-        key_field,
-        T.StructField("last_key", key_field.dataType, True),
-        T.StructField("total", total_type, True),
-        T.StructField("n", T.LongType(), False),
-    ])
-    out = _materialize(ranged.mapInPandas(_span_pieces(scope, key, value, integral), schema), "spans",
-                       partition_by=["kind"])
-    pieces = out.where(F.col("kind") == 0).select(PID, *scope, "local_run", key, "total", "n")
-
-    w = Window.partitionBy(*scope).orderBy(PID)
-    n_segments = out.where(F.col("kind") == 1).count()     # reads the small kind=1 files only
-    segs = out.where(F.col("kind") == 1).select(
-        PID, *scope, F.col("local_run").alias("n_runs"),
-        F.col(key).alias("first_key"), "last_key")
-    cont = F.coalesce((F.lag("last_key").over(w) == F.col("first_key")).cast("int"), F.lit(0))
-    segs = segs.withColumn("cont", cont)
-    segs = (segs.withColumn("offset", F.coalesce(
-                F.sum(F.col("n_runs") - F.col("cont")).over(
-                    w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            .withColumn("next_cont", F.coalesce(F.lead("cont").over(w), F.lit(0))))
-    return Spans(pieces, segs, scope, key, n_segments)
-
-
-# -- ordinals -----------------------------------------------------------------
-
-def _local_positions(scope: list[str], cols: list[str]):
-    """mapInPandas body: ordered rows of one range partition -> the rows with
-    their position in the (partition, scope) segment (``kind`` 0), plus one
-    row per segment with its row count in ``local_pos`` (``kind`` 1)."""
-
-    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        has_prev = False
-        prev_scope: list = []
-        pos = 0
-        open_seg: dict | None = None
-        pid = 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            pid = int(pdf[PID].iloc[0])
-            scope_vals = {c: pdf[c].to_numpy() for c in scope}
-            scope_ch = np.zeros(n, dtype=bool)
-            for i, c in enumerate(scope):
-                scope_ch |= _changes(scope_vals[c], prev_scope[i] if has_prev else None,
-                                     has_prev, null_breaks=False)
-            seg_idx = np.cumsum(scope_ch)
-            local = pd.Series(np.ones(n, dtype=np.int64)).groupby(seg_idx).cumsum().to_numpy()
-            local = local + np.where(seg_idx == 0, pos, 0)
-
-            s0 = np.flatnonzero(scope_ch)
-            head_end = s0[0] if len(s0) else n
-            if head_end > 0:
-                open_seg["local_pos"] = int(local[head_end - 1])
-            closed = []
-            if len(s0):
-                if open_seg is not None:
-                    closed.append(open_seg)
-                e0 = np.append(s0[1:], n)
-                for a, b in zip(s0[:-1], e0[:-1]):
-                    closed.append({**{c: scope_vals[c][a] for c in scope}, "local_pos": int(local[b - 1])})
-                open_seg = {**{c: scope_vals[c][s0[-1]] for c in scope}, "local_pos": int(local[-1])}
-
-            has_prev = True
-            prev_scope = [scope_vals[c][-1] for c in scope]
-            pos = int(local[-1])
-            yield pdf[[PID, *cols]].assign(kind=np.int32(0), local_pos=local)
-            if closed:
-                yield _segment_rows(closed, pid, cols)
-        if open_seg is not None:
-            yield _segment_rows([open_seg], pid, cols)
-    return fn
-
-
-def _segment_rows(segs: list[dict], pid: int, cols: list[str]) -> pd.DataFrame:
-    """Segment summaries in the row schema (payload columns left NULL)."""
-    seg = pd.DataFrame(segs)
-    out = pd.DataFrame({PID: np.full(len(seg), pid, dtype=np.int32)})
-    for c in cols:
-        out[c] = seg[c].to_numpy() if c in seg else pd.Series([None] * len(seg), dtype=object)
-    out["kind"] = np.int32(1)
-    out["local_pos"] = seg["local_pos"].astype(np.int64).to_numpy()
-    return out
+    narrow = df.select(*dict.fromkeys([*scope, *order, key, value]))
+    cut = in_chunks(narrow, scope, order, num_partitions)
+    rows = narrow.withColumn(CHUNK, F.lit(0)) if cut is None else cut
+    parts = scope if cut is None else [*scope, CHUNK]
+    w = Window.partitionBy(*parts).orderBy(*order)
+    rows = rows.withColumn("_break", F.when(F.lag(key).over(w) == F.col(key), 0).otherwise(1).cast("bigint"))
+    rows = rows.withColumn("local_run", F.sum("_break").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    pieces = rows.groupBy(*parts, "local_run").agg(
+        F.first(key).alias(key), F.sum(value).alias("total"), F.count(F.lit(1)).alias("n"))
+    if cut is None:
+        return Spans(pieces, None, scope, key, 0)
+    seen = Observation("segments")
+    pieces = _materialize(pieces.observe(seen, F.count_if(F.col("local_run") == 1).alias("n")), "spans")
+
+    segs = pieces.groupBy(*scope, CHUNK).agg(
+        F.max("local_run").alias("n_runs"), F.min_by(key, "local_run").alias("first_key"),
+        F.max_by(key, "local_run").alias("last_key"))
+    w = Window.partitionBy(*scope).orderBy(CHUNK)
+    segs = segs.withColumn("cont", F.coalesce((F.lag("last_key").over(w) == F.col("first_key")).cast("int"), F.lit(0)))
+    segs = segs.select(
+        *scope, CHUNK, "n_runs", "cont",
+        F.coalesce(F.sum(F.col("n_runs") - F.col("cont")).over(
+            w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"),
+        F.coalesce(F.lead("cont").over(w), F.lit(0)).alias("next_cont"))
+    return Spans(pieces, segs, scope, key, seen.get["n"])
 
 
 def ordinal_within(df: DataFrame, within: Sequence[str], order: Sequence[str],
@@ -368,26 +177,22 @@ def ordinal_within(df: DataFrame, within: Sequence[str], order: Sequence[str],
     """Add ``name``: 1-based position of each row in ``order`` inside its scope.
 
     Equal to ``row_number()`` over ``partitionBy(within).orderBy(order)`` for
-    a total order, without putting a scope into one task: local positions
-    per range partition, plus offsets from the rows of the preceding
-    segments of the same scope (segment counts come out of the same pass).
+    a total order, as a distributed prefix sum: the rows before a chunk are a
+    sum over column-pruned counts per (scope, chunk).  Each count travels to
+    its chunk as one extra row that sorts first, so that the rows themselves
+    are shuffled once and joined with nothing.  ``df`` must give the same rows
+    each time it is evaluated; nothing is written.
     """
-    scope = list(within)
-    cols = list(df.columns)
-    ranged = _ranged(df, scope, order, cols, num_partitions)
-    fields = [f if f.name in scope else T.StructField(f.name, f.dataType, True)
-              for f in ranged.schema.fields]
-    schema = T.StructType([*fields, T.StructField("kind", T.IntegerType(), False),
-                           T.StructField("local_pos", T.LongType(), False)])
-    out = _materialize(ranged.mapInPandas(_local_positions(scope, cols), schema), "ordinals",
-                       partition_by=["kind"])
-    w = Window.partitionBy(*scope).orderBy(PID)
-    segs = (out.where(F.col("kind") == 1)
-            .select(PID, *scope, F.col("local_pos").alias("rows"))
-            .withColumn("offset", F.coalesce(
-                F.sum("rows").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            .select(PID, *scope, "offset"))
-    rows = out.where(F.col("kind") == 0)
-    n_segments = out.where(F.col("kind") == 1).count()     # reads the small kind=1 files only
-    j = _small_join(rows, segs, [PID, *scope], SEGMENT_BROADCAST_ROWS, n_segments)
-    return j.select(*cols, (F.col("offset") + F.col("local_pos")).cast("bigint").alias(name))
+    scope, cols = list(within), list(df.columns)
+    rows = in_chunks(df, scope, order, num_partitions)
+    if rows is None:
+        w = Window.partitionBy(*scope).orderBy(*order)
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+    counts = rows.groupBy(*scope, CHUNK).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(*scope).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    heads = counts.select(*scope, CHUNK, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias(BEFORE))
+    both = rows.withColumn(BEFORE, F.lit(None).cast("bigint")).unionByName(heads, allowMissingColumns=True)
+    w = Window.partitionBy(*scope, CHUNK).orderBy(F.col(BEFORE).isNull(), *order)
+    first = F.first(BEFORE).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    both = both.withColumn(name, (first + F.row_number().over(w) - 1).cast("bigint"))
+    return both.where(F.col(BEFORE).isNull()).select(*cols, name)

@@ -41,6 +41,7 @@ EMPTY_YEAR = 1900
 RANGE_LO, RANGE_HI = dt.date(YEAR, 1, 1), dt.date(YEAR, 1, 31)
 RUN_ORDER = ["day", "flightnum", *SEQ]          # total order for runs
 CLUSTER_ORDER = ["flightnum", "day", *SEQ]      # clustering order of the final layout
+FINAL = LAYOUTS["by_carrier_month"]             # the final table: its key and clustering
 BUCKETS = 8                                     # at least
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +110,16 @@ def _spans(spark: SparkSession, sf_dir: str) -> ordered.Spans:
                            within=["year", "month"], value="arrdelay")
 
 
+def _year_spans(spark: SparkSession, sf_dir: str) -> ordered.Spans:
+    """The reference's run query: the year filter comes before the grouping,
+    and rows follow the final table's storage order, partitions by the token
+    (a hash) of their key, rows inside by the clustering columns."""
+    rows = flight_store(spark, sf_dir).where(F.col("year") == YEAR)
+    rows = rows.withColumn("token", F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in FINAL.partition])))
+    order = ["token", *FINAL.partition[1:], *FINAL.clustering, *SEQ]
+    return ordered.span_by(rows, key="uniquecarrier", order=order, within=["year"], value="arrdelay")
+
+
 def _csv_rows(spark: SparkSession, paths) -> DataFrame:
     df = csv_source.read_flights_csv(spark, paths, extra=SEQ_SCHEMA)
     return df.select(*COLUMNS, *SEQ)
@@ -147,6 +158,17 @@ def cached_span_sum(spark, sf):
     return cached_spans(spark, sf).runs()
 
 
+def cached_span_sum_year(spark, sf):
+    """Run pieces of the filtered year only, persisted once and asked twice:
+    how many there are, then their sums."""
+    def make():
+        spans = _year_spans(spark, sf)
+        spans.pieces.persist(StorageLevel.MEMORY_AND_DISK)
+        return spans
+    spans = _once(spark, sf, "cached_year_spans", make)
+    return spans.runs().withColumn("n_runs", spans.count().scalar())
+
+
 def _iso_dates(df: DataFrame, *cols: str) -> DataFrame:
     """Dates as ISO text in a registered query's output (lossless; keeps the
     cross-engine value comparison independent of date representations)."""
@@ -244,6 +266,8 @@ QUERIES: dict[str, Query] = {
     "carrier_avg": _store(lambda s, df: measures.carrier_avg(df, YEAR)),
     "span_sum": lambda spark, sf: _spans(spark, sf).runs(),
     "span_count": lambda spark, sf: _spans(spark, sf).count(),
+    "span_sum_year": lambda spark, sf: _year_spans(spark, sf).runs(),
+    "span_count_year": lambda spark, sf: _year_spans(spark, sf).count(),
     "grid_sum": _store(lambda s, df: measures.grid_sum(s, df, YEAR)),
     "grid_sum_first_day": _store(lambda s, df: measures.grid_sum(s, df, YEAR, day=1)),
     "grid_carrier_total": _store(lambda s, df: measures.grid_carrier_total(s, df, YEAR)),
@@ -289,6 +313,7 @@ QUERIES: dict[str, Query] = {
     "stream_load": stream_load,
     "cached_filter_sum": cached_filter_sum,
     "cached_span_sum": cached_span_sum,
+    "cached_span_sum_year": cached_span_sum_year,
 }
 
 

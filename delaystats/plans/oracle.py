@@ -127,6 +127,16 @@ FROM (SELECT *, sum(brk) OVER (PARTITION BY year, month ORDER BY {RUN_ORDER_SQL}
             FROM flights) t) u
 GROUP BY year, month, run, uniquecarrier"""
 
+    token = "md5(concat(CAST(year AS STRING), ':', uniquecarrier, ':', CAST(month AS STRING)))"
+    token_order = f"{token}, uniquecarrier, month, flightnum, day, {SEQ_SQL}"
+    year_span = f"""
+SELECT year, CAST(run AS BIGINT) AS run, uniquecarrier, CAST(sum(arrdelay) AS BIGINT) AS total
+FROM (SELECT *, sum(brk) OVER (PARTITION BY year ORDER BY {token_order} ROWS UNBOUNDED PRECEDING) AS run
+      FROM (SELECT *, CASE WHEN lag(uniquecarrier) OVER (PARTITION BY year ORDER BY {token_order})
+                             = uniquecarrier THEN 0 ELSE 1 END AS brk
+            FROM flights WHERE year = {year}) t) u
+GROUP BY year, run, uniquecarrier"""
+
     def upsert(key: str) -> str:
         return f"""
 SELECT year, month, day, uniquecarrier, flightnum, arrdelay
@@ -244,5 +254,8 @@ WHERE rank <= {TOP_N}""",
                        f"FROM flights_raw WHERE {_ok(V5_SQL)}",
         "cached_filter_sum": f"SELECT {zsum} AS total FROM flights WHERE {yc}",
         "cached_span_sum": span,
+        "span_sum_year": year_span,
+        "span_count_year": f"SELECT CAST(count(*) AS BIGINT) AS n FROM ({year_span}) s",
+        "cached_span_sum_year": f"SELECT *, count(*) OVER () AS n_runs FROM ({year_span}) s",
     }
     return {k: _q(v) for k, v in q.items()}

@@ -120,3 +120,44 @@ def test_ordinal_within_property(spark, scopes, parts):
                  ordered.ordinal_within(df, ["s"], ["o1", "o2"], num_partitions=parts).collect())
     pdf["pos"] = pdf.groupby("s").cumcount() + 1
     assert got == sorted(zip(pdf["o2"].astype(int), pdf["pos"].astype(int)))
+
+
+@pytest.mark.parametrize("parts", [None, 5])
+def test_values_of_any_type_are_unchanged(spark, parts):
+    import datetime as dt
+    from decimal import Decimal
+    big = 2**53 + 1
+    rows = [(1, i, None if i % 3 == 0 else big + 2 * (i % 2), big + 2 * i if i % 4 else None,
+             Decimal(f"12345678901234567890.{i:02d}"), [big, None], dt.datetime(2020, 1, 1, 0, 0, 0, i))
+            for i in range(40)]
+    df = spark.createDataFrame(rows, "s int, o bigint, k bigint, v bigint, d decimal(24,2), a array<bigint>, t timestamp")
+    got = ordered.ordinal_within(df, ["s"], ["o"], num_partitions=parts).orderBy("o").collect()
+    assert [tuple(r) for r in got] == [(*r, i + 1) for i, r in enumerate(rows)]
+    runs = ordered.span_by(df, "k", ["o"], ["s"], "v", num_partitions=parts).runs().orderBy("run").collect()
+    want = []
+    for _, _, k, v, *_ in rows:
+        if want and k is not None and want[-1][0] == k:
+            want[-1][1].append(v)
+        else:
+            want.append((k, [v]))
+    sums = [(k, sum(x for x in vs if x is not None) if any(x is not None for x in vs) else None) for k, vs in want]
+    assert [(r["k"], r["total"]) for r in runs] == sums
+    total = ordered.span_by(df, "k", ["o"], ["s"], "d", num_partitions=parts).runs().agg({"total": "sum"}).first()[0]
+    assert total == sum(r[4] for r in rows)
+
+
+def test_a_hot_scope_is_cut_and_small_scopes_are_not(spark, monkeypatch):
+    from delaystats.plans.explain import plan_text
+    df = spark.range(20_000).selectExpr("cast(if(id % 3 = 0, id, 0) as int) s", "id o", "id % 7 k", "id v")
+    plain = ordered.ordinal_within(df, ["s"], ["o"])
+    want = sorted(map(tuple, plain.select("o", "pos").collect()))
+    assert "Python" not in plan_text(plain)
+    monkeypatch.setattr(ordered, "LEAST_ROWS", 500)
+    cut = ordered.in_chunks(df, ["s"], ["o"])
+    sizes = cut.where("s = 0").groupBy("_chunk").count().collect()
+    assert len(sizes) > 8 and max(r["count"] for r in sizes) < 3000
+    got = ordered.ordinal_within(df, ["s"], ["o"])
+    assert "InArrow" not in plan_text(got) and "InPandas" not in plan_text(got)
+    assert sorted(map(tuple, got.select("o", "pos").collect())) == want
+    assert ordered.ordinal_within(df.where("o < 0"), ["s"], ["o"]).collect() == []
+    assert ordered.span_by(df.where("o < 0"), "k", ["o"], ["s"], "v").runs().collect() == []
