@@ -19,6 +19,7 @@ from delaystats.llm import (
     chat,
     decontaminate,
     main_text,
+    merkle,
     ngram_join,
     quality,
     secret_scan,
@@ -114,6 +115,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("redacted").cast("binary"), 256).alias("redacted_sha256"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", *merkle.FIELDS)
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return merkle.build(docs, changed, merkle.lower_ascii(F.col("text"))).proofs()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_toxicity": op2_toxicity,
@@ -125,5 +132,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_ids": op8_token_ids,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_secret_scan": op10_secret_scan,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_merkle_manifest": merkle.manifest_sql()}
