@@ -1,10 +1,10 @@
 """The registered queries of this subpackage: name -> (spark, sf_dir) -> DataFrame.
 
 Each applies one operator with its production parameters to a whole table and
-derives the columns of its contract from the operator's output.  None of the
-results can be stated in SQL over the tables (trained models, tokenizers,
-iterative joins, archives), so ORACLE_SQL is empty and ``tests/llm`` compares
-each with a brute-force version.
+derives the columns of its contract from the operator's output.  Two results
+can be stated in SQL over the tables (ORACLE_SQL); the others (trained models,
+tokenizers, iterative joins, archives) are compared with a brute-force version
+in ``tests/llm``.
 """
 
 from __future__ import annotations
@@ -21,10 +21,12 @@ from delaystats.llm import (
     main_text,
     merkle,
     ngram_join,
+    phrases,
     quality,
     secret_scan,
     token_ids,
     toxicity,
+    verified_bpe,
     warc,
 )
 from delaystats.llm.common import held_out, table, written
@@ -121,6 +123,18 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.build(docs, changed, merkle.lower_ascii(F.col("text"))).proofs()
 
 
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        tables = verified_bpe.read_tables(f.read())
+    rows = verified_bpe.decode(verified_bpe.encode(table(spark, sf_dir, "documents"), tables), tables)
+    return rows.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2(F.col("ids"), 256).alias("ids_sha256"), F.sha2(F.col("text"), 256).alias("decoded_sha256"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents", "lang", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_toxicity": op2_toxicity,
@@ -133,5 +147,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_secret_scan": op10_secret_scan,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_bpe": op12_bpe,
+    "op13_phrases": op13_phrases,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op11_merkle_manifest": merkle.manifest_sql(),
+    "op13_phrases": phrases.collocations_sql(),
 }
-ORACLE_SQL: dict[str, str] = {"op11_merkle_manifest": merkle.manifest_sql()}
