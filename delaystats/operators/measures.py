@@ -12,7 +12,7 @@ import datetime as dt
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from delaystats.functions import zero_sum
@@ -188,8 +188,22 @@ def calendar_month_ranges(year: int) -> list[tuple[dt.date, dt.date]]:
     return out
 
 
-#: Range-month rows up to which Spark may broadcast them (some 3 MB).
-BROADCAST_RANGE_MONTHS = 100_000
+def _running_totals(daily: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(day, total of all days up to it) for the days of ``wanted``.
+
+    A distributed prefix sum over the calendar: running sums inside each month,
+    plus the sum of the months before it (a window over one row per month)."""
+    month = (F.year("day") * 12 + F.month("day")).alias("month")
+    days = daily.select(month, "day", "v", F.lit(False).alias("asked"))
+    points = wanted.select(month, "day", F.lit(None).cast(daily.schema["v"].dataType).alias("v"), F.lit(True).alias("asked"))
+    events = days.unionByName(points)
+    inside = Window.partitionBy("month").orderBy("day", "asked").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    months = events.groupBy("month").agg(F.sum("v").alias("v")).select("month", F.sum("v").over(before).alias("earlier"))
+    running = events.withColumn("running", F.sum("v").over(inside)).where("asked")
+    zero = F.lit(0)
+    return running.join(months, "month").select(
+        "day", (F.coalesce("running", zero) + F.coalesce("earlier", zero)).alias("total"))
 
 
 def range_sums(spark: SparkSession, df: DataFrame, carrier: str,
@@ -197,36 +211,30 @@ def range_sums(spark: SparkSession, df: DataFrame, carrier: str,
                date_col: str = "flightdate", measure: str = MEASURE) -> DataFrame:
     """Closed-range sums for a list of (lo, hi) date ranges, one row per range.
 
-    Rows are first added up per date, so overlapping ranges never multiply
-    rows: what is joined is one total per calendar day.  Every range is
-    expanded into the (year, month) pairs it touches and joined on those (an
-    equi-join instead of a nested loop), then the exact bounds are applied.
-    A date inside overlapping ranges counts in each; a range without rows, or
-    with hi < lo, has the sum 0.  The number of range-month rows follows from
-    the list: above BROADCAST_RANGE_MONTHS they are merge-joined.
+    Rows are first added up per date; the sum of a range is then the running
+    total at its last day less the one before its first day, so that n ranges
+    over d days cost n + d steps, however long they are and however they
+    overlap.  Both lookups are joins on the day with one row per asked day.  A
+    range without rows, or with hi < lo, has the sum 0.  Sums of whole numbers
+    and decimals are exact; DOUBLE measures round as sums do.
     """
     spans = [(_as_date(lo), _as_date(hi)) for lo, hi in ranges]
     rng = spark.createDataFrame(pa.table({
         "range_id": pa.array(range(1, len(spans) + 1), pa.int32()),
         "lo": pa.array([lo for lo, _ in spans], pa.date32()),
         "hi": pa.array([hi for _, hi in spans], pa.date32())}))
-    by_month = (rng.where(F.col("hi") >= F.col("lo"))
-                .select("range_id", "lo", "hi",
-                        F.explode(F.sequence(F.trunc("lo", "MM"), F.trunc("hi", "MM"),
-                                             F.expr("INTERVAL 1 MONTH"))).alias("m"))
-                .select("range_id", "lo", "hi", F.year("m").alias("year"), F.month("m").alias("month")))
-    n_months = sum((hi.year - lo.year) * 12 + hi.month - lo.month + 1 for lo, hi in spans if hi >= lo)
-    if n_months > BROADCAST_RANGE_MONTHS:
-        by_month = by_month.hint("merge")
     lo_all = min((lo for lo, _ in spans), default=dt.date(1, 1, 1))
     hi_all = max((hi for _, hi in spans), default=dt.date(1, 1, 1))
     daily = (df.where((F.col("uniquecarrier") == carrier) & _month_prune(lo_all, hi_all))
-             .groupBy("year", "month", F.col(date_col).alias("_d")).agg(F.sum(measure).alias("_v")))
-    sums = (daily.join(by_month, ["year", "month"])
-            .where(F.col("_d").between(F.col("lo"), F.col("hi")))
-            .groupBy("range_id").agg(F.sum("_v").cast("double").alias("_total")))
-    return (rng.join(sums, "range_id", "left")
-            .select("range_id", "lo", "hi", F.coalesce("_total", F.lit(0.0)).alias("total")))
+             .groupBy(F.col(date_col).alias("day")).agg(F.sum(measure).alias("v")))
+    asked = rng.select("range_id", "lo", "hi", F.date_sub("lo", 1).alias("before"))
+    wanted = asked.select(F.explode(F.array("before", "hi")).alias("day")).distinct()
+    totals = _running_totals(daily, wanted)
+    upto = totals.select(F.col("day").alias("hi"), F.col("total").alias("upto"))
+    until = totals.select(F.col("day").alias("before"), F.col("total").alias("until"))
+    return (asked.join(upto, "hi").join(until, "before")
+            .select("range_id", "lo", "hi", F.when(F.col("hi") >= F.col("lo"), (F.col("upto") - F.col("until")).cast("double"))
+                    .otherwise(0.0).alias("total")))
 
 
 # -- reshape --------------------------------------------------------------------

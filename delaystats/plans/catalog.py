@@ -18,14 +18,15 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from delaystats.functions import try_int
-from delaystats.operators import ingest, measures, ordered, topk, upsert
+from delaystats.operators import ingest, load, measures, ordered, topk, upsert
 from delaystats.plans import oracle
-from delaystats.schema import COLUMNS, KEY_BY_DAY, KEY_BY_MONTH, LAYOUTS
+from delaystats.schema import COLUMNS, KEY_BY_DAY, KEY_BY_MONTH, LAYOUTS, all_string_schema
 from delaystats.session import scratch_path
 from delaystats.sources import csv as csv_source
-from delaystats.sources import layout
+from delaystats.sources import layout, multiline, skipping
 from delaystats.sources.testdata import (
     SEQ,
     SEQ_SCHEMA,
@@ -242,6 +243,118 @@ def keyed_layout(table: str):
     return run
 
 
+def csv_multiline(spark, sf):
+    """A CSV in which every third order's tail number holds a line end and quotes."""
+    def make():
+        note = F.concat("tailnum", F.lit('\nseen "twice", at '), "origin")
+        raw = flights_raw(spark, sf)
+        return csv_source.write_csv(raw.withColumn(
+            "tailnum", F.when(F.col("l_orderkey") % 3 == 0, note).otherwise(F.col("tailnum"))),
+            scratch_path(spark, "csv-multiline"))
+    rows = multiline.read_multiline_csv(spark, _once(spark, sf, "csv_multiline", make), extra=SEQ_SCHEMA)
+    return rows.select(*COLUMNS, *SEQ)
+
+
+def load_malformed(spark, sf):
+    """A CSV with short and long lines, loaded in one pass: rows by outcome and
+    reason as they were written, beside the count that the write itself took."""
+    def make():
+        fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in COLUMNS]
+        whole = F.concat_ws(",", *fields)
+        line = (F.when(F.col("l_orderkey") % 11 == 0, F.concat_ws(",", *fields[:20]))
+                .when(F.col("l_orderkey") % 13 == 0, F.concat(whole, F.lit(",extra,x"))).otherwise(whole))
+        path = scratch_path(spark, "csv-malformed")
+        flights_raw(spark, sf).select(line.alias("value")).write.text(path)
+        return path
+    raw = csv_source.read_flights_csv(spark, _once(spark, sf, "csv_malformed", make), header=False)
+    path = scratch_path(spark, "load-once")
+    counts = load.load_once(raw, path, "v5")
+    good = load.read_loaded(spark, path, T.StructType([STORE_SCHEMA["year"], STORE_SCHEMA["arrdelay"]]))
+    bad = load.read_rejected(spark, path, all_string_schema())
+    tally = (F.count(F.lit(1)).cast("bigint").alias("n"))
+    good = good.select(F.lit(load.LOADED).alias("outcome"), F.lit(None).cast("string").alias("reason"))
+    bad = bad.select(F.lit(load.REJECTED).alias("outcome"), F.col(ingest.REASON).alias("reason"))
+    counted = F.when(F.col("outcome") == load.LOADED, counts[load.LOADED]).otherwise(counts[load.REJECTED])
+    return (good.unionByName(bad).groupBy("outcome", "reason").agg(tally)
+            .withColumn("counted", counted.cast("bigint")))
+
+
+FINAL_SCHEMA = T.StructType([T.StructField(c, T.IntegerType() if c in ("year", "arrdelay") else T.StringType())
+                             for c in COLUMNS] + list(SEQ_SCHEMA.fields))
+FINAL_COLUMNS = ["year", "month", "day", "uniquecarrier", "flightnum", "arrdelay", "l_orderkey", "l_linenumber"]
+
+
+def _load_final(spark, sf) -> tuple[str, dict[str, int]]:
+    path = scratch_path(spark, "final")
+    counts = load.load_final(flights_raw(spark, sf), path, scratch_path(spark, "final-staged"), FINAL, SEQ, FINAL_SCHEMA)
+    return path, counts
+
+
+def load_final(spark, sf):
+    """The final table, written by the final load path and read back."""
+    return layout.read_layout(spark, _load_final(spark, sf)[0], FINAL_SCHEMA).select(*FINAL_COLUMNS)
+
+
+def load_counters_write(spark, sf):
+    """What the final load counted while it wrote."""
+    counts = _load_final(spark, sf)[1]
+    return spark.createDataFrame([(counts[load.LOADED], counts[load.REJECTED])], "loaded long, rejected long")
+
+
+def load_groups(spark, sf):
+    """Groups of 50 000 rows by load sequence: the ledger beside what is stored."""
+    path = scratch_path(spark, "load-groups")
+    ledger = load.load_groups(flights_raw(spark, sf), path, SEQ)
+    rows = load.read_loaded(spark, f"{path}/groups", T.StructType(
+        [T.StructField(load.GROUP, T.LongType()), T.StructField("arrdelay", T.IntegerType()), SEQ_SCHEMA["l_orderkey"]]))
+    stored = rows.groupBy(load.GROUP).agg(F.sum("arrdelay").cast("bigint").alias("total"),
+                                          F.min("l_orderkey").alias("first_order"), F.max("l_orderkey").alias("last_order"))
+    return ledger.join(stored, load.GROUP)
+
+
+def merge_upsert(spark, sf):
+    """A batch of two months merged into the stored table: every third order
+    arrives late, and only its months are rewritten."""
+    table = LAYOUTS["by_month_day"]
+    rows = flight_store(spark, sf)
+    late = (F.col("l_orderkey") % 3 == 0) & F.col("month").isin(1, 2)
+    path = scratch_path(spark, "merge")
+    layout.write_keyed(rows.where(~late), table, path, SEQ)
+    upsert.merge_into(path, table, rows.where(late), SEQ, STORE_SCHEMA)
+    return _upsert_cols(layout.read_layout(spark, path, STORE_SCHEMA))
+
+
+def keyed_layout_carrier(spark, sf):
+    """The typed v1 rows keyed by carrier; one row per flight and date."""
+    good, _ = ingest.typed_load(flights_raw(spark, sf), "v1")
+    path = scratch_path(spark, "keyed", "by_carrier")
+    layout.write_keyed(good, LAYOUTS["by_carrier"], path, SEQ)
+    rows = layout.read_layout(spark, path, good.schema)
+    return _iso_dates(rows.select("uniquecarrier", "flightdate", "flightnum", "deptime", "arrdelay"), "flightdate")
+
+
+def keyed_layout_carrier_month(spark, sf):
+    """The all-text rows under the final table's key."""
+    raw = flights_raw(spark, sf)
+    path = scratch_path(spark, "keyed", "by_carrier_month")
+    layout.write_keyed(raw, FINAL, path, SEQ)
+    return _upsert_cols(layout.read_layout(spark, path, raw.schema))
+
+
+LOOKUP_DAYS = [(CARRIER, str(YEAR), str(MONTH), str(d)) for d in range(5, 31, 5)]
+
+
+def keyed_layout_carrier_ymd(spark, sf):
+    """The all-text rows keyed by carrier and day, in files of consecutive
+    keys with an index; six days are looked up through it."""
+    raw, table = flights_raw(spark, sf), LAYOUTS["by_carrier_ymd"]
+    key = ("uniquecarrier", "year", "month", "day")
+    path, index = scratch_path(spark, "keyed", "by_carrier_ymd"), scratch_path(spark, "keyed", "by_carrier_ymd-index")
+    skipping.write_cut(upsert.upsert(raw, table.primary_key, SEQ), path, table, files=40)
+    skipping.build_index(spark, path, table.partition, key, index, raw.schema)
+    return _upsert_cols(skipping.lookup(spark, path, index, table.partition, key, LOOKUP_DAYS, raw.schema))
+
+
 def clustered_scan(spark, sf):
     rows = flight_store(spark, sf).select("year", "month", "uniquecarrier", "flightnum", "day",
                                           "arrdelay", *SEQ)
@@ -307,6 +420,15 @@ QUERIES: dict[str, Query] = {
     "bucketed_upsert_day": bucketed_upsert_day,
     "keyed_layout_month": keyed_layout("by_month"),
     "keyed_layout_day": keyed_layout("by_month_day"),
+    "keyed_layout_carrier": keyed_layout_carrier,
+    "keyed_layout_carrier_month": keyed_layout_carrier_month,
+    "keyed_layout_carrier_ymd": keyed_layout_carrier_ymd,
+    "merge_upsert": merge_upsert,
+    "csv_multiline": csv_multiline,
+    "load_malformed": load_malformed,
+    "load_final": load_final,
+    "load_counters_write": load_counters_write,
+    "load_groups": load_groups,
     "layout_partitioned": layout_partitioned,
     "layout_bucketed": layout_bucketed,
     "load_counters": lambda spark, sf: ingest.load_counts(flights_raw(spark, sf), "v5"),

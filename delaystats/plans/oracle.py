@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 
 from delaystats.operators.measures import calendar_month_ranges
-from delaystats.schema import CARRIERS, COLUMNS, FANOUT_YEARS, LIMIT_PER_MONTH, TOP_N
+from delaystats.schema import CARRIERS, COLUMNS, FANOUT_YEARS, LIMIT_PER_MONTH, LOAD_BATCH_ROWS, TOP_N
 
 FLIGHTS_CTE = """
 WITH flights_raw AS (
@@ -137,13 +137,21 @@ FROM (SELECT *, sum(brk) OVER (PARTITION BY year ORDER BY {token_order} ROWS UNB
             FROM flights WHERE year = {year}) t) u
 GROUP BY year, run, uniquecarrier"""
 
-    def upsert(key: str) -> str:
+    def upsert(key: str, table: str = "flights") -> str:
         return f"""
 SELECT year, month, day, uniquecarrier, flightnum, arrdelay
 FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {SEQ_DESC_SQL}) AS rn
-      FROM flights) t
+      FROM {table}) t
 WHERE rn = 1"""
 
+    day_key = "year, month, uniquecarrier, flightnum, day"
+    ok_final = "TRY_CAST(arrdelay AS INTEGER) IS NOT NULL"
+    n_years = FANOUT_YEARS[1] - FANOUT_YEARS[0] + 1
+    outcome = f"""
+SELECT CASE WHEN reason IS NULL THEN 'loaded' ELSE 'rejected' END AS outcome, reason
+FROM (SELECT CASE WHEN l_orderkey % 11 = 0 OR l_orderkey % 13 = 0 THEN 'shape' ELSE {_reason(V5_SQL)} END AS reason
+      FROM flights_raw) t"""
+
     def grid(extra: str) -> str:
         return f"""
 SELECT c.uniquecarrier, CAST(m.month AS INTEGER) AS month, COALESCE(CAST(a.total AS DOUBLE), 0.0) AS total
@@ -254,6 +262,39 @@ WHERE rank <= {TOP_N}""",
                        f"FROM flights_raw WHERE {_ok(V5_SQL)}",
         "cached_filter_sum": f"SELECT {zsum} AS total FROM flights WHERE {yc}",
         "cached_span_sum": span,
+        "keyed_layout_carrier": f"""
+SELECT uniquecarrier, strftime(flightdate, '%Y-%m-%d') AS flightdate, flightnum, deptime, arrdelay
+FROM (SELECT *, row_number() OVER (PARTITION BY uniquecarrier, flightdate, flightnum ORDER BY {SEQ_DESC_SQL}) AS rn
+      FROM (SELECT {_typed_select(V1_SQL, v1_order)}, {SEQ_SQL} FROM flights_raw WHERE {_ok(V1_SQL)}) t) u
+WHERE rn = 1""",
+        "keyed_layout_carrier_month": upsert(day_key, "flights_raw"),
+        "keyed_layout_carrier_ymd": f"""
+SELECT * FROM ({upsert(day_key, "flights_raw")}) t
+WHERE uniquecarrier = '{carrier}' AND year = '{year}' AND month = '{month}'
+  AND day IN ('5', '10', '15', '20', '25', '30')""",
+        "merge_upsert": upsert(day_key),
+        "csv_multiline": "SELECT * REPLACE (CASE WHEN l_orderkey % 3 = 0 THEN concat(tailnum, chr(10), "
+                         "'seen \"twice\", at ', origin) ELSE tailnum END AS tailnum) FROM flights_raw",
+        "load_malformed": f"""
+SELECT outcome, reason, CAST(count(*) AS BIGINT) AS n,
+       CAST(sum(count(*)) OVER (PARTITION BY outcome) AS BIGINT) AS counted
+FROM ({outcome}) o GROUP BY outcome, reason""",
+        "load_final": f"""
+SELECT CAST(y.fy AS INTEGER) AS year, month, day, uniquecarrier, flightnum, CAST(arrdelay AS INTEGER) AS arrdelay,
+       l_orderkey, l_linenumber
+FROM (SELECT *, row_number() OVER (PARTITION BY uniquecarrier, month, flightnum, day ORDER BY {SEQ_DESC_SQL}) AS rn
+      FROM flights_raw WHERE {ok_final}) t
+CROSS JOIN (SELECT unnest(range({flo}, {fhi + 1})) AS fy) y WHERE rn = 1""",
+        "load_counters_write": f"SELECT CAST({n_years} * count(*) FILTER (WHERE {ok_final}) AS BIGINT) AS loaded, "
+                               f"CAST({n_years} * count(*) FILTER (WHERE NOT ({ok_final})) AS BIGINT) AS rejected "
+                               f"FROM flights_raw",
+        "load_groups": f"""
+SELECT CAST(g AS BIGINT) AS load_group, CAST(count(*) FILTER (WHERE {ok_final}) AS BIGINT) AS loaded,
+       CAST(count(*) FILTER (WHERE NOT ({ok_final})) AS BIGINT) AS rejected,
+       CAST(sum(TRY_CAST(arrdelay AS INTEGER)) AS BIGINT) AS total,
+       min(l_orderkey) FILTER (WHERE {ok_final}) AS first_order, max(l_orderkey) FILTER (WHERE {ok_final}) AS last_order
+FROM (SELECT *, (row_number() OVER (ORDER BY {SEQ_SQL}) - 1) // {LOAD_BATCH_ROWS} AS g FROM flights_raw) t
+GROUP BY g""",
         "span_sum_year": year_span,
         "span_count_year": f"SELECT CAST(count(*) AS BIGINT) AS n FROM ({year_span}) s",
         "cached_span_sum_year": f"SELECT *, count(*) OVER () AS n_runs FROM ({year_span}) s",

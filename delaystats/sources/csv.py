@@ -18,7 +18,10 @@ def read_flights_csv(spark: SparkSession, paths: str | list[str],
     Several paths are read as one UNION ALL (order of inputs kept, no
     de-duplication).  Empty fields come back as ``''`` like the csv module
     gives them, not NULL.  With ``flag_malformed`` short and long rows are
-    kept and marked in ``_corrupt_record`` so that the load rejects them.
+    kept and marked in ``_corrupt_record`` so that the load rejects them; every
+    field of a row is then split, whichever columns a query asks for, or the
+    mark would depend on the query.  A line is a record: for quoted fields
+    with line ends see ``multiline.read_multiline_csv``.
     """
     schema = all_string_schema(extra)
     if flag_malformed:
@@ -27,6 +30,7 @@ def read_flights_csv(spark: SparkSession, paths: str | list[str],
               .option("header", header)
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT)
+              .option("columnPruning", not flag_malformed)
               .option("quote", '"')
               .option("escape", '"'))
     df = reader.csv(paths)
@@ -66,7 +70,7 @@ def chain(frames: list[DataFrame]) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
-    df.write.mode("overwrite").option("header", header).csv(path)
+    df.write.mode("overwrite").option("header", header).option("escape", '"').csv(path)
     return path
 
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +38,8 @@ def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] =
                       cluster_by: tuple[str, ...] = ("uniquecarrier", "flightnum", "day"),
                       max_records_per_file: int | None = None, mode: str = "append",
                       num_partitions: int | None = None,
-                      observation: Observation | None = None) -> str:
+                      observation: Observation | None = None,
+                      metrics: Sequence[Column] = (), dynamic: bool = False) -> str:
     """Write ``df`` as a keyed layout: ``partitionBy`` directories, files
     sorted by the clustering columns.
 
@@ -56,9 +57,12 @@ def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] =
     rebalance's advisory partition size (``spark.sql.adaptive.
     advisoryPartitionSizeInBytes``).
 
-    ``observation`` (if given) counts the written rows.  It is attached
-    *after* the exchange: a range sampler runs the plan below the exchange
-    as an extra job, and metrics collected there would count twice.
+    ``observation`` (if given) counts the written rows, or takes ``metrics``.
+    It is attached *after* the exchange: a range sampler runs the plan below
+    the exchange as an extra job, and metrics collected there would count twice.
+
+    ``dynamic`` makes an overwrite replace only the directories it writes to;
+    Spark stages the new files and moves them when all tasks are done.
     """
     spark = df.sparkSession
     key = [*partition_by, *cluster_by]
@@ -69,8 +73,10 @@ def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] =
     else:
         spread = df.repartitionByRange(*key)
     if observation is not None:
-        spread = spread.observe(observation, F.count(F.lit(1)).alias("rows"))
+        spread = spread.observe(observation, *(metrics or [F.count(F.lit(1)).alias("rows")]))
     writer = spread.sortWithinPartitions(*key).write.mode(mode).partitionBy(*partition_by)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.parquet(path)
