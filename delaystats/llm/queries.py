@@ -126,7 +126,7 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f:
         tables = verified_bpe.read_tables(f.read())
-    rows = verified_bpe.decode(verified_bpe.encode(table(spark, sf_dir, "documents"), tables), tables)
+    rows = verified_bpe.round_trip(table(spark, sf_dir, "documents"), tables)
     return rows.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2(F.col("ids"), 256).alias("ids_sha256"), F.sha2(F.col("text"), 256).alias("decoded_sha256"))
 

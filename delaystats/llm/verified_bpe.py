@@ -38,11 +38,13 @@ from delaystats.llm.common import worker_cache
 
 NEVER = np.int64(1) << 40       # rank of a pair that does not merge
 LONG = 256                      # bytes of a word that goes to the heap at once
-CACHED_CHUNKS = 500_000         # encoded pieces of text a worker keeps
+CACHED_CHUNKS = 300_000         # encoded pieces of text a worker keeps
 BATCH_TEXTS = 1000
-CELLS = 2_000_000               # token cells of a block of words that are merged together
+CELLS = 500_000                 # token cells of a block of words that are merged together
 #: Fixed value: the split of byte-level BPE into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Pieces of text are split together, with this character between them.
+BORDER = "\ue000"
 
 
 def byte_letters() -> dict[str, int]:
@@ -76,7 +78,7 @@ class Tables:
     edges: np.ndarray           # sorted state << 8 | byte of the trie
     targets: np.ndarray         # state after the edge
     accepts: np.ndarray         # id that ends in a state, or -1
-
+    byte_ranks: np.ndarray      # rank of every pair of bytes; 256 stands for none
 
 def read_tables(tokenizer_json: str) -> Tables:
     """Tables of a byte-level BPE file; features that would change the result
@@ -107,8 +109,13 @@ def read_tables(tokenizer_json: str) -> Tables:
     if len(set(m.tolist())) != len(m) or (made[a] >= rank).any() or (made[b] >= rank).any():
         raise ValueError("merges out of order")
     order = np.argsort(a << 32 | b)
+    byte_ranks = np.full((257, 257), NEVER)
+    byte_of = {i: n for n, i in enumerate(byte_ids.tolist())}
+    for x, y, r in zip(a.tolist(), b.tolist(), rank.tolist()):
+        if x in byte_of and y in byte_of:
+            byte_ranks[byte_of[x], byte_of[y]] = r
     tables = Tables(pieces, added, byte_ids, (a << 32 | b)[order], rank[order], m[order], made, left, right,
-                    np.empty(0), np.empty(0), np.empty(0))
+                    np.empty(0), np.empty(0), np.empty(0), byte_ranks)
     exact = Exact(tables)
     stable = [i for t, i in vocab.items() if (made[i] >= 0 or len(pieces[i]) == 1) and exact(pieces[i]) == [i]]
     accept, edges = [-1], {}
@@ -177,19 +184,19 @@ def merge_rows(t: Tables, words: list[bytes]) -> list[bytes]:
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     width = int(sizes.max())
     inside = np.arange(width) < sizes[:, None]
-    ids = np.full((len(words), width), -1, np.int64)
-    ids[inside] = t.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+    raw = np.full((len(words), width + 1), 256, np.int64)
+    raw[:, :-1][inside] = np.frombuffer(b"".join(words), np.uint8)
+    # the column behind the last one stays empty, so that every token has a neighbour
+    ids = np.append(t.byte_ids, -1)[raw]
+    ranks = t.byte_ranks[raw[:, :-1], raw[:, 1:]]
 
     def ranks_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return np.where((a >= 0) & (b >= 0), _lookup(t.pair_keys, t.pair_ranks, a << 32 | b, NEVER), NEVER)
 
     merged = np.empty(len(t.pair_ids), np.int64)
     merged[t.pair_ranks] = t.pair_ids
-    done = np.full_like(ids, -1)
+    done = np.full((len(words), width), -1, np.int32)
     live, column = np.arange(len(words)), np.arange(width)
-    # the column behind the last one stays empty, so that every token has a neighbour
-    ids = np.concatenate((ids, np.full((len(words), 1), -1, np.int64)), axis=1)
-    ranks = ranks_of(ids[:, :-1], ids[:, 1:])
     while True:
         at = ranks.argmin(axis=1)
         rows = np.arange(len(live))
@@ -269,22 +276,34 @@ class Encoder:
         from tokenizers import pre_tokenizers
 
         self.tables, self.exact = t, Exact(t)
-        self.split = regex.compile(PATTERN).findall
-        self.latin = regex.compile("[\\x00-\\u024F]*").fullmatch
+        bordered = PATTERN.replace("[^\\s\\p{L}\\p{N}]", f"[^\\s\\p{{L}}\\p{{N}}{BORDER}]").replace(
+            "(?!\\S)", f"(?![^\\s{BORDER}])")
+        self.split = regex.compile(f"{BORDER}|{bordered}").findall
         self.library = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
         self.added = {x: np.array([i], "<u4").tobytes() for x, i in t.added}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.known: dict[str, bytes] = {}
         self.merged = 0         # words that had to be merged exactly
 
-    def words_of(self, chunk: str) -> list[str]:
-        """The words of a piece of text; beyond Latin letters the library's own
-        splitter decides, as its character classes are the ones that count."""
-        if chunk.isascii() and chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
-            return [chunk]
-        if self.latin(chunk):
-            return self.split(chunk)
-        return [chunk[a:b] for _, (a, b) in self.library.pre_tokenize_str(chunk)]
+    def words_of(self, chunks: list[str]) -> list[list[str]]:
+        """The words of pieces of text.  Latin ones are split together; beyond
+        them the library's own splitter decides, as its character classes are
+        the ones that count."""
+        out: list = [None] * len(chunks)
+        latin = []
+        for i, c in enumerate(chunks):
+            if c.isascii() or max(c) < "\u0250":
+                latin.append(i)
+            else:
+                out[i] = [c[a:b] for _, (a, b) in self.library.pre_tokenize_str(c)]
+        flat = self.split(BORDER.join([chunks[i] for i in latin]))
+        flat.append(BORDER)
+        at = 0
+        for i in latin:
+            end = flat.index(BORDER, at)
+            out[i] = flat[at:end]
+            at = end + 1
+        return out
 
     def words(self, words: Sequence[str]) -> list[bytes]:
         """Ids of each word: guessed, verified, and merged where the guess fails."""
@@ -320,7 +339,7 @@ class Encoder:
         return out
 
     def chunks(self, chunks: list[str]) -> dict[str, bytes]:
-        split = [self.words_of(c) for c in chunks]
+        split = self.words_of(chunks)
         words = list(set(chain.from_iterable(split)))
         got = dict(zip(words, self.words(words)))
         return {c: got[ws[0]] if len(ws) == 1 else b"".join(map(got.__getitem__, ws)) for c, ws in zip(chunks, split)}
@@ -361,6 +380,24 @@ def _encoder(tables: Tables) -> Encoder:
     return cache[key]
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+def _encoded(tables: Tables, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes]]]:
+    encoder = _encoder(tables)
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_TEXTS):
+            piece = batch.slice(at, BATCH_TEXTS)
+            yield piece.column(0), encoder([x or "" for x in piece.column(1).to_pylist()])
+
+
+def _decoded(tables: Tables, ids: Iterator[bytes | None]) -> list[str]:
+    pieces = [p or b"" for p in tables.pieces]
+    number = [np.frombuffer(x or b"", "<u4") for x in ids]
+    return [b"".join(map(pieces.__getitem__, x[x < len(pieces)].tolist())).decode("utf-8", "replace") for x in number]
+
+
 def encode(docs: DataFrame, tables: Tables, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids) of every row, ids as little-endian 32-bit integers.
 
@@ -369,15 +406,10 @@ def encode(docs: DataFrame, tables: Tables, id_col: str = "doc_id", text_col: st
     result.  Texts of any length are encoded whole.
     """
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tables)
-        for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_TEXTS):
-                piece = batch.slice(at, BATCH_TEXTS)
-                ids = encoder([x or "" for x in piece.column(1).to_pylist()])
-                yield pa.record_batch([piece.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+        for doc_ids, ids in _encoded(tables, batches):
+            yield pa.record_batch([doc_ids, pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(fn, "doc_id long, ids binary")
+    return _texts(docs, id_col, text_col).mapInArrow(fn, "doc_id long, ids binary")
 
 
 def decode(rows: DataFrame, tables: Tables) -> DataFrame:
@@ -385,13 +417,18 @@ def decode(rows: DataFrame, tables: Tables) -> DataFrame:
     read as UTF-8, bytes that are none replaced.  Ids without a piece are left
     out, null ids count as none."""
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = [p or b"" for p in tables.pieces]
         for batch in batches:
-            texts = []
-            for ids in batch.column(1).to_pylist():
-                number = np.frombuffer(ids or b"", "<u4")
-                number = number[number < len(pieces)].tolist()
-                texts.append(b"".join(map(pieces.__getitem__, number)).decode("utf-8", "replace"))
+            texts = _decoded(tables, batch.column(1).to_pylist())
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     return rows.select("doc_id", "ids").mapInArrow(fn, "doc_id long, ids binary, text string")
+
+
+def round_trip(docs: DataFrame, tables: Tables, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, text): ``decode`` of ``encode`` by the same worker."""
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc_ids, ids in _encoded(tables, batches):
+            yield pa.record_batch([doc_ids, pa.array(ids, pa.binary()), pa.array(_decoded(tables, ids), pa.string())],
+                                  ["doc_id", "ids", "text"])
+
+    return _texts(docs, id_col, text_col).mapInArrow(fn, "doc_id long, ids binary, text string")
