@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from delaystats.llm.common import written
 from delaystats.operators.topk import limit_per_group
 
-FLUSH_BYTES = 12 << 20      # text after which a task gives out its edges
+FLUSH_BYTES = 10 << 20      # text after which a task gives out its edges
 HOT = 1000                  # a node with 1 / HOT of the sample is dealt out by edge
 HOT_DOCS = 2000             # documents of that sample
 #: What ends a piece, what separates words.
@@ -57,6 +57,7 @@ def _edges(hot: frozenset):
         ids: defaultdict = defaultdict(count(1).__next__)
         ids[b"."] = 0
         a = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+        del words
         a = np.concatenate((a, [0, 0]))
         first, second = a[:-2], a[1:-1]
         third = np.where(second == 0, 0, a[2:])
