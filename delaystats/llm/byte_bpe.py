@@ -79,11 +79,6 @@ def _displaced(merges: list[tuple[int, int, int]], base: int) -> tuple[np.ndarra
     return first, np.concatenate((np.zeros(base, np.int64), cells[:end], np.zeros(base, np.int64)))
 
 
-def _numbers(values: np.ndarray) -> Column:
-    """Literal array<bigint> (folded by the optimiser)."""
-    return F.split(F.lit(",".join(map(str, values.tolist()))), ",").cast("array<bigint>")
-
-
 class ByteBpe:
     """Encoder and decoder of one rank file; columns in, columns out."""
 
@@ -93,9 +88,8 @@ class ByteBpe:
         self.base = 1 << size.bit_length()      # a token in the fold is its id + base
         merges = [(ranks[a], ranks[b], m) for t, m in ranks.items() if len(t) > 1
                   for a, b in (last_merge(t, ranks),)]
-        first, cells = _displaced(merges, self.base)
-        self.first, self.cells = _numbers(first), _numbers(cells)
-        del merges, first, cells
+        self.first, self.cells = _displaced(merges, self.base)
+        del merges
         self.byte_tokens = np.array([ranks[bytes([b])] for b in range(256)], np.int64) + self.base
         self.end = 2 * self.base - 1            # stands before and after a word and merges with nothing
         pieces = [""] * size
@@ -104,19 +98,26 @@ class ByteBpe:
         self.pieces = F.split(F.lit(" ".join(pieces)), " ")
         self.known = pa.table({"word": pa.array([], pa.string()), "ids": pa.array([], pa.list_(pa.int32()))})
 
-    def rank(self, a: Column, b: Column) -> Column:
+    def with_map(self, df: DataFrame) -> DataFrame:
+        """``df`` with the rank map in ``_map``: one literal for all its uses
+        (a scalar that Spark puts into the plan once, and not into its text)."""
+        one = df.sparkSession.createDataFrame([(self.first.tolist(), self.cells.tolist())],
+                                              "first array<bigint>, cells array<bigint>")
+        return df.withColumn("_map", one.select(F.struct("first", "cells")).scalar())
+
+    def rank(self, ranks: Column, a: Column, b: Column) -> Column:
         """Rank of a pair of tokens, ``base`` or more if it does not merge."""
-        return self.cells[self.first[a] + b].bitwiseXOR(F.shiftleft(a, self.base.bit_length() - 1))
+        return ranks["cells"][ranks["first"][a] + b].bitwiseXOR(F.shiftleft(a, self.base.bit_length() - 1))
 
-    def fold(self, word: Column) -> Column:
+    def fold(self, ranks: Column, word: Column) -> Column:
         """Token ids of one word (an array of the tokens of its bytes between
-        two ends): the ranked merges folded over it."""
+        two ends): the ranked merges of the rank map folded over it."""
         base = F.lit(self.base).cast("bigint")
 
         def merged(s: Column, at: Column) -> Column:
             token = s[at - 1] + base
             return F.concat(F.slice(s, F.lit(1), at - 3),
-                            F.array(self.rank(s[at - 4], token), token, self.rank(token, s[at + 2])),
+                            F.array(self.rank(ranks, s[at - 4], token), token, self.rank(ranks, token, s[at + 2])),
                             F.slice(s, at + 3, F.size(s)))
 
         def step(s: Column, _) -> Column:
@@ -124,7 +125,7 @@ class ByteBpe:
             place = F.array(F.array_position(s, least).cast("int"))
             return F.call_function("if", least < base, F.aggregate(place, s, merged), s)
 
-        pairs = F.zip_with(word, F.slice(word, F.lit(2), F.size(word)), lambda a, b: F.array(a, self.rank(a, b)))
+        pairs = F.zip_with(word, F.slice(word, F.lit(2), F.size(word)), lambda a, b: F.array(a, self.rank(ranks, a, b)))
         return F.aggregate(F.slice(word, F.lit(4), F.size(word) - 3), F.flatten(pairs), step, lambda s: F.transform(
             F.sequence(F.lit(3), F.size(s) - 3, F.lit(2)), lambda i: (s[i - 1] - base).cast("int")))
 
@@ -134,9 +135,9 @@ class ByteBpe:
         sample = docs.join(F.broadcast(ids), "doc_id", "left_semi").select("text")
         words = (sample.mapInArrow(_word_counts(self.pattern), "word string, n long")
                  .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(CACHE_WORDS))
-        self.known = (words.repartition(docs.sparkSession.sparkContext.defaultParallelism)
-                      .mapInArrow(_word_bytes(self.byte_tokens, self.end), "word string, bytes array<long>")
-                      .select("word", self.fold(F.col("bytes")).alias("ids")).toArrow())
+        known = (words.repartition(docs.sparkSession.sparkContext.defaultParallelism)
+                 .mapInArrow(_word_bytes(self.byte_tokens, self.end), "word string, bytes array<long>"))
+        self.known = self.with_map(known).select("word", self.fold(F.col("_map"), F.col("bytes")).alias("ids")).toArrow()
         return self
 
     def encode(self, docs: DataFrame) -> DataFrame:
@@ -145,7 +146,8 @@ class ByteBpe:
         known = self.known.column("word").to_pylist(), ids.flatten().to_numpy(), ids.value_lengths().to_numpy()
         blocks = docs.mapInArrow(_blocks(self.pattern, known[0], self.byte_tokens, self.end),
                                  "doc_ids array<long>, words array<array<long>>, counts array<int>, numbers binary")
-        return (blocks.select("doc_ids", "counts", "numbers", F.transform("words", self.fold).alias("tokens"))
+        tokens = F.transform("words", lambda word: self.fold(F.col("_map"), word))
+        return (self.with_map(blocks).select("doc_ids", "counts", "numbers", tokens.alias("tokens"))
                 .mapInArrow(_documents(*known[1:]), "doc_id long, ids array<int>"))
 
     def decode(self, ids: Column) -> Column:

@@ -18,10 +18,27 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 
 def written(df: DataFrame, what: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read back: the
-    lineage is cut, and every consumer sees the same rows."""
-    path = scratch_path(df.sparkSession, "llm", what)
+    lineage is cut, and every consumer sees the same rows.
+
+    The shuffle files of the plan that made it are of no use any more.  Spark
+    removes them once the driver's handles to them are collected, which an idle
+    driver does not do by itself, so it is asked to.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "llm", what)
     df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    spark.sparkContext._jvm.System.gc()
+    return out
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete tables made by ``written`` that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def held_out(doc_id: Column) -> Column:

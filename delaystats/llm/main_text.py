@@ -10,15 +10,19 @@ give every node's exact marginal; the text of nodes of 0.5 or more is the
 page's main text.
 
 The potentials are trained from labelled pages: pages of the table whose author
-marked the article (one <article> or <main>) label their own nodes, apart from
-boilerplate inside it.  At most SAMPLE pages (smallest salted hash of the id)
-are used.  Extraction is one Arrow pass over every whole page.
+marked the article (one <article> or <main>) label their own nodes by it, and
+pages made of their texts add what a table's pages may not show: articles of
+lists, tables, captions and bare text, plain text, and boilerplate inside the
+article.  No label looks at class names.  At most SAMPLE pages (smallest salted
+hash of the id, one row each) are used.  Extraction is one Arrow pass over every
+whole page.
 """
 
 from __future__ import annotations
 
 import html
 import math
+import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,6 +35,7 @@ from pyspark.sql import functions as F
 from delaystats.llm.common import hash_sample
 
 SAMPLE = 300            # labelled pages in the fit, at most
+MADE_BLOCKS = 40        # blocks of an article that made pages take, at most
 STEPS, RATE, DECAY = 400, 0.3, 1e-3
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<!\[CDATA\[.*?\]\]>|"
@@ -48,22 +53,26 @@ _KIND = {"article": "article", "main": "article", "p": "prose", "blockquote": "p
          "nav": "frame", "header": "frame", "footer": "frame", "aside": "frame", "menu": "frame", "dialog": "frame",
          "form": "frame", "button": "frame", "select": "frame", "option": "frame", "fieldset": "frame",
          "label": "frame", "head": "frame", "figure": "other", "table": "other"}
-_FRAME_WORDS = re.compile(r"nav|menu|header|footer|sidebar|side-bar|aside|\bads?\b|\bad[-_]|advert|banner|promo|sponsor|"
-                          r"cookie|consent|notice|popup|modal|overlay|share|social|comment|discuss|repl(?:y|ies)|"
-                          r"related|recommend|newsletter|subscri|login|signup|search|breadcrumb|pagination|widget|"
-                          r"copyright|legal|toolbar|masthead|complementary", re.I)
-_CONTENT_WORDS = re.compile(r"article|content|entry|main|post|story|\bbody\b|\btext\b", re.I)
+#: Words that class, id and role use for what frames an article; whole words only.
+_FRAME_WORDS = set("""nav navbar navigation menu menus footer sidebar aside ad ads advert adverts advertisement
+    advertising banner banners promo promos sponsor sponsored sponsors cookie cookies consent notice notices popup modal
+    overlay share sharing shares social comment comments commenter discussion reply replies related recommended
+    recommendations newsletter subscribe subscription login signup search breadcrumb breadcrumbs pagination pager widget
+    widgets copyright legal toolbar masthead complementary contentinfo""".split())
+_HEADER_WORDS = {"header", "head"}
+_CONTENT_WORDS = {"article", "content", "entry", "main", "post", "story", "body", "text"}
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _NEVER = {"script", "style", "template", "noscript", "iframe", "textarea", "title", "head", "select", "option",
           "button", "xmp"}
 _KINDS = ("article", "prose", "heading", "list", "frame", "other")
-_N_FEATURES = len(_KINDS) + 10
+_N_FEATURES = len(_KINDS) + 14
 
 
 class Node:
-    __slots__ = ("tag", "names", "parent", "text", "links", "children")
+    __slots__ = ("tag", "names", "parent", "text", "links", "children", "inside")
 
-    def __init__(self, tag: str, names: str, parent: int):
-        self.tag, self.names, self.parent = tag, names, parent
+    def __init__(self, tag: str, names: str, parent: int, inside: bool = False):
+        self.tag, self.names, self.parent, self.inside = tag, names, parent, inside     # inside: of an article
         self.text, self.links, self.children = 0, 0, 0
 
 
@@ -121,7 +130,7 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
             close(len(stack) - 1)
         parent = stack[-1][0]
         names = " ".join(a or b or c for a, b, c in _NAMES.findall(m[3])) if m[3] else ""
-        nodes.append(Node(tag, names, parent))
+        nodes.append(Node(tag, names, parent, nodes[parent].inside or nodes[parent].tag in ("article", "main")))
         nodes[parent].children += 1
         here = len(nodes) - 1
         if tag in _RAW:
@@ -131,20 +140,36 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
             stack.append((here, tag))
 
 
+def words_of(names: str) -> set[str]:
+    """Words of class, id and role, split at hyphens and capitals; neighbours
+    also as one word (``side-bar``)."""
+    words = [w.lower() for w in _WORD.findall(names)]
+    return {*words, *map("".join, zip(words, words[1:]))}
+
+
 def frames(n: Node) -> bool:
-    """Whether tag, class, id or role say that a node frames the page."""
-    return _KIND.get(n.tag) == "frame" or bool(n.names and _FRAME_WORDS.search(n.names))
+    """Whether tag, class, id or role say that a node frames the page.  A
+    header that names the article is part of it."""
+    words = words_of(n.names) if n.names else set()
+    if words & _FRAME_WORDS:
+        return True
+    if n.tag == "header" or words & _HEADER_WORDS:
+        return not (words & _CONTENT_WORDS or n.inside)
+    return _KIND.get(n.tag) == "frame"
 
 
 def features(nodes: list[Node]) -> np.ndarray:
     """A row per node."""
     out = np.zeros((len(nodes), _N_FEATURES))
     k = len(_KINDS)
+    prose = sum(n.text - n.links for n in nodes) or 1
+    framing: list[bool] = []        # by node, and whether it stands below such a node
+    below: list[bool] = []
     for row, n in zip(out, nodes):
         row[_KINDS.index(_KIND.get(n.tag, "other"))] = 1
         frame = frames(n)
         row[k] = 3.0 * frame
-        row[k + 1] = bool(n.names and not frame and _CONTENT_WORDS.search(n.names))
+        row[k + 1] = bool(n.names and not frame and words_of(n.names) & _CONTENT_WORDS)
         row[k + 2] = min(math.log1p(n.text), 6) / 3
         row[k + 3] = n.links / n.text if n.text else 0
         row[k + 4] = n.text == 0
@@ -153,6 +178,12 @@ def features(nodes: list[Node]) -> np.ndarray:
         row[k + 7] = n.tag in ("#page", "html", "body")
         row[k + 8] = n.tag in _NEVER
         row[k + 9] = 1
+        row[k + 10] = (n.text - n.links) / prose
+        row[k + 11] = 3.0 * (n.text > 0 and bool(row[k + 7]))
+        row[k + 12] = 3.0 * (n.tag == "#page" and len(nodes) == 1)
+        below.append(n.parent >= 0 and (below[n.parent] or framing[n.parent]))
+        framing.append(frame)
+        row[k + 13] = 3.0 * below[-1]
     return out
 
 
@@ -208,30 +239,106 @@ class Model:
 
 
 def own_labels(nodes: list[Node]) -> list[int] | None:
-    """Labels of a page that marks its article, or None."""
+    """Labels of a page that marks its article: what stands in it, but for
+    elements that never hold text of it.  None for any other page."""
     marked = [i for i, n in enumerate(nodes) if n.tag in ("article", "main")]
     if len(marked) != 1:
         return None
     labels = [0] * len(nodes)
     for i in range(marked[0], len(nodes)):
         n = nodes[i]
-        labels[i] = int(i == marked[0] or (bool(labels[n.parent]) and not frames(n) and n.tag not in _NEVER))
+        labels[i] = int(i == marked[0] or (bool(labels[n.parent]) and n.tag not in _APART))
     return labels
 
 
+#: Elements inside an article that are no part of it whatever they say.
+_APART = _NEVER | {"nav", "aside", "footer", "form", "menu", "dialog", "fieldset", "label"}
+#: Names for made pages: of parts of an article, and of what frames it.
+_PLAIN_NAMES = ("", "lead", "research-findings", "shareholders", "section", "box2", "col-md-8", "story-header", "intro",
+                "abstract", "wrapper", "text", "adaptive", "navigate-far", "headline")
+_FRAME_NAMES = ("comments", "comment-list", "share-bar", "socialLinks", "ad", "ad-slot", "related", "sidebar", "main-nav",
+                "newsletter-signup", "cookie-notice", "search-box", "breadcrumbs", "promo", "page-footer", "userComments")
+
+
+def made_pages(blocks: list[str], others: list[str], r: random.Random) -> list[tuple[str, bool]]:
+    """Pages made of an article's blocks with known labels, beyond what pages
+    happen to hold: (page, whether its root holds the article).  Elements of
+    the article have the class ``y1``; text of ``others`` frames it."""
+    def own(tag: str, inner: str, name: str = "") -> str:
+        return f'<{tag} class="y1 {name}">{inner}</{tag}>'
+
+    def frame() -> str:
+        name, text = r.choice(_FRAME_NAMES), r.choice(others)
+        links = "".join(f'<li><a href="/">{w}</a></li>' for w in text.split()[:6])
+        return r.choice([
+            f'<div class="{name}"><p>{text}</p></div>', f'<div id="{name}">{text}</div>', f"<aside>{text}</aside>",
+            f'<section class="{name}"><div><p>{text}</p></div><div><p>{r.choice(others)}</p></div></section>',
+            f'<div class="{name}"><ul>{links}</ul></div>', f'<form>{text}<button>ok</button></form>'])
+
+    def block(text: str) -> str:
+        half = len(text) // 2
+        return r.choice([
+            own("p", text), own("ul", own("li", text[:half]) + own("li", text[half:])), own("ol", own("li", text)),
+            own("table", own("tr", own("td", text[:half]) + own("td", text[half:]))), own("blockquote", text),
+            own("figure", own("figcaption", text)), own("dl", own("dt", text[:30]) + own("dd", text)),
+            own("div", text, r.choice(_PLAIN_NAMES)), own("section", own("p", text), r.choice(_PLAIN_NAMES)),
+            own("header", own("h2", text[:60])), own("pre", text)])
+
+    def page(body: str) -> str:
+        menu = "".join(f'<li><a href="/">{w}</a></li>' for w in r.choice(others).split()[:8])
+        return (f"<html><head><title>{blocks[0][:40]}</title></head><body><nav><ul>{menu}</ul></nav>{frame()}{body}{frame()}"
+                f"<footer>{r.choice(others)}</footer></body></html>")
+
+    mixed = "".join(block(b) + (frame() if r.random() < 0.3 else "") for b in blocks)
+    holder = r.choice(("article", "main", "div"))
+    return [
+        (page(own(holder, mixed, r.choice(("content", "post-body", "")))), False),
+        (page(own("article", "".join(block(b) for b in blocks))), False),
+        (page(own("div", "<br>".join(blocks), r.choice(_PLAIN_NAMES))), False),
+        ("\n".join(blocks), True), (f"<div class=y1>{' '.join(blocks)}</div>", False),
+        (f"<html><body class=y1>{'<br>'.join(blocks)}</body></html>", False)]
+
+
+def made_labels(nodes: list[Node], root: bool) -> list[int]:
+    return [int(root), *(int("y1" in n.names.split()) for n in nodes[1:])]
+
+
+def article_blocks(nodes: list[Node], pieces: list[tuple[int, str]], labels: list[int]) -> list[str]:
+    texts: dict[int, list[str]] = {}
+    for i, x in pieces:
+        if labels[i]:
+            texts.setdefault(i, []).append(x)
+    out = [html.escape(" ".join("".join(x).split())) for x in texts.values()]
+    return [x for x in out if x][:MADE_BLOCKS]
+
+
 def train(pages: list[str]) -> Model:
     """Parent-child table by counts (one added to each), node weights by
-    logistic regression with the label shares taken out again."""
-    rows, ys, counts = [], [], np.ones((2, 2, 2))
+    logistic regression with the label shares taken out again, from pages that
+    mark their article and from pages made of their texts."""
+    rows, ys, firsts, counts, articles = [], [], [], np.ones((2, 2, 2)), []
+
+    def learn(nodes: list[Node], labels: list[int]) -> None:
+        rows.append(features(nodes))
+        ys.extend(labels)
+        firsts.append(labels[:1])
+        for i in range(1, len(nodes)):
+            counts[int(frames(nodes[nodes[i].parent])), labels[nodes[i].parent], labels[i]] += 1
+
     for page in pages:
-        nodes, _ = parse(page)
+        nodes, pieces = parse(page)
         labels = own_labels(nodes)
         if labels is None:
             continue
-        rows.append(features(nodes))
-        ys += labels
-        for i in range(1, len(nodes)):
-            counts[int(frames(nodes[nodes[i].parent])), labels[nodes[i].parent], labels[i]] += 1
+        learn(nodes, labels)
+        if blocks := article_blocks(nodes, pieces, labels):
+            articles.append(blocks)
+    r = random.Random(11)
+    short = [" ".join(b.split()[:30]) for blocks in articles for b in blocks] or ["more"]
+    for blocks in articles:
+        for page, root in made_pages(blocks, short, r):
+            nodes, _ = parse(page)
+            learn(nodes, made_labels(nodes, root))
     if not rows or len(set(ys)) < 2:
         return Model(_DEFAULT, 0.02, (((0.9, 0.1), (0.1, 0.9)), ((0.998, 0.002), (0.5, 0.5))))
     x, y = np.concatenate(rows), np.asarray(ys, float)
@@ -244,11 +351,12 @@ def train(pages: list[str]) -> Model:
         w = w - RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
     tables = np.clip(counts / counts.sum(axis=2, keepdims=True), 0.002, 0.998)
     tables[0] = np.clip(tables[0], 0.02, 0.98)
-    return Model(w, 0.02, tuple(tuple(map(tuple, t)) for t in (tables / tables.sum(axis=2, keepdims=True)).tolist()))
+    roots = np.array([y[0] for y in firsts])
+    return Model(w, float(np.clip(roots.mean(), 0.02, 0.5)), tuple(tuple(map(tuple, t)) for t in (tables / tables.sum(axis=2, keepdims=True)).tolist()))
 
 
 #: Weights where no page of a table marks its article: by kind, then the other features.
-_DEFAULT = np.array([3, 1.5, 1, -0.5, -2, 0, -1, 1, 1, -2, 0, 0, -2, -3, -9, -0.5], float)
+_DEFAULT = np.array([3, 1.5, 1, -0.5, -2, 0, -1, 1, 1, -2, 0, 0, -2, -3, -9, -0.5, 2, 1, 1, -1], float)
 
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> Model:
@@ -257,8 +365,8 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> Mo
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(html_col).alias("html"))
     marked = rows.where(F.col("page_id").isNotNull() & F.col("html").rlike("(?i)<(article|main)[\\s>]"))
     chosen = hash_sample(marked.select("page_id").distinct(), "page_id", SAMPLE, 19)
-    got = marked.join(F.broadcast(chosen), "page_id", "left_semi").collect()
-    return train([r.html for r in sorted(got, key=lambda r: (r.page_id, r.html))])
+    got = marked.join(F.broadcast(chosen), "page_id", "left_semi").groupBy("page_id").agg(F.min("html").alias("html"))
+    return train([r.html for r in sorted(got.collect(), key=lambda r: r.page_id)])
 
 
 def extract(pages: DataFrame, model: Model, id_col: str = "page_id", url_col: str = "url",

@@ -56,7 +56,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaystats.llm.common import written
+from delaystats.llm.common import forget, written
 
 BITMAP_BITS = 1 << 24          # candidate bit map: 2 MB, whatever the input
 STAR_PIECE = 2000              # members of one hub tested in one group
@@ -445,9 +445,12 @@ def _prepared(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col
     sets = keyed.where("elements is not null").select("node", "elements")
 
     rows = written(_with_hubs(_with_own_elements(shared, sets, num, den)), "rows")
+    forget(shared)
     left = _bitmap(rows.select("node").distinct())
     sets = written(sets.mapInArrow(_kept_sets(left), "node long, elements binary"), "alive")
-    return keyed, sets, rows
+    keys = written(keyed.drop("elements"), "keys")
+    forget(keyed)
+    return keys, sets, rows
 
 
 def ngram_links(docs: DataFrame, n: int = 4, similarity: tuple[int, int] = (85, 100),
@@ -496,6 +499,7 @@ def ngram_components(docs: DataFrame, n: int = 4, similarity: tuple[int, int] =
     labels = components(star.where("link"))
 
     rest = written(_open(rows, labels).drop("comp"), "open")
+    forget(rows)
     pairs = (rest.where("hub != node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
              .join(star, ["a", "b"], "left_anti"))
     star = written(star.unionAll(_verify(written(pairs, "pairs"), sets, num, den)), "tested")
@@ -525,7 +529,16 @@ def keep_one(docs: DataFrame, n: int = 5, similarity: tuple[int, int] = (80, 100
     share an id are one document where their texts are equal.
     """
     found = ngram_components(docs.select(id_col, text_col), n, similarity, id_col, text_col)
-    named = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows"))
-    rows = docs.join(named.withColumnRenamed("doc_id", "_id"), F.col(id_col) == F.col("_id")).drop("_id")
-    once, more = rows.where("_rows = 1"), rows.where("_rows > 1").dropDuplicates([id_col, text_col])
-    return once.unionAll(more).drop("_rows").unionAll(docs.where(F.col(id_col).isNull()))
+    own, count = _free_names(docs, 2)
+    named = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(own)).agg(F.count("*").alias(count))
+    rows = docs.join(named, F.col(id_col) == F.col(own)).drop(own)
+    once, more = rows.where(F.col(count) == 1), rows.where(F.col(count) > 1).dropDuplicates([id_col, text_col])
+    return once.unionAll(more).drop(count).unionAll(docs.where(F.col(id_col).isNull()))
+
+
+def _free_names(df: DataFrame, n: int) -> list[str]:
+    """Column names that ``df`` does not have, in any case."""
+    stem = "_keep"
+    while any(c.lower().startswith(stem) for c in df.columns):
+        stem += "_"
+    return [f"{stem}{i}" for i in range(n)]

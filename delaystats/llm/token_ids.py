@@ -29,6 +29,7 @@ from delaystats.llm.common import worker_cache, written
 
 BLOCK_IDS = 1 << 16         # ids after which a block is closed
 CACHED_CHUNKS = 600_000     # encoded text chunks a worker keeps
+CACHED_LENGTH = 200         # characters of a chunk that is kept, at most
 #: Selector -> (values per word, bits per value).
 SELECTORS = ((240, 0), (1, 32), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8),
              (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
@@ -42,12 +43,13 @@ def pack(values: np.ndarray) -> np.ndarray:
     n = len(v)
     if not n:
         return np.empty(0, np.uint64)
-    bits = np.frexp((v >> np.uint64(32)).astype(np.float64))[1] + 32
-    low = np.frexp((v & np.uint64(0xFFFFFFFF)).astype(np.float64))[1]
-    bits = np.where(v >> np.uint64(32), bits, low)
+    bits = np.frexp((v & np.uint64(0xFFFFFFFF)).astype(np.float64))[1].astype(np.uint8)
+    high = v >> np.uint64(32)
+    if high.any():
+        bits = np.where(high, np.frexp(high.astype(np.float64))[1] + 32, bits).astype(np.uint8)
     most = int(bits.max())
-    index = np.arange(n)
     choice = np.full(n, ESCAPE, np.int8)
+    wider = np.zeros(n + 1, np.int32)               # values before each place that need more bits
     for s in range(len(SELECTORS) - 1, -1, -1):     # few values per word first, the best one wins
         count, width = SELECTORS[s]
         if s == ESCAPE or count > n:
@@ -55,9 +57,8 @@ def pack(values: np.ndarray) -> np.ndarray:
         if width >= most:
             choice[:n - count + 1] = s
             continue
-        bad = np.where(bits > width, index, n)
-        until = np.minimum.accumulate(bad[::-1])[::-1]
-        choice[(until - index >= count)] = s
+        np.cumsum(bits > width, out=wider[1:])
+        choice[:n - count + 1][wider[count:] == wider[:n - count + 1]] = s
     counts = np.array([c for c, _ in SELECTORS])
     step = counts[choice].tolist()
     starts, i = [], 0
@@ -110,56 +111,50 @@ def unpack(words: np.ndarray) -> np.ndarray:
     return out
 
 
-def _encoder(tokenizer_json: str):
+def _encoder(tokenizer_json: str, special_as_text: bool = False):
     """text -> little-endian uint32 ids; the library encodes each chunk of
-    text (see ``_chunks``) once per worker while the cache has room.  Spark
-    runs a task per core, so the library's own threads stay off."""
+    text (see ``_chunks``) once per worker while the cache has room.  A text
+    that holds an added token goes to the library whole, since the library
+    cuts there first.  Spark runs a task per core, so the library's own threads
+    stay off."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     library = worker_cache("tokenizers")
-    if tokenizer_json not in library:
+    if (tokenizer_json, special_as_text) not in library:
         t = Tokenizer.from_str(tokenizer_json)
-        t.encode_special_tokens = True
-        library[tokenizer_json] = t, {}
-    t, cache = library[tokenizer_json]
+        t.encode_special_tokens = special_as_text
+        added = [x.content for x in t.get_added_tokens_decoder().values()]
+        library[tokenizer_json, special_as_text] = t, added, {}
+    t, added, cache = library[tokenizer_json, special_as_text]
 
     def encode(texts: list[str]) -> list[bytes]:
-        cut = [_chunks(x) for x in texts]
-        known = cache
+        cut = [[x] if any(a in x for a in added) else _chunks(x) for x in texts]
         missing = list(set().union(*cut).difference(cache)) if cut else []
         if missing:
             ids = [e.ids for e in t.encode_batch_fast(missing, add_special_tokens=False)]
             ends = np.cumsum([4 * len(x) for x in ids]).tolist()
             raw = np.fromiter(chain.from_iterable(ids), "<u4", ends[-1] // 4).tobytes()
             new = {c: raw[a:b] for c, a, b in zip(missing, [0, *ends], ends)}
-            if len(cache) + len(new) <= CACHED_CHUNKS:
-                cache.update(new)
-            else:
-                known = _Both(cache, new)
-        return [b"".join(map(known.__getitem__, x)) for x in cut]
+            cache.update(new)
+        got = [b"".join(map(cache.__getitem__, x)) for x in cut]
+        if missing:     # what there is no room for was known for this call only
+            full = len(cache) > CACHED_CHUNKS
+            for c in missing:
+                if full or len(c) > CACHED_LENGTH:
+                    del cache[c]
+        return got
     return encode
 
 
-class _Both(dict):
-    """Keys of one dict, and of another where the first has none."""
-
-    def __init__(self, first: dict, second: dict):
-        super().__init__(second)
-        self.first = first
-
-    def __missing__(self, key):
-        return self.first[key]
-
-
 _BLOCK = ("part int, block int, part_start long, n_ids long, doc_ids array<long>, counts array<int>, data binary")
 
 
-def _block_rows(tokenizer_json: str, end_id: int):
+def _block_rows(tokenizer_json: str, end_id: int, special_as_text: bool):
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = _encoder(tokenizer_json)
+        encode = _encoder(tokenizer_json, special_as_text)
         end = np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         ids, raw, total, block, start = [], [], 0, 0, 0
@@ -190,9 +185,12 @@ def _block_rows(tokenizer_json: str, end_id: int):
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 0,
-              id_col: str = "doc_id", text_col: str = "text") -> str:
+              id_col: str = "doc_id", text_col: str = "text", special_as_text: bool = False) -> str:
     """Write the ids of every row, ``end_id`` after each, in ascending id order.
 
+    The strings of added tokens get those tokens' ids, as in the library, or
+    with ``special_as_text`` the ids of their characters.
+
     Null text is empty (the end id alone); null ids come first; rows with the
     same id are ordered by a hash of their text, and an id with very many rows
     is spread over parts by it.  Other columns are left out.  An empty table
@@ -203,7 +201,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 0,
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     order = ["doc_id", F.xxhash64("text")]
     (rows.repartitionByRange(*order).sortWithinPartitions(*order)
-     .mapInArrow(_block_rows(tokenizer_json, end_id), _BLOCK).write.parquet(path))
+     .mapInArrow(_block_rows(tokenizer_json, end_id, special_as_text), _BLOCK).write.parquet(path))
     return path
 
 

@@ -38,7 +38,7 @@ from delaystats.llm.common import worker_cache
 
 NEVER = np.int64(1) << 40       # rank of a pair that does not merge
 LONG = 256                      # bytes of a word that goes to the heap at once
-CACHED_CHUNKS = 300_000         # encoded pieces of text a worker keeps
+CACHED_CHUNKS = 600_000         # encoded pieces of text a worker keeps
 BATCH_TEXTS = 1000
 CELLS = 500_000                 # token cells of a block of words that are merged together
 #: Fixed value: the split of byte-level BPE into words.
@@ -339,6 +339,8 @@ class Encoder:
         return out
 
     def chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        if not chunks:
+            return {}
         split = self.words_of(chunks)
         words = list(set(chain.from_iterable(split)))
         got = dict(zip(words, self.words(words)))
@@ -346,30 +348,19 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        parts = [self.cut.split(x) if self.added else [x] for x in texts]       # odd ones are added tokens
+        # added tokens come out as every second part
+        parts = [self.cut.split(x) if any(a in x for a in self.added) else [x] for x in texts]
         cut = [[_chunks(p) if i % 2 == 0 else p for i, p in enumerate(x)] for x in parts]
         known = self.known
         missing = set().union(*(c for x in cut for c in x[::2])).difference(known)
-        look = known
-        if missing:
-            fresh = self.chunks(list(missing))
-            if len(known) + len(fresh) <= CACHED_CHUNKS:
-                known.update(fresh)
-            else:       # no room: these are for this batch only
-                look = _Both(fresh, known)
-        get = look.__getitem__
-        return [b"".join([self.added[c] if i % 2 else b"".join(map(get, c)) for i, c in enumerate(x)]) for x in cut]
-
-
-class _Both(dict):
-    """Keys of one dict, and of another where the first has none."""
-
-    def __init__(self, first: dict, second: dict):
-        super().__init__(first)
-        self.second = second
-
-    def __missing__(self, key):
-        return self.second[key]
+        known.update(self.chunks(list(missing)))
+        get = known.__getitem__
+        got = [b"".join([self.added[c] if i % 2 else b"".join(map(get, c)) for i, c in enumerate(x)]) for x in cut]
+        full = len(known) > CACHED_CHUNKS
+        for c in missing:       # what there is no room for was known for this call only
+            if full or len(c) > LONG:
+                del known[c]
+        return got
 
 
 def _encoder(tables: Tables) -> Encoder:

@@ -196,14 +196,16 @@ def test_simple8b_round_trip(top):
         assert (token_ids.unpack(token_ids.pack(v)) == v).all()
 
 
-def test_token_id_file(spark, tmp_path):
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_token_id_file(spark, tmp_path, special_as_text):
     from tokenizers import Tokenizer
 
     path = tokenizer_files.path("byte_bpe_50k.json")
-    rows = [(5, "hello world"), (2, None), (3, "a  b\n c <|endoftext|>"), (9, ""), (5, "hello world")]
-    out = token_ids.write_ids(docs(spark, rows), str(tmp_path / "ids"), path)
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    rows = [(5, "hello world"), (2, None), (3, "a  b\n c  <|endoftext|> d"), (9, ""), (5, "hello world")]
+    out = token_ids.write_ids(docs(spark, rows), str(tmp_path / "ids"), path, special_as_text=special_as_text)
+    t = Tokenizer.from_file(path)       # untouched, as the library encodes by itself
+    if special_as_text:
+        t.encode_special_tokens = True
     start = 0
     got = token_ids.read_ids(spark, out).orderBy("start").collect()
     assert [x.doc_id for x in got] == [2, 3, 5, 5, 9]
