@@ -1,13 +1,11 @@
 from delaystats.functions.columns import (
-    all_not_null,
     hhmm_arith,
     hhmm_minutes,
     hhmm_valid,
     parse_date,
-    try_float,
     try_int,
     valid_date,
     zero_sum,
 )
 
-__all__ = ["all_not_null", "hhmm_arith", "hhmm_minutes", "hhmm_valid", "parse_date", "try_float", "try_int", "valid_date", "zero_sum"]
+__all__ = ["hhmm_arith", "hhmm_minutes", "hhmm_valid", "parse_date", "try_int", "valid_date", "zero_sum"]

@@ -29,10 +29,6 @@ def try_int(c: ColumnLike) -> Column:
     return F.when(s.rlike("[A-Za-z]") | (s == ""), F.lit(None).cast("int")).otherwise(s.try_cast("int"))
 
 
-def try_float(c: ColumnLike) -> Column:
-    return _col(c).try_cast("float")
-
-
 # Valid HHMM text of 1-4 digits, read left-padded to four: hour 00-23,
 # minute 00-59.  One anchored regex, so validity costs a single match.
 HHMM_PATTERN = r"^(?:[0-9]|[0-5][0-9]|[0-9][0-5][0-9]|(?:[01][0-9]|2[0-3])[0-5][0-9])$"
@@ -84,10 +80,3 @@ def parse_date(year: ColumnLike, month: ColumnLike, day: ColumnLike) -> Column:
 def zero_sum(c: ColumnLike) -> Column:
     """SUM as DOUBLE, 0.0 (not NULL) over no rows."""
     return F.coalesce(F.sum(_col(c)).cast("double"), F.lit(0.0))
-
-
-def all_not_null(cols: list[Column]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & c.isNotNull()
-    return cond
