@@ -36,7 +36,8 @@ from delaystats.llm.common import hash_sample
 
 CACHE_WORDS = 200_000       # words folded beforehand, at most
 CACHE_TEXTS = 10_000        # texts whose words are counted for them
-BLOCK_CHARS = 8_000_000     # characters of text per block (a longer text is a block)
+BLOCK_CHARS = 6_000_000     # characters of text per block (a longer text is a block)
+BATCH_TEXTS = 500           # texts taken from a batch at a time
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -99,25 +100,26 @@ class ByteBpe:
         self.known = pa.table({"word": pa.array([], pa.string()), "ids": pa.array([], pa.list_(pa.int32()))})
 
     def with_map(self, df: DataFrame) -> DataFrame:
-        """``df`` with the rank map in ``_map``: one literal for all its uses
-        (a scalar that Spark puts into the plan once, and not into its text)."""
+        """``df`` with the rank map in ``_first`` and ``_cells``: literals that
+        Spark puts in when the plan runs (scalars of a local table), once for
+        all their uses and not into the plan's text."""
         one = df.sparkSession.createDataFrame([(self.first.tolist(), self.cells.tolist())],
                                               "first array<bigint>, cells array<bigint>")
-        return df.withColumn("_map", one.select(F.struct("first", "cells")).scalar())
+        return df.withColumns({"_first": one.select("first").scalar(), "_cells": one.select("cells").scalar()})
 
-    def rank(self, ranks: Column, a: Column, b: Column) -> Column:
+    def rank(self, a: Column, b: Column) -> Column:
         """Rank of a pair of tokens, ``base`` or more if it does not merge."""
-        return ranks["cells"][ranks["first"][a] + b].bitwiseXOR(F.shiftleft(a, self.base.bit_length() - 1))
+        return F.col("_cells")[F.col("_first")[a] + b].bitwiseXOR(F.shiftleft(a, self.base.bit_length() - 1))
 
-    def fold(self, ranks: Column, word: Column) -> Column:
+    def fold(self, word: Column) -> Column:
         """Token ids of one word (an array of the tokens of its bytes between
-        two ends): the ranked merges of the rank map folded over it."""
+        two ends) of a frame ``with_map``: the ranked merges folded over it."""
         base = F.lit(self.base).cast("bigint")
 
         def merged(s: Column, at: Column) -> Column:
             token = s[at - 1] + base
             return F.concat(F.slice(s, F.lit(1), at - 3),
-                            F.array(self.rank(ranks, s[at - 4], token), token, self.rank(ranks, token, s[at + 2])),
+                            F.array(self.rank(s[at - 4], token), token, self.rank(token, s[at + 2])),
                             F.slice(s, at + 3, F.size(s)))
 
         def step(s: Column, _) -> Column:
@@ -125,7 +127,7 @@ class ByteBpe:
             place = F.array(F.array_position(s, least).cast("int"))
             return F.call_function("if", least < base, F.aggregate(place, s, merged), s)
 
-        pairs = F.zip_with(word, F.slice(word, F.lit(2), F.size(word)), lambda a, b: F.array(a, self.rank(ranks, a, b)))
+        pairs = F.zip_with(word, F.slice(word, F.lit(2), F.size(word)), lambda a, b: F.array(a, self.rank(a, b)))
         return F.aggregate(F.slice(word, F.lit(4), F.size(word) - 3), F.flatten(pairs), step, lambda s: F.transform(
             F.sequence(F.lit(3), F.size(s) - 3, F.lit(2)), lambda i: (s[i - 1] - base).cast("int")))
 
@@ -137,7 +139,7 @@ class ByteBpe:
                  .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(CACHE_WORDS))
         known = (words.repartition(docs.sparkSession.sparkContext.defaultParallelism)
                  .mapInArrow(_word_bytes(self.byte_tokens, self.end), "word string, bytes array<long>"))
-        self.known = self.with_map(known).select("word", self.fold(F.col("_map"), F.col("bytes")).alias("ids")).toArrow()
+        self.known = self.with_map(known).select("word", self.fold(F.col("bytes")).alias("ids")).toArrow()
         return self
 
     def encode(self, docs: DataFrame) -> DataFrame:
@@ -146,8 +148,8 @@ class ByteBpe:
         known = self.known.column("word").to_pylist(), ids.flatten().to_numpy(), ids.value_lengths().to_numpy()
         blocks = docs.mapInArrow(_blocks(self.pattern, known[0], self.byte_tokens, self.end),
                                  "doc_ids array<long>, words array<array<long>>, counts array<int>, numbers binary")
-        tokens = F.transform("words", lambda word: self.fold(F.col("_map"), word))
-        return (self.with_map(blocks).select("doc_ids", "counts", "numbers", tokens.alias("tokens"))
+        return (self.with_map(blocks)
+                .select("doc_ids", "counts", "numbers", F.transform("words", self.fold).alias("tokens"))
                 .mapInArrow(_documents(*known[1:]), "doc_id long, ids array<int>"))
 
     def decode(self, ids: Column) -> Column:
@@ -226,17 +228,17 @@ def _blocks(pattern: str, known: list[str], byte_tokens: np.ndarray, end: int):
         ids: list = []
         numbers: list[bytes] = []
         size = 0
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                cut = _chunks(text or "")
-                for c in set(cut).difference(chunks):
-                    chunks[c] = np.array([words.setdefault(w, len(words)) for w in split(c)], "<i4").tobytes()
-                ids.append(doc_id)
-                numbers.append(b"".join(map(chunks.__getitem__, cut)))
-                size += len(text or "")
-                if size >= BLOCK_CHARS:
-                    yield flush()
-                    ids, words, chunks, numbers, size = [], dict(first), {}, [], 0
+        for doc_id, text in (x for b in batches for at in range(0, b.num_rows, BATCH_TEXTS)
+                             for x in zip(*(c.to_pylist() for c in b.slice(at, BATCH_TEXTS).columns))):
+            cut = _chunks(text or "")
+            for c in set(cut).difference(chunks):
+                chunks[c] = np.array([words.setdefault(w, len(words)) for w in split(c)], "<i4").tobytes()
+            ids.append(doc_id)
+            numbers.append(b"".join(map(chunks.__getitem__, cut)))
+            size += len(text or "")
+            if size >= BLOCK_CHARS:
+                yield flush()
+                ids, words, chunks, numbers, size = [], dict(first), {}, [], 0
         if ids:
             yield flush()
     return fn
