@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,14 @@ def written(df: DataFrame, what: str, partition_by: Sequence[str] = ()) -> DataF
     return out
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what earlier steps left in the driver: models and collected
+    samples in Python, plans and shuffle handles in the JVM."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    spark.sparkContext._jvm.System.gc()
+
+
 def forget(*frames: DataFrame) -> None:
     """Delete tables made by ``written`` that nothing reads any more."""
     for df in frames:
@@ -41,6 +51,14 @@ def forget(*frames: DataFrame) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def free_names(df: DataFrame, n: int) -> list[str]:
+    """Column names that ``df`` does not have, in any case."""
+    stem = "_own"
+    while any(c.lower().startswith(stem) for c in df.columns):
+        stem += "_"
+    return [f"{stem}{i}" for i in range(n)]
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the third of the documents that no model may learn from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -53,6 +71,28 @@ def hash_sample(df: DataFrame, id_col: str, rows: int, seed: int) -> DataFrame:
             .orderBy("_h", id_col).limit(rows).drop("_h"))
 
 
+def threshold_sample(df: DataFrame, id_col: str, rows: int, seed: int, where: Column | None = None) -> DataFrame:
+    """At most ``rows`` distinct ids of ``df`` that fulfil ``where``: the ones
+    with the smallest salted hash.
+
+    Ids are first cut by a threshold on the hash that some 2 x ``rows`` of them
+    pass, so that ``where`` (a scan of texts, say) sees few rows and no task
+    gets more than a small multiple of the sample.  Where too few fulfil it, the
+    threshold is raised and the scan repeated.  A null id is never taken.
+    """
+    ids = df.where(F.col(id_col).isNotNull())
+    digest = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(1 << 30))
+    share = min(1.0, 2 * rows / max(ids.select(id_col).count(), 1))
+    while True:
+        part = ids.where(digest <= int(share * (1 << 30)))
+        part = part.where(where) if where is not None else part
+        got = written(part.select(id_col).distinct(), "sample")
+        if share >= 1 or got.count() >= rows:
+            return (got.withColumn("_h", F.xxhash64(F.lit(seed), F.col(id_col)))
+                    .orderBy(digest, "_h", id_col).limit(rows).drop("_h"))
+        share = min(1.0, 8 * share)
+
+
 def worker_cache(name: str) -> dict:
     """A dict that lives as long as the Python worker process, so that tasks
     run by the same worker share it."""

@@ -56,7 +56,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaystats.llm.common import forget, written
+from delaystats.llm.common import forget, free_names, written
 
 BITMAP_BITS = 1 << 24          # candidate bit map: 2 MB, whatever the input
 STAR_PIECE = 2000              # members of one hub tested in one group
@@ -529,16 +529,8 @@ def keep_one(docs: DataFrame, n: int = 5, similarity: tuple[int, int] = (80, 100
     share an id are one document where their texts are equal.
     """
     found = ngram_components(docs.select(id_col, text_col), n, similarity, id_col, text_col)
-    own, count = _free_names(docs, 2)
+    own, count = free_names(docs, 2)
     named = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(own)).agg(F.count("*").alias(count))
     rows = docs.join(named, F.col(id_col) == F.col(own)).drop(own)
     once, more = rows.where(F.col(count) == 1), rows.where(F.col(count) > 1).dropDuplicates([id_col, text_col])
     return once.unionAll(more).drop(count).unionAll(docs.where(F.col(id_col).isNull()))
-
-
-def _free_names(df: DataFrame, n: int) -> list[str]:
-    """Column names that ``df`` does not have, in any case."""
-    stem = "_keep"
-    while any(c.lower().startswith(stem) for c in df.columns):
-        stem += "_"
-    return [f"{stem}{i}" for i in range(n)]
