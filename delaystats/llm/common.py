@@ -51,10 +51,10 @@ def forget(*frames: DataFrame) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def free_names(df: DataFrame, n: int) -> list[str]:
-    """Column names that ``df`` does not have, in any case."""
+def free_names(df: DataFrame, n: int, taken: Sequence[str] = ()) -> list[str]:
+    """Column names that neither ``df`` nor ``taken`` has, in any case."""
     stem = "_own"
-    while any(c.lower().startswith(stem) for c in df.columns):
+    while any(c.lower().startswith(stem) for c in [*df.columns, *taken]):
         stem += "_"
     return [f"{stem}{i}" for i in range(n)]
 
