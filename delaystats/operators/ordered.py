@@ -70,8 +70,8 @@ def in_chunks(df: DataFrame, within: Sequence[str], order: Sequence[str], chunks
     if points is None:
         return None
     steps = [1 << b for b in reversed(range(len(points[0]["points"]).bit_length()))]
-    literal = df.sparkSession.createDataFrame(
-        points, df.select(F.array(F.struct(*key)).alias("points")).schema)
+    literal = df.sparkSession.createDataFrame(points, df.select(F.array(F.struct(*key)).alias("points")).schema)
+    literal = literal.select(F.sort_array("points"))    # whatever the way through the driver does to a value
     at = F.col("_points")
 
     def search(own):
