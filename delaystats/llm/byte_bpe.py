@@ -107,19 +107,25 @@ class ByteBpe:
                                               "first array<bigint>, cells array<bigint>")
         return df.withColumns({"_first": one.select("first").scalar(), "_cells": one.select("cells").scalar()})
 
-    def rank(self, a: Column, b: Column) -> Column:
+    def folded(self, work) -> Column:
+        """``work(map)`` on a frame ``with_map``.  Each column of the map is
+        named once, so that Spark puts the scalar in its place; named more
+        often, it would be copied into every row."""
+        return F.transform(F.array(F.struct("_first", "_cells")), work)[0]
+
+    def rank(self, ranks: Column, a: Column, b: Column) -> Column:
         """Rank of a pair of tokens, ``base`` or more if it does not merge."""
-        return F.col("_cells")[F.col("_first")[a] + b].bitwiseXOR(F.shiftleft(a, self.base.bit_length() - 1))
+        return ranks["_cells"][ranks["_first"][a] + b].bitwiseXOR(F.shiftleft(a, self.base.bit_length() - 1))
 
-    def fold(self, word: Column) -> Column:
+    def fold(self, ranks: Column, word: Column) -> Column:
         """Token ids of one word (an array of the tokens of its bytes between
-        two ends) of a frame ``with_map``: the ranked merges folded over it."""
+        two ends): the ranked merges of the map folded over it."""
         base = F.lit(self.base).cast("bigint")
 
         def merged(s: Column, at: Column) -> Column:
             token = s[at - 1] + base
             return F.concat(F.slice(s, F.lit(1), at - 3),
-                            F.array(self.rank(s[at - 4], token), token, self.rank(token, s[at + 2])),
+                            F.array(self.rank(ranks, s[at - 4], token), token, self.rank(ranks, token, s[at + 2])),
                             F.slice(s, at + 3, F.size(s)))
 
         def step(s: Column, _) -> Column:
@@ -127,7 +133,7 @@ class ByteBpe:
             place = F.array(F.array_position(s, least).cast("int"))
             return F.call_function("if", least < base, F.aggregate(place, s, merged), s)
 
-        pairs = F.zip_with(word, F.slice(word, F.lit(2), F.size(word)), lambda a, b: F.array(a, self.rank(a, b)))
+        pairs = F.zip_with(word, F.slice(word, F.lit(2), F.size(word)), lambda a, b: F.array(a, self.rank(ranks, a, b)))
         return F.aggregate(F.slice(word, F.lit(4), F.size(word) - 3), F.flatten(pairs), step, lambda s: F.transform(
             F.sequence(F.lit(3), F.size(s) - 3, F.lit(2)), lambda i: (s[i - 1] - base).cast("int")))
 
@@ -139,7 +145,8 @@ class ByteBpe:
                  .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(CACHE_WORDS))
         known = (words.repartition(docs.sparkSession.sparkContext.defaultParallelism)
                  .mapInArrow(_word_bytes(self.byte_tokens, self.end), "word string, bytes array<long>"))
-        self.known = self.with_map(known).select("word", self.fold(F.col("bytes")).alias("ids")).toArrow()
+        ids = self.folded(lambda ranks: self.fold(ranks, F.col("bytes")))
+        self.known = self.with_map(known).select("word", ids.alias("ids")).toArrow()
         return self
 
     def encode(self, docs: DataFrame) -> DataFrame:
@@ -148,8 +155,8 @@ class ByteBpe:
         known = self.known.column("word").to_pylist(), ids.flatten().to_numpy(), ids.value_lengths().to_numpy()
         blocks = docs.mapInArrow(_blocks(self.pattern, known[0], self.byte_tokens, self.end),
                                  "doc_ids array<long>, words array<array<long>>, counts array<int>, numbers binary")
-        return (self.with_map(blocks)
-                .select("doc_ids", "counts", "numbers", F.transform("words", self.fold).alias("tokens"))
+        tokens = self.folded(lambda ranks: F.transform("words", lambda word: self.fold(ranks, word)))
+        return (self.with_map(blocks).select("doc_ids", "counts", "numbers", tokens.alias("tokens"))
                 .mapInArrow(_documents(*known[1:]), "doc_id long, ids array<int>"))
 
     def decode(self, ids: Column) -> Column:
