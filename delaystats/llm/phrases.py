@@ -320,12 +320,12 @@ g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i:
 f AS (SELECT lang, k, p, CAST(count(*) AS HUGEINT) AS f FROM g GROUP BY lang, k, p),
 n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
 c AS (SELECT * FROM f WHERE k > 1 AND f >= {least}),
-cuts AS (SELECT c.lang, c.k, c.p, c.f AS a, l.k AS cut, l.f AS l, r.f AS r, 1000000 * c.f * c.f // (l.f * r.f) AS score
-         FROM c JOIN f l ON l.lang = c.lang AND l.k < c.k AND l.p = c.p[1:l.k]
-                JOIN f r ON r.lang = c.lang AND r.k = c.k - l.k AND r.p = c.p[l.k + 1:]),
+cut AS (SELECT lang, p, f AS a, cut, p[1:cut] AS lp, p[cut + 1:] AS rp FROM c, (VALUES (1), (2)) s(cut) WHERE cut < k),
+cuts AS (SELECT x.lang, x.p, a, cut, l.f AS l, r.f AS r, 1000000 * a * a // (l.f * r.f) AS score
+         FROM cut x JOIN f l ON l.lang = x.lang AND l.p = x.lp JOIN f r ON r.lang = x.lang AND r.p = x.rp),
 best AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) AS o FROM cuts),
-inside AS (SELECT s.lang, s.p FROM c s JOIN c t ON t.lang = s.lang AND s.k = 2 AND t.k = 3
-           AND (s.p = t.p[1:2] OR s.p = t.p[2:3]) WHERE 100 * t.f >= 50 * s.f),
+part AS (SELECT lang, p[1:2] AS p, f FROM c WHERE k = 3 UNION ALL SELECT lang, p[2:3], f FROM c WHERE k = 3),
+inside AS (SELECT DISTINCT s.lang, s.p FROM c s JOIN part t ON t.lang = s.lang AND t.p = s.p WHERE 100 * t.f >= 50 * s.f),
 ranked AS (SELECT *, array_to_string(p, ' ') AS phrase, row_number() OVER (
              PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank
            FROM best b WHERE o = 1 AND NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = b.lang AND i.p = b.p))
