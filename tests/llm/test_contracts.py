@@ -218,3 +218,21 @@ def test_op8_contract(spark, tmp_path):
         assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (
             start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
+
+
+def test_the_forest_learns_from_every_text(spark):
+    table = secret_table(spark, n=5000)
+    found = secret_scan.labelled_findings(table)
+    assert found.where("value like '491000%' and label = 0").count() == 5000    # a sample held 4000 texts at most
+    late = table.where("doc_id < 40").withColumn("text", F.concat("text", F.lit(" zebra")))
+    rare = secret_scan.fit(found.limit(10), table.unionAll(late))
+    assert "zebra" in rare.dictionary
+
+
+def test_one_search_cuts_texts_as_two_do(spark):
+    texts = ["", "a token = \"abc1\" b", "token=x password: y1  1234567890abcdef99", "1234567890abcdef99", None]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    values, gaps = secret_scan._with_context(F.col("text"))
+    text = F.coalesce("text", F.lit(""))
+    want = table.select(F.regexp_extract_all(text, F.lit(secret_scan.CANDIDATE), F.lit(0)), F.split(text, secret_scan.CANDIDATE, -1))
+    assert [tuple(r) for r in table.select(values, gaps).collect()] == [tuple(r) for r in want.collect()]
