@@ -42,8 +42,9 @@ SEGMENT_BROADCAST_ROWS = 200_000
 
 
 def split_points(df: DataFrame, scope: Sequence[str], key: Sequence[str],
-                 chunks: int | None = None) -> list | None:
-    """The sorted keys that start a new chunk, or None where every scope fits
+                 chunks: int | None = None) -> DataFrame | None:
+    """The sorted keys that start a new chunk (one row, ``points``, written
+    once so that no value changes on its way), or None where every scope fits
     one task: no scope then holds more than LEAST_ROWS rows or two tasks' fair
     share of them.  Two jobs over the key columns: rows per scope, and a
     sample of some SAMPLE x chunks rows (at most SAMPLE x rows / LEAST_ROWS)."""
@@ -59,7 +60,7 @@ def split_points(df: DataFrame, scope: Sequence[str], key: Sequence[str],
              .agg(F.sort_array(F.collect_list("k")).alias("all")))
     step = F.size("all") / F.lit(float(chunks))
     picked = F.transform(F.sequence(F.lit(1), F.lit(chunks - 1)), lambda i: F.get("all", F.floor(i * step).cast("int")))
-    return drawn.select(F.array_distinct(F.filter(picked, lambda p: p.isNotNull())).alias("points")).collect()
+    return _materialize(drawn.select(F.array_distinct(F.filter(picked, lambda p: p.isNotNull())).alias("points")), "points")
 
 
 def in_chunks(df: DataFrame, within: Sequence[str], order: Sequence[str], chunks: int | None = None) -> DataFrame | None:
@@ -69,9 +70,7 @@ def in_chunks(df: DataFrame, within: Sequence[str], order: Sequence[str], chunks
     points = split_points(df, within, key, chunks)
     if points is None:
         return None
-    steps = [1 << b for b in reversed(range(len(points[0]["points"]).bit_length()))]
-    literal = df.sparkSession.createDataFrame(points, df.select(F.array(F.struct(*key)).alias("points")).schema)
-    literal = literal.select(F.sort_array("points"))    # whatever the way through the driver does to a value
+    steps = [1 << b for b in reversed(range(points.select(F.size("points")).first()[0].bit_length()))]
     at = F.col("_points")
 
     def search(own):
@@ -79,7 +78,7 @@ def in_chunks(df: DataFrame, within: Sequence[str], order: Sequence[str], chunks
             "if", (step > 0) & (F.get(at, low + step - 1) <= own), low + step, low))
 
     chunk = F.transform(F.array(F.struct(*key)), search)[0]     # the key is put together once a row
-    return df.withColumn("_points", literal.scalar()).withColumn(CHUNK, chunk).drop("_points")
+    return df.withColumn("_points", points.scalar()).withColumn(CHUNK, chunk).drop("_points")
 
 
 def _materialize(df: DataFrame, what: str) -> DataFrame:
