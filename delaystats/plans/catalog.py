@@ -350,7 +350,7 @@ def keyed_layout_carrier_ymd(spark, sf):
     raw, table = flights_raw(spark, sf), LAYOUTS["by_carrier_ymd"]
     key = ("uniquecarrier", "year", "month", "day")
     path, index = scratch_path(spark, "keyed", "by_carrier_ymd"), scratch_path(spark, "keyed", "by_carrier_ymd-index")
-    skipping.write_cut(upsert.upsert(raw, table.primary_key, SEQ), path, table, files=40)
+    skipping.write_cut(raw, path, table, files=40, seq=SEQ)
     skipping.build_index(spark, path, table.partition, key, index, raw.schema)
     return _upsert_cols(skipping.lookup(spark, path, index, table.partition, key, LOOKUP_DAYS, raw.schema))
 

@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -67,6 +70,47 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root.rstrip("/"), "delaystats", *parts, uuid.uuid4().hex])
 
 
+#: What a job that writes wide rows runs with: generated methods that the JIT
+#: compiles (see ``build_session``), and splits whose rows, some twenty times as
+#: big unpacked as in a Parquet file, a task can sort in memory.
+METHOD_BYTES = 8000
+SPLIT_BYTES = 16 << 20
+_WRITES: dict[tuple, list] = {}
+_WRITES_LOCK = threading.Lock()
+
+
+@contextmanager
+def write_settings(spark: SparkSession, split: bool = True) -> Iterator[None]:
+    """The settings above, or lower ones that the session has, while a write
+    runs; the session has its own again after the last of nested or
+    simultaneous writes."""
+    wanted = {"spark.sql.codegen.hugeMethodLimit": METHOD_BYTES}
+    if split:
+        wanted["spark.sql.files.maxPartitionBytes"] = SPLIT_BYTES
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    held = [(spark._jsparkSession.sessionUUID(), name) for name in wanted]
+    with _WRITES_LOCK:
+        for at in held:
+            name = at[1]
+            if at not in _WRITES:
+                _WRITES[at] = [0, spark.conf.get(name), name in spark.conf.getAll]
+                if int(size(_WRITES[at][1])) > wanted[name]:
+                    spark.conf.set(name, str(wanted[name]))
+            _WRITES[at][0] += 1
+    try:
+        yield
+    finally:
+        with _WRITES_LOCK:
+            for at in held:
+                _WRITES[at][0] -= 1
+                if not _WRITES[at][0]:
+                    _, before, own = _WRITES.pop(at)
+                    if own:
+                        spark.conf.set(at[1], before)
+                    else:
+                        spark.conf.unset(at[1])
+
+
 def scale_conf(input_bytes: int, total_cores: int,
                partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict[str, str]:
     """Session settings sized for an input of ``input_bytes`` on a cluster

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from delaystats.operators.ingest import CORRUPT
 from delaystats.schema import COLUMNS, all_string_schema
+from delaystats.session import write_settings
 
 
 def read_flights_csv(spark: SparkSession, paths: str | list[str],
@@ -70,7 +71,8 @@ def chain(frames: list[DataFrame]) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
-    df.write.mode("overwrite").option("header", header).option("escape", '"').csv(path)
+    with write_settings(df.sparkSession, split=False):
+        df.write.mode("overwrite").option("header", header).option("escape", '"').csv(path)
     return path
 
 

@@ -22,6 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaystats.schema import KeyedLayout
+from delaystats.session import scratch_path, write_settings
+
+TASK_ROWS = 500_000     # wide rows that one task sorts in memory
+SLICE = "_slice"
+PIECES = 64             # pieces of a partition in which its rows are counted
 
 
 def _aqe_on(spark: SparkSession) -> bool:
@@ -39,7 +44,7 @@ def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] =
                       max_records_per_file: int | None = None, mode: str = "append",
                       num_partitions: int | None = None,
                       observation: Observation | None = None,
-                      metrics: Sequence[Column] = (), dynamic: bool = False) -> str:
+                      metrics: Sequence[Column] = (), dynamic: bool = False, dealt: bool = False) -> str:
     """Write ``df`` as a keyed layout: ``partitionBy`` directories, files
     sorted by the clustering columns.
 
@@ -63,10 +68,13 @@ def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] =
 
     ``dynamic`` makes an overwrite replace only the directories it writes to;
     Spark stages the new files and moves them when all tasks are done.
+    ``dealt`` rows are written by the tasks they are in, without an exchange.
     """
     spark = df.sparkSession
     key = [*partition_by, *cluster_by]
-    if num_partitions is None and _aqe_on(spark):
+    if dealt:
+        spread = df
+    elif num_partitions is None and _aqe_on(spark):
         spread = df.hint("rebalance", *partition_by)
     elif num_partitions:
         spread = df.repartitionByRange(num_partitions, *key)
@@ -79,22 +87,64 @@ def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] =
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.parquet(path)
+    with write_settings(spark):
+        writer.parquet(path)
     return path
 
 
+def _deal(df: DataFrame, table: KeyedLayout) -> DataFrame | None:
+    """``df`` dealt to tasks so that each has all rows of its primary keys and
+    few partition keys: by the partition key and, where a partition has more
+    than TASK_ROWS rows, a slice of its clustering keys (``_slice``).
+
+    None where keys are written over and over: half of all rows or more are
+    older ones, or one piece of a partition has far more than its share of the
+    rows.  Rows are counted first, over the key columns alone.
+    """
+    spark = df.sparkSession
+    digest = F.xxhash64(*table.clustering)
+    pieces = df.groupBy(*table.partition, F.pmod(digest, F.lit(PIECES)).alias("_piece")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.approx_count_distinct(digest, 0.2).alias("_keys"))
+    at = scratch_path(spark, "rows")
+    with write_settings(spark):
+        pieces.groupBy(*table.partition).agg(
+            F.sum("_rows").alias("_rows"), F.sum("_keys").alias("_keys"), F.max("_rows").alias("_most")).write.parquet(at)
+    parts = spark.read.parquet(at)
+    hot = (F.col("_most") > TASK_ROWS) & (F.col("_most") > 4 * F.col("_rows") / PIECES)
+    rows, keys, hot = parts.agg(F.sum("_rows"), F.sum("_keys"), F.max(hot)).first()
+    if not rows or rows > 2 * keys or hot:
+        return None
+    big = parts.where(F.col("_rows") > TASK_ROWS).select(
+        *[F.col(c).alias(f"_big_{c}") for c in table.partition], F.ceil(F.col("_rows") / TASK_ROWS).alias("_slices"))
+    same = [F.col(c).eqNullSafe(F.col(f"_big_{c}")) for c in table.partition]
+    # at most a row for every TASK_ROWS rows
+    told = df.join(F.broadcast(big), same, "left").withColumn(
+        SLICE, F.pmod(digest, F.coalesce("_slices", F.lit(1)))).select(*df.columns, SLICE)
+    tasks = -(-2 * rows // TASK_ROWS)
+    few = tasks <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return told.repartition(*([] if few else [tasks]), *table.partition, SLICE)
+
+
 def write_keyed(df: DataFrame, table: KeyedLayout, path: str, seq: Sequence[str],
                 mode: str = "overwrite", **options) -> str:
     """Write ``df`` as the keyed table ``table``: one row per primary key,
     the last write (highest ``seq``) winning, partitioned by the table's
     partition key and sorted by its clustering columns.
 
-    Two shuffles, both skew-safe: the upsert hashes on the full primary key
-    (and keeps one row per key and task before it), the layout write
-    rebalances on the partition key.
+    One shuffle and one sort: rows are dealt by partition key and slices of the
+    clustering key (see ``_deal``), sorted by the primary key, and the latest of
+    each key is written.  Where keys are written over and over there are two
+    shuffles, both skew-safe: the upsert hashes on the full primary key (and
+    keeps one row per key and task before it), the layout write rebalances on
+    the partition key.
     """
     from delaystats.operators.upsert import upsert
 
+    dealt = _deal(df, table) if _aqe_on(df.sparkSession) and not options.get("num_partitions") else None
+    if dealt is not None:
+        latest = upsert(dealt, [*table.primary_key, SLICE], seq).drop(SLICE)
+        return write_partitioned(latest, path, partition_by=table.partition, cluster_by=table.clustering, mode=mode,
+                                 dealt=True, **options)
     latest = upsert(df, table.primary_key, seq)
     return write_partitioned(latest, path, partition_by=table.partition,
                              cluster_by=table.clustering, mode=mode, **options)
@@ -105,12 +155,13 @@ def write_bucketed(df: DataFrame, table: str, path: str, buckets: int,
                    sort_by: tuple[str, ...] = ("year", "month", "flightnum", "day")) -> str:
     keys = [bucket_by] if isinstance(bucket_by, str) else list(bucket_by)
     # one exchange on the bucket key: a file per bucket, not tasks x buckets
-    (df.repartition(buckets, *keys).write.mode("overwrite")
-     .bucketBy(buckets, keys)
-     .sortBy(*sort_by)
-     .option("path", path)
-     .format("parquet")
-     .saveAsTable(table))
+    with write_settings(df.sparkSession):
+        (df.repartition(buckets, *keys).write.mode("overwrite")
+         .bucketBy(buckets, keys)
+         .sortBy(*sort_by)
+         .option("path", path)
+         .format("parquet")
+         .saveAsTable(table))
     return table
 
 
@@ -125,8 +176,9 @@ def bucket_bytes(spark: SparkSession, path: str) -> DataFrame:
     return files.groupBy(bucket.alias("bucket")).agg(F.sum("length").alias("bytes"))
 
 
-# A bucket above this size is too big for the one task a bucketed scan gives it.
-BUCKET_BYTES = 256 << 20
+# A bucket above this size is too big for the one task that sorts, writes and
+# scans it: wide rows take some twenty times their stored size in memory.
+BUCKET_BYTES = 32 << 20
 
 
 def bucket_count(spark: SparkSession, path: str, least: int = 8) -> int:

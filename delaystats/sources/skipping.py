@@ -15,16 +15,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from delaystats.operators.upsert import upsert
 from delaystats.schema import KeyedLayout
-from delaystats.sources.layout import write_partitioned
+from delaystats.sources.layout import TASK_ROWS, write_partitioned
 
 #: Bits of a file's bitmap: a false hit in some 1 of 13 for 20 000 keys a file.
 BITS = 1 << 18
 PIECE = 1 << 15         # bits of one of Spark's bitmap values
 
 
-def write_cut(df: DataFrame, path: str, table: KeyedLayout, files: int, mode: str = "overwrite") -> str:
-    """Write ``df`` as ``table`` in about ``files`` files of consecutive keys."""
+def write_cut(df: DataFrame, path: str, table: KeyedLayout, files: int, mode: str = "overwrite",
+              seq: Sequence[str] | None = None) -> str:
+    """Write ``df`` as ``table`` in about ``files`` files of consecutive keys,
+    more where these would hold more than TASK_ROWS rows.
+
+    With ``seq`` only the last written row of each key: rows are dealt in
+    ranges of the primary key, which the upsert needs as well as the files.
+    """
+    files = max(files, -(-df.count() // TASK_ROWS))
+    if seq is not None:
+        latest = upsert(df.repartitionByRange(files, *table.primary_key), table.primary_key, seq)
+        return write_partitioned(latest, path, partition_by=table.partition, cluster_by=table.clustering, mode=mode,
+                                 dealt=True)
     return write_partitioned(df, path, partition_by=table.partition, cluster_by=table.clustering, mode=mode,
                              num_partitions=files)
 

@@ -154,3 +154,52 @@ def test_many_nested_ranges(spark):
     for i in (0, 1, 77, 4321, 99_999):
         lo, hi = ranges[i]
         assert sums[i + 1] == float(sum(v for _, _, _, d, v in rows if lo <= d <= hi))
+
+
+def test_keyed_write_deals_rows_once(spark, tmpdir_path, monkeypatch):
+    from delaystats.sources import layout
+    monkeypatch.setattr(layout, "TASK_ROWS", 500)
+    table = KeyedLayout("t", ("p", "q"), ("k",))
+    rows = spark.range(6000).selectExpr("if(id % 3 = 0, cast(id % 7 as int), 1) p", "if(id % 10 = 9, null, 'x') q",
+                                        "id % 4000 k", "id seq", "concat('v', id) v")
+    dealt = layout._deal(rows, table)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 2500 and sum(sizes) == 6000
+    path = os.path.join(tmpdir_path, "once")
+    layout.write_keyed(rows, table, path, ["seq"])
+    got = layout.read_layout(spark, path, rows.schema)
+    want = upsert.upsert(rows, table.primary_key, ["seq"])
+    assert sorted(map(str, got.select(rows.columns).collect())) == sorted(map(str, want.collect()))
+    assert len(glob.glob(f"{path}/p=1/q=x/*.parquet")) > 1
+    often = rows.withColumn("k", F.col("k") % 5)        # half of the rows and more are written over
+    assert layout._deal(often, table) is None and layout._deal(rows.where("false"), table) is None
+    layout.write_keyed(often, table, path, ["seq"])
+    assert layout.read_layout(spark, path, rows.schema).count() == often.select("p", "q", "k").distinct().count()
+
+
+def test_write_settings_hold_for_the_write_only(spark):
+    from delaystats.session import write_settings
+    names = ("spark.sql.codegen.hugeMethodLimit", "spark.sql.files.maxPartitionBytes")
+    before = [spark.conf.get(n) for n in names]
+    with write_settings(spark):
+        with write_settings(spark, split=False):
+            assert spark.conf.get(names[0]) == "8000"
+        assert [spark.conf.get(n) for n in names] == ["8000", str(16 << 20)]
+    assert [spark.conf.get(n) for n in names] == before
+
+
+def test_buckets_fit_a_task():
+    from delaystats.sources import layout
+    assert layout.BUCKET_BYTES <= 32 << 20
+
+
+def test_cut_files_hold_the_latest_rows(spark, tmpdir_path, monkeypatch):
+    monkeypatch.setattr(skipping, "TASK_ROWS", 300)
+    table = KeyedLayout("c", ("c",), ("d",))
+    rows = spark.range(6000).selectExpr("concat('c', id % 3) c", "cast(id % 4001 as string) d", "id seq")
+    path = os.path.join(tmpdir_path, "cut")
+    skipping.write_cut(rows, path, table, files=4, seq=["seq"])
+    got = spark.read.schema(rows.schema).parquet(path)
+    want = upsert.upsert(rows, table.primary_key, ["seq"])
+    assert sorted(map(tuple, got.select(rows.columns).collect())) == sorted(map(tuple, want.collect()))
+    assert len(glob.glob(f"{path}/**/*.parquet", recursive=True)) >= 18
