@@ -9,7 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaystats.session import scratch_path
+from delaystats.session import lowered, scratch_path
+
+#: Bytes of rows that go to a Python worker at a time while a table is written:
+#: both sides hold a batch several times over, one for each step of a task.
+BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -28,7 +32,8 @@ def written(df: DataFrame, what: str, partition_by: Sequence[str] = ()) -> DataF
     """
     spark = df.sparkSession
     path = scratch_path(spark, "llm", what)
-    df.write.partitionBy(*partition_by).parquet(path)
+    with lowered(spark, BATCH):
+        df.write.partitionBy(*partition_by).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
     spark.sparkContext._jvm.System.gc()

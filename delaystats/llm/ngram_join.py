@@ -320,9 +320,10 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
 
 def _kept_sets(bits: bytes):
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
+        table = np.frombuffer(bits, np.uint8)
         for batch in batches:
-            yield batch.filter(pa.array(table[np.asarray(batch.column(0)) & (len(table) - 1)]))
+            at = np.asarray(batch.column(0)) & (8 * len(table) - 1)
+            yield batch.filter(pa.array((table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
     return fn
 
 

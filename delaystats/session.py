@@ -81,12 +81,18 @@ _WRITES_LOCK = threading.Lock()
 
 @contextmanager
 def write_settings(spark: SparkSession, split: bool = True) -> Iterator[None]:
-    """The settings above, or lower ones that the session has, while a write
-    runs; the session has its own again after the last of nested or
-    simultaneous writes."""
+    """The settings above while a write runs."""
     wanted = {"spark.sql.codegen.hugeMethodLimit": METHOD_BYTES}
     if split:
         wanted["spark.sql.files.maxPartitionBytes"] = SPLIT_BYTES
+    with lowered(spark, wanted):
+        yield
+
+
+@contextmanager
+def lowered(spark: SparkSession, wanted: dict[str, int]) -> Iterator[None]:
+    """Settings of sizes, or lower ones that the session has, for a while; the
+    session has its own again after the last of nested or simultaneous uses."""
     size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
     held = [(spark._jsparkSession.sessionUUID(), name) for name in wanted]
     with _WRITES_LOCK:
