@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaystats.llm.common import hash_sample, held_out
+from delaystats.llm.common import hash_sample, held_out, written
 
 POSITIVES = 2500        # confirmed toxic texts in the fit, at most
 UNLABELLED = 5000       # unlabelled texts in the fit, at most
@@ -64,6 +64,11 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
+def least_positives(n: int) -> int:
+    """So many of ``n`` P texts must have a word that counts."""
+    return max(min(MIN_POSITIVES, max(n // 4, 1)), int(MIN_SHARE * n))
+
+
 def fit_nnpu(positive, unlabelled, prior: float) -> Model:
     """Minimise the non-negative risk by full-batch Adam in numpy.  The texts
     are lists of distinct words (Python or Arrow lists)."""
@@ -79,8 +84,7 @@ def fit_nnpu(positive, unlabelled, prior: float) -> Model:
     seen, usual = np.bincount(codes[:cut], minlength=size), np.bincount(codes[cut:], minlength=size)
     share = (seen + usual) / (n_p + n_u)
     z = (seen / n_p - usual / n_u) / np.maximum(np.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u)), 1e-9)
-    least = max(min(MIN_POSITIVES, max(len(p_docs) // 4, 1)), int(MIN_SHARE * len(p_docs)))
-    picked = np.flatnonzero((seen >= least) & (z >= MIN_Z))
+    picked = np.flatnonzero((seen >= least_positives(len(p_docs))) & (z >= MIN_Z))
     names = words.take(pa.array(picked)).to_pylist()
     order = sorted(range(len(picked)), key=lambda i: (-seen[picked[i]], names[i]))[:VOCABULARY]
     vocab = [names[i] for i in order]
@@ -126,6 +130,14 @@ def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"words": pa.array(lists, pa.list_(pa.string()))})
 
 
+def _words_among(names: set[str]):
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [[w for w in words if w in names] for words in batch.column(0).to_pylist()]
+            yield pa.record_batch({"words": pa.array(lists, pa.list_(pa.string()))})
+    return fn
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic") -> Model:
     """Model from the labelled and unlabelled rows that may be learnt from.
@@ -145,10 +157,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def lists(chosen):      # at most POSITIVES or UNLABELLED ids, so the broadcast is bounded
         rows = texts.join(F.broadcast(chosen), "doc_id", "left_semi").select("text")
-        got = rows.mapInArrow(_word_lists, "words array<string>").toArrow().column("words")
+        return written(rows.mapInArrow(_word_lists, "words array<string>"), "words")
+
+    p_lists, u_lists = lists(chosen_p), lists(chosen_u)
+    common = (p_lists.select(F.explode("words").alias("word")).groupBy("word").count()
+              .where(F.col("count") >= least_positives(p_lists.count())).select("word").toArrow())
+    names = set(common.column("word").to_pylist())
+
+    def of_use(rows):       # the driver gets the words only that can count
+        got = rows.mapInArrow(_words_among(names), "words array<string>").toArrow().column("words")
         return pa.concat_arrays(got.chunks) if got.num_chunks else pa.array([], pa.list_(pa.string()))
 
-    return fit_nnpu(lists(chosen_p), lists(chosen_u), float(prior))
+    return fit_nnpu(of_use(p_lists), of_use(u_lists), float(prior))
 
 
 def _scores(model: Model):
