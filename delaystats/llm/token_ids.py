@@ -21,15 +21,17 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from delaystats.llm.byte_bpe import _chunks
+from delaystats.llm.byte_bpe import _chunks, marked
 from delaystats.llm.common import worker_cache, written
 
 BLOCK_IDS = 1 << 16         # ids after which a block is closed
-CACHED_CHUNKS = 600_000     # encoded text chunks a worker keeps
+CACHED_CHUNKS = 800_000     # encoded text chunks a worker keeps
 CACHED_LENGTH = 200         # characters of a chunk that is kept, at most
+PIECE_CHARS = 4_000_000     # characters of text encoded at a time (a longer text is a piece)
 #: Selector -> (values per word, bits per value).
 SELECTORS = ((240, 0), (1, 32), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8),
              (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
@@ -112,11 +114,12 @@ def unpack(words: np.ndarray) -> np.ndarray:
 
 
 def _encoder(tokenizer_json: str, special_as_text: bool = False):
-    """text -> little-endian uint32 ids; the library encodes each chunk of
-    text (see ``_chunks``) once per worker while the cache has room.  A text
-    that holds an added token goes to the library whole, since the library
-    cuts there first.  Spark runs a task per core, so the library's own threads
-    stay off."""
+    """text -> little-endian uint32 ids.  Some PIECE_CHARS of text at a time are
+    cut into chunks (see ``_chunks``), numbered by Arrow, and the ids of the
+    different ones put where they occur.  A worker keeps the ids of the chunks
+    that it met last, so that the library encodes few of them again.  A text that
+    holds an added token goes to the library whole, since the library cuts there
+    first.  Spark runs a task per core, so the library's own threads stay off."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -125,26 +128,54 @@ def _encoder(tokenizer_json: str, special_as_text: bool = False):
         t = Tokenizer.from_str(tokenizer_json)
         t.encode_special_tokens = special_as_text
         added = [x.content for x in t.get_added_tokens_decoder().values()]
-        library[tokenizer_json, special_as_text] = t, added, {}
-    t, added, cache = library[tokenizer_json, special_as_text]
+        library[tokenizer_json, special_as_text] = t, added, [{}, {}]
+    t, added, met = library[tokenizer_json, special_as_text]
 
-    def encode(texts: list[str]) -> list[bytes]:
-        cut = [[x] if any(a in x for a in added) else _chunks(x) for x in texts]
-        missing = list(set().union(*cut).difference(cache)) if cut else []
+    def ids_of(chunks: list[str]) -> list[bytes]:
+        now, before = met
+        got = list(map(now.get, chunks))
+        unknown = [i for i, x in enumerate(got) if x is None]
+        missing = []
+        for i in unknown:
+            got[i] = x = before.get(chunks[i])
+            if x is None:
+                missing.append(i)
         if missing:
-            ids = [e.ids for e in t.encode_batch_fast(missing, add_special_tokens=False)]
+            ids = [e.ids for e in t.encode_batch_fast([chunks[i] for i in missing], add_special_tokens=False)]
             ends = np.cumsum([4 * len(x) for x in ids]).tolist()
             raw = np.fromiter(chain.from_iterable(ids), "<u4", ends[-1] // 4).tobytes()
-            new = {c: raw[a:b] for c, a, b in zip(missing, [0, *ends], ends)}
-            cache.update(new)
-        got = [b"".join(map(cache.__getitem__, x)) for x in cut]
-        if missing:     # what there is no room for was known for this call only
-            full = len(cache) > CACHED_CHUNKS
-            for c in missing:
-                if full or len(c) > CACHED_LENGTH:
-                    del cache[c]
+            for i, start, end in zip(missing, [0, *ends], ends):
+                got[i] = raw[start:end]
+        now.update((chunks[i], got[i]) for i in unknown if len(chunks[i]) <= CACHED_LENGTH)
+        if len(now) > CACHED_CHUNKS // 2:
+            met[:] = {}, now
         return got
-    return encode
+
+    def encode(texts: list[str]) -> list[bytes]:
+        whole = {i: ids_of([x] if any(a in x for a in added) else _chunks(x)) for i, x in enumerate(texts)
+                 if "\0" in x or any(a in x for a in added)}
+        cut = pc.split_pattern(pa.array(["" if i in whole else marked(x) for i, x in enumerate(texts)],
+                                        pa.large_string()), "\0")
+        coded = cut.flatten().dictionary_encode()
+        number = np.asarray(coded.indices)
+        raw = ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        starts, size = np.cumsum(sizes) - sizes, sizes[number]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        at = np.repeat(starts[number] - ends[:-1], size) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(raw), "<u4")[at].tobytes()
+        ends = (4 * ends[np.asarray(cut.offsets)]).tolist()
+        return [b"".join(whole[i]) if i in whole else ids[a:b] for i, (a, b) in enumerate(zip(ends, ends[1:]))]
+
+    def pieces(texts: list[str]) -> Iterator[bytes]:
+        start = size = 0
+        for i, x in enumerate(texts):
+            size += len(x)
+            if size >= PIECE_CHARS:
+                yield from encode(texts[start:i + 1])
+                start, size = i + 1, 0
+        yield from encode(texts[start:])
+    return pieces
 
 
 _BLOCK = ("part int, block int, part_start long, n_ids long, doc_ids array<long>, counts array<int>, data binary")
