@@ -2,8 +2,9 @@
 
 Words (matches of the split pattern) repeat, so a block of texts is reduced to
 its distinct words first: an Arrow pass writes, per block of at most BLOCK_CHARS
-of text, one row with the byte arrays of its distinct words and, per document,
-the numbers of its words.  On that row Spark expressions encode every word:
+of text, one row with the byte arrays of its distinct words, less those that
+earlier blocks of its task had (up to TASK_WORDS), and, per document, the
+numbers of its words.  On that row Spark expressions encode every word:
 
 * A merge makes one token of two, and that token's id is its rank.  The rank
   map is a literal: row displacement puts the merges of all left tokens into
@@ -17,15 +18,18 @@ the numbers of its words.  On that row Spark expressions encode every word:
   This only saves time: any other word is folded in its block.
 
 A second Arrow pass puts the words' ids together per document.  Nothing is
-shuffled, and a block, the known words and the largest text bound the memory.
+shuffled, so blocks arrive in the order in which they were made, and a block,
+the known words, TASK_WORDS and the largest text bound the memory.
 Decoding looks up each id's binary piece (as hex) and concatenates them.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +40,11 @@ from delaystats.llm.common import hash_sample
 
 CACHE_WORDS = 200_000       # words folded beforehand, at most
 CACHE_TEXTS = 10_000        # texts whose words are counted for them
-BLOCK_CHARS = 6_000_000     # characters of text per block (a longer text is a block)
+BLOCK_CHARS = 2_000_000     # characters of text per block (a longer text is a block)
+TASK_WORDS = 300_000        # words of earlier blocks that a task knows, before it starts anew
 BATCH_TEXTS = 500           # texts taken from a batch at a time
+_CUT = re.compile(r" (?=\S)")
+_SPACES = re.compile(r" (?:\s|\Z)")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -154,9 +161,10 @@ class ByteBpe:
         ids = self.known.column("ids").combine_chunks()
         known = self.known.column("word").to_pylist(), ids.flatten().to_numpy(), ids.value_lengths().to_numpy()
         blocks = docs.mapInArrow(_blocks(self.pattern, known[0], self.byte_tokens, self.end),
-                                 "doc_ids array<long>, words array<array<long>>, counts array<int>, numbers binary")
+                                 "doc_ids array<long>, words array<array<long>>, counts array<int>, numbers binary, "
+                                 "fresh boolean")
         tokens = self.folded(lambda ranks: F.transform("words", lambda word: self.fold(ranks, word)))
-        return (self.with_map(blocks).select("doc_ids", "counts", "numbers", tokens.alias("tokens"))
+        return (self.with_map(blocks).select("doc_ids", "counts", "numbers", tokens.alias("tokens"), "fresh")
                 .mapInArrow(_documents(*known[1:]), "doc_id long, ids array<int>"))
 
     def decode(self, ids: Column) -> Column:
@@ -166,17 +174,19 @@ class ByteBpe:
         return F.unhex(F.array_join(got, ""))
 
 
+def marked(text: str) -> str:
+    """The text, which has no NUL, with a NUL before every single space that a
+    non-space follows: a word never spans such a place, and few different
+    chunks between them make up many texts."""
+    return _CUT.sub("\0 ", text) if _SPACES.search(text) else text.replace(" ", "\0 ")
+
+
 def _chunks(text: str) -> list[str]:
-    """The text cut before every single space that a non-space follows: a word
-    never spans such a place, and few different chunks make up many texts."""
-    parts = text.split(" ")
-    out = [parts[0]]
-    for p in parts[1:]:
-        if p and not p[0].isspace():
-            out.append(" " + p)
-        else:
-            out[-1] += " " + p
-    return out
+    """The text cut where ``marked`` marks it."""
+    if "\0" not in text:
+        return marked(text).split("\0")
+    first, *parts = _CUT.split(text)
+    return [first, *[" " + p for p in parts]]
 
 
 def _word_counts(pattern: str):
@@ -214,7 +224,8 @@ def _word_bytes(byte_tokens: np.ndarray, end: int):
 
 
 def _blocks(pattern: str, known: list[str], byte_tokens: np.ndarray, end: int):
-    """Words are numbered: the known ones first, then the others of the block."""
+    """Words are numbered: the known ones first, then the others as they come.  A
+    block has those that no earlier one had since the last ``fresh`` block."""
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
@@ -223,14 +234,16 @@ def _blocks(pattern: str, known: list[str], byte_tokens: np.ndarray, end: int):
 
         def flush() -> pa.RecordBatch:
             offsets = pa.array([0, len(ids)], pa.int32())
-            new = _byte_arrays(list(words)[len(first):], byte_tokens, end)
+            new = _byte_arrays(list(islice(words, sent, None)), byte_tokens, end)
             return pa.record_batch({
                 "doc_ids": pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int64())),
                 "words": pa.ListArray.from_arrays(pa.array([0, len(new)], pa.int32()), new),
                 "counts": pa.ListArray.from_arrays(offsets, pa.array([len(x) // 4 for x in numbers], pa.int32())),
-                "numbers": pa.array([b"".join(numbers)], pa.binary())})
+                "numbers": pa.array([b"".join(numbers)], pa.binary()),
+                "fresh": pa.array([sent == len(first)])})
 
         words: dict[str, int] = dict(first)
+        sent = len(first)
         chunks: dict[str, bytes] = {}
         ids: list = []
         numbers: list[bytes] = []
@@ -245,23 +258,29 @@ def _blocks(pattern: str, known: list[str], byte_tokens: np.ndarray, end: int):
             size += len(text or "")
             if size >= BLOCK_CHARS:
                 yield flush()
-                ids, words, chunks, numbers, size = [], dict(first), {}, [], 0
+                ids, numbers, size, sent = [], [], 0, len(words)
+                if max(sent - len(first), len(chunks)) >= TASK_WORDS:
+                    words, sent, chunks = dict(first), len(first), {}
         if ids:
             yield flush()
     return fn
 
 
 def _documents(known_ids: np.ndarray, known_sizes: np.ndarray):
+    def pieces(ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+        raw, at = ids.astype("<i4").tobytes(), [0, *(np.cumsum(sizes, dtype=np.int64) * 4).tolist()]
+        return [raw[a:b] for a, b in zip(at, at[1:])]
+
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = pieces(known_ids, known_sizes)
         for batch in batches:
-            doc_ids, counts, numbers, tokens = (batch.column(i) for i in range(4))
+            doc_ids, counts, numbers, tokens, fresh = (batch.column(i) for i in range(5))
             for row in range(batch.num_rows):
+                if fresh[row].as_py():
+                    word_ids, sizes = list(first), known_sizes.astype(np.int64)
                 new = tokens[row].values
-                ids = np.concatenate((known_ids, new.flatten().to_numpy())).astype("<i4")
-                sizes = np.concatenate((known_sizes, new.value_lengths().to_numpy())).astype(np.int64)
-                ends = np.concatenate(([0], np.cumsum(sizes))) * 4
-                raw, at = ids.tobytes(), ends.tolist()
-                word_ids = [raw[a:b] for a, b in zip(at, at[1:])]
+                word_ids += pieces(new.flatten().to_numpy(), new.value_lengths().to_numpy())
+                sizes = np.concatenate((sizes, new.value_lengths().to_numpy()))
                 number = np.frombuffer(numbers[row].as_py(), "<i4")
                 text_ids = np.frombuffer(b"".join(map(word_ids.__getitem__, number.tolist())), "<i4")
                 total = np.concatenate(([0], np.cumsum(sizes[number])))
