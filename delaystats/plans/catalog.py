@@ -146,12 +146,18 @@ def cached_filter_sum(spark, sf):
     return measures.filter_sum(cached_base(spark, sf), YEAR, CARRIER)
 
 
+def kept_spans(spans: ordered.Spans) -> ordered.Spans:
+    """Spans with their pieces persisted.  Pieces of cut scopes are stored
+    already, so what memory has no room for is read there, not written again."""
+    whole = spans.segments is None
+    spans.pieces.persist(StorageLevel.MEMORY_AND_DISK if whole else StorageLevel.MEMORY_ONLY)
+    return spans
+
+
 def cached_spans(spark: SparkSession, sf_dir: str) -> ordered.Spans:
     """The run-grouped intermediate, built once per session, pieces persisted."""
     def make():
-        spans = _spans(spark, sf_dir)
-        spans.pieces.persist(StorageLevel.MEMORY_AND_DISK)
-        return spans
+        return kept_spans(_spans(spark, sf_dir))
     return _once(spark, sf_dir, "cached_spans", make)
 
 
@@ -163,9 +169,7 @@ def cached_span_sum_year(spark, sf):
     """Run pieces of the filtered year only, persisted once and asked twice:
     how many there are, then their sums."""
     def make():
-        spans = _year_spans(spark, sf)
-        spans.pieces.persist(StorageLevel.MEMORY_AND_DISK)
-        return spans
+        return kept_spans(_year_spans(spark, sf))
     spans = _once(spark, sf, "cached_year_spans", make)
     return spans.runs().withColumn("n_runs", spans.count().scalar())
 

@@ -161,3 +161,15 @@ def test_a_hot_scope_is_cut_and_small_scopes_are_not(spark, monkeypatch):
     assert sorted(map(tuple, got.select("o", "pos").collect())) == want
     assert ordered.ordinal_within(df.where("o < 0"), ["s"], ["o"]).collect() == []
     assert ordered.span_by(df.where("o < 0"), "k", ["o"], ["s"], "v").runs().collect() == []
+
+
+def test_cached_pieces_of_cut_scopes_are_not_stored_twice(spark):
+    from delaystats.plans import catalog
+    df = spark.range(3000).selectExpr("cast(id % 2 as int) s", "id o", "cast(id / 5 as int) k", "id v")
+    got = []
+    for parts, on_disk in ((1, True), (6, False)):
+        spans = catalog.kept_spans(ordered.span_by(df, "k", ["o"], ["s"], "v", num_partitions=parts))
+        assert spans.pieces.storageLevel.useMemory and spans.pieces.storageLevel.useDisk == on_disk
+        got.append(sorted(map(tuple, spans.runs().collect())))
+        spans.pieces.unpersist()
+    assert got[0] == got[1]
