@@ -27,7 +27,10 @@ bit map of fixed size):
    The rows are shuffled by signature, sorted by Spark (spilling), and streamed:
    only signatures shared by two different sets survive (G).
 2. A second pass computes every document's set key and, for sets in a bounded
-   bit map of G, the set itself; a saturated map only lets more sets pass.
+   map of G, the set itself; a saturated map only lets more sets pass.  Similar
+   sets agree on m + 1 partitions, and a set with p <= m poor ones emits the
+   agreed signatures of m + 1 - p of them at least, as does the other set; so a
+   set that shares fewer signatures, which the map tells, links with nothing.
 3. Elements found in no other set of G bound what a set can share: sets with
    more than 1 - gamma of them link with nothing and leave G.
 4. Star rounds: a set is tested against hubs, the sets with the most common
@@ -61,6 +64,8 @@ from delaystats.llm.common import forget, free_names, written
 BITMAP_BITS = 1 << 24          # candidate bit map: 2 MB, whatever the input
 STAR_PIECE = 2000              # members of one hub tested in one group
 SEEN_SETS = 200_000            # equal sets remembered per task
+BATCH_ROWS = 200_000           # signatures that go to Spark at a time
+LEVELS = (1, 2, 4)             # shared signatures that the map of G tells apart
 
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                              0xD6E8FEB86659FD93)]
@@ -146,16 +151,14 @@ def _subsets(n2: int, k2: int) -> np.ndarray:
     return out
 
 
-def signatures(s: np.ndarray, gamma_num: int = 85, gamma_den: int = 100) -> np.ndarray:
-    """PartEnum signatures of a sorted set of 64-bit hashes."""
+def _cuts(s: np.ndarray, gamma_num: int, gamma_den: int):
+    """For each band that the set emits for: the band, the elements in each
+    second-level partition, the enumerated subsets, which of them are sparse
+    (None: all are emitted) and how many signatures similar sets share at least."""
     size = len(s)
-    if not size:
-        return np.empty(0, np.uint64)
     ends = _once(bands, gamma_num, gamma_den, 1 << (2 * size + 4).bit_length())
     own = bisect_left(ends, size)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_mix(s * _C[1]), dtype=np.uint64)))
     high = s >> np.uint64(32)
-    out = []
     for b in (own, own + 1):
         below = ends[b - 2] if b >= 2 else 0
         n1, n2, k2, m, t = _once(scheme, ends[b], below + 1, gamma_num, gamma_den)
@@ -163,22 +166,38 @@ def signatures(s: np.ndarray, gamma_num: int = 85, gamma_den: int = 100) -> np.n
             continue        # no size of the next band is similar to this one
         cells = n1 * n2
         cell = (high * np.uint64(cells)) >> np.uint64(32)
-        counts = np.bincount(cell.astype(np.int64), minlength=cells)
-        at = np.concatenate((np.zeros(1, np.int64), np.cumsum(counts)))
-        part = (sums[at[1:]] - sums[at[:-1]]).reshape(n1, n2)
+        counts = np.bincount(cell.astype(np.int64), minlength=cells).reshape(n1, n2)
         subsets = _once(_subsets, n2, k2)
+        sparse, least = None, 1
+        if t:
+            held = counts.astype(np.uint64) @ subsets.T < t
+            poor = int(held.any(axis=1).sum())
+            if poor <= m:
+                sparse, least = held, m + 1 - poor
+        yield b, counts, subsets, sparse, least
+
+
+def signatures(s: np.ndarray, gamma_num: int = 85, gamma_den: int = 100) -> np.ndarray:
+    """PartEnum signatures of a sorted set of 64-bit hashes."""
+    if not len(s):
+        return np.empty(0, np.uint64)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_mix(s * _C[1]), dtype=np.uint64)))
+    out = []
+    for b, counts, subsets, sparse, _ in _cuts(s, gamma_num, gamma_den):
+        at = np.concatenate((np.zeros(1, np.int64), np.cumsum(counts)))
+        part = (sums[at[1:]] - sums[at[:-1]]).reshape(counts.shape)
         sig = part @ subsets.T
         tag = np.arange(sig.size, dtype=np.uint64).reshape(sig.shape) + np.uint64(b << 40)
         sig = _mix(sig ^ _mix(tag * _C[2] + np.uint64(1)))
-        if t:
-            held = counts.reshape(n1, n2).astype(np.uint64) @ subsets.T
-            sparse = held < t
-            if int(sparse.any(axis=1).sum()) <= m:
-                sig = sig[~sparse]
-        out.append(sig.ravel())
+        out.append(sig.ravel() if sparse is None else sig[~sparse])
     return np.concatenate(out)
 
 
+def least_shared(s: np.ndarray, gamma_num: int = 85, gamma_den: int = 100) -> int:
+    """So many signatures, at least, has a set in common with any similar one."""
+    return min(least for *_, least in _cuts(s, gamma_num, gamma_den))
+
+
 def _key(s: np.ndarray) -> tuple[int, int]:
     """Two 64-bit sums that name the set (as signed longs)."""
     if not len(s):
@@ -193,7 +212,7 @@ def _signature_rows(n: int, num: int, den: int):
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            sigs, nodes = [], []
+            sigs, nodes, rows = [], [], 0
             for text in batch.column(0).to_pylist():
                 s = shingle_set(text, n)
                 key = _key(s)[0]
@@ -205,9 +224,10 @@ def _signature_rows(n: int, num: int, den: int):
                 g = signatures(s, num, den)
                 sigs.append(g)
                 nodes.append(np.full(len(g), key, np.int64))
-                if sum(map(len, sigs[-64:])) > 200_000:
+                rows += len(g)
+                if rows > BATCH_ROWS:
                     yield _batch(sigs, nodes)
-                    sigs, nodes = [], []
+                    sigs, nodes, rows = [], [], 0
             if sigs:
                 yield _batch(sigs, nodes)
     return fn
@@ -243,9 +263,11 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch({"sig": pa.array(sig[out]), "node": pa.array(node[out])})
 
 
-def _set_rows(n: int, bits: bytes | None):
+def _set_rows(n: int, bits: bytes, num: int, den: int):
+    """Set keys, and the sets whose level in ``bits`` (two bits each) says that
+    they share enough signatures."""
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = len(bits) * 8 - 1
+        mask = len(bits) * 4 - 1
         seen: set[int] = set()
         for batch in batches:
             size, k1, k2, sets = [], [], [], []
@@ -254,7 +276,8 @@ def _set_rows(n: int, bits: bytes | None):
                 a, b = _key(s)
                 at = a & mask
                 blob = None
-                if len(s) and a not in seen and bits[at >> 3] >> (at & 7) & 1:
+                level = bits[at >> 2] >> (at & 3) * 2 & 3 if len(s) and a not in seen else 0
+                if level == len(LEVELS) or level and _level(least_shared(s, num, den)) <= level:
                     if len(seen) >= SEEN_SETS:
                         seen.clear()
                     seen.add(a)
@@ -269,16 +292,31 @@ def _set_rows(n: int, bits: bytes | None):
     return fn
 
 
-def _bitmap(nodes: DataFrame) -> bytes:
-    """Fixed-size bit map of the candidate sets, or-ed together by Spark."""
+def _level(n: int) -> int:
+    """The number of LEVELS up to n."""
+    return sum(n >= x for x in LEVELS)
+
+
+def _bitmap(nodes: DataFrame, width: int = 1) -> bytes:
+    """Fixed-size bit map of the candidate sets, or-ed together by Spark; a wider
+    one has the column ``level`` of ``width`` bits for each set."""
     at = F.col("node").bitwiseAND(F.lit(BITMAP_BITS - 1))
-    words = (nodes.select(F.shiftright(at, 6).alias("w"), at.bitwiseAND(F.lit(63)).cast("int").alias("b"))
-             .groupBy("w").agg(F.expr("bit_or(shiftleft(1L, b))").alias("v"))).toArrow()
-    out = np.zeros(BITMAP_BITS // 64, np.uint64)
+    per = 64 // width
+    level = F.col("level").cast("bigint") if width > 1 else F.lit(1).cast("bigint")
+    words = (nodes.select(F.shiftright(at, per.bit_length() - 1).alias("w"), level.alias("v"),
+                          (at.bitwiseAND(F.lit(per - 1)) * width).cast("int").alias("b"))
+             .groupBy("w").agg(F.expr("bit_or(shiftleft(v, b))").alias("v"))).toArrow()
+    out = np.zeros(BITMAP_BITS // per, np.uint64)
     out[words.column("w").to_numpy()] = words.column("v").to_numpy().view(np.uint64)
     return out.astype("<u8").tobytes()
 
 
+def _levels(shared: DataFrame) -> DataFrame:
+    """Each set of G and the level of the number of its signatures there."""
+    n = F.count("*")
+    return shared.groupBy("node").agg(sum((n >= x).cast("int") for x in LEVELS).alias("level"))
+
+
 def _tested(num: int, den: int):
     """Rows sorted by (hub, salt, member first 0 = the hub itself): the links."""
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -440,8 +478,8 @@ def _prepared(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col
     rows = source.select("text").mapInArrow(_signature_rows(n, num, den), "sig long, node long")
     shared = written(rows.repartition("sig").sortWithinPartitions("sig", "node")
                      .mapInArrow(_shared, "sig long, node long"), "shared")
-    bits = _bitmap(shared.select("node").distinct())
-    keyed = written(source.mapInArrow(_set_rows(n, bits), "doc_id long, n_shingles long, node long, "
+    bits = _bitmap(_levels(shared), 2)
+    keyed = written(source.mapInArrow(_set_rows(n, bits, num, den), "doc_id long, n_shingles long, node long, "
                                       "key2 long, elements binary"), "sets")
     sets = keyed.where("elements is not null").select("node", "elements")
 

@@ -107,3 +107,34 @@ def test_chunks_are_cut_before_single_spaces():
         return out
     for text in ["", " ", "a b", " a  b ", "a \n b", "\0 a \0b", "a　 b\x85 c \x1c d", "a  "]:
         assert byte_bpe._chunks(text) == plain(text)
+
+
+def test_sets_that_share_too_few_signatures_are_not_kept():
+    r = np.random.default_rng(5)
+    for _ in range(150):
+        size = int(r.integers(1, 700))
+        x = np.unique(r.integers(0, 1 << 63, size).astype(np.uint64))
+        lost, new = (int(r.integers(0, size * 7 // 100 + 1)) for _ in range(2))     # 93 / 107 is above 0.85
+        y = np.unique(np.append(r.permutation(x)[lost:], r.integers(0, 1 << 63, new).astype(np.uint64)))
+        both = len(np.intersect1d(ngram_join.signatures(x), ngram_join.signatures(y)))
+        assert both >= max(ngram_join.least_shared(x), ngram_join.least_shared(y))
+
+    text = " ".join(f"w{i}" for i in range(600))
+    s = ngram_join.shingle_set(text, 4)
+    assert ngram_join._level(ngram_join.least_shared(s)) == 3
+    at = ngram_join._key(s)[0] & 63
+    batch = pa.record_batch({"doc_id": pa.array([1], pa.int64()), "text": [text]})
+    for level in range(4):
+        bits = bytearray(16)
+        bits[at >> 2] = level << (at & 3) * 2
+        (got,) = ngram_join._set_rows(4, bytes(bits), 85, 100)(iter([batch]))
+        assert got.column("elements")[0].is_valid == (level == 3)
+
+
+def test_levels_of_shared_signatures(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BITMAP_BITS", 128)
+    shared = spark.createDataFrame([(i, node) for node, n in ((3, 1), (-2, 3), (64, 9)) for i in range(n)],
+                                   "sig long, node long")
+    bits = ngram_join._bitmap(ngram_join._levels(shared), 2)
+    levels = [bits[at >> 2] >> (at & 3) * 2 & 3 for at in range(128)]
+    assert {at: x for at, x in enumerate(levels) if x} == {3: 1, 126: 2, 64: 3}
