@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaystats.llm import byte_bpe, decontaminate, ngram_join, secret_scan, toxicity
-from delaystats.llm.common import free_names, release, table
+from delaystats.llm.common import BATCH, free_names, release, table
 from delaystats.llm.queries import byte_bpe_tokenizer
-from delaystats.session import scratch_path
+from delaystats.session import lowered, scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -78,6 +78,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, "pipeline", name)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        kept = stage(spark, docs, sf_dir)
+        with lowered(spark, BATCH):
+            kept.write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delaystats.llm.common import hash_sample
+from delaystats.llm.common import hash_sample, lean
 
 CACHE_WORDS = 200_000       # words folded beforehand, at most
 CACHE_TEXTS = 10_000        # texts whose words are counted for them
@@ -148,7 +148,7 @@ class ByteBpe:
         """Fold the frequent distinct words of a bounded sample beforehand."""
         ids = hash_sample(docs.select("doc_id").where("doc_id is not null").distinct(), "doc_id", CACHE_TEXTS, 5)
         sample = docs.join(F.broadcast(ids), "doc_id", "left_semi").select("text")
-        words = (sample.mapInArrow(_word_counts(self.pattern), "word string, n long")
+        words = (sample.mapInArrow(lean(_word_counts(self.pattern)), "word string, n long")
                  .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(CACHE_WORDS))
         known = (words.repartition(docs.sparkSession.sparkContext.defaultParallelism)
                  .mapInArrow(_word_bytes(self.byte_tokens, self.end), "word string, bytes array<long>"))
@@ -160,12 +160,12 @@ class ByteBpe:
         """(doc_id, ids) of (doc_id, text) rows."""
         ids = self.known.column("ids").combine_chunks()
         known = self.known.column("word").to_pylist(), ids.flatten().to_numpy(), ids.value_lengths().to_numpy()
-        blocks = docs.mapInArrow(_blocks(self.pattern, known[0], self.byte_tokens, self.end),
+        blocks = docs.mapInArrow(lean(_blocks(self.pattern, known[0], self.byte_tokens, self.end)),
                                  "doc_ids array<long>, words array<array<long>>, counts array<int>, numbers binary, "
                                  "fresh boolean")
         tokens = self.folded(lambda ranks: F.transform("words", lambda word: self.fold(ranks, word)))
         return (self.with_map(blocks).select("doc_ids", "counts", "numbers", tokens.alias("tokens"), "fresh")
-                .mapInArrow(_documents(*known[1:]), "doc_id long, ids array<int>"))
+                .mapInArrow(lean(_documents(*known[1:])), "doc_id long, ids array<int>"))
 
     def decode(self, ids: Column) -> Column:
         """binary: the concatenated pieces of the ids; null or empty ids give

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +49,20 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def lean(fn: Callable) -> Callable:
+    """The Arrow pass ``fn``, which at its end gives back what it took: Spark
+    keeps the worker for other steps, idle ones too, and what its allocators hold
+    counts against the executor all that time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # of glibc
+        if trim:
+            trim(0)
+    return run
+
+
 def forget(*frames: DataFrame) -> None:
     """Delete tables made by ``written`` that nothing reads any more."""
     for df in frames:

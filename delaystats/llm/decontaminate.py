@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from delaystats.llm.common import lean
+
 MIN_RUN = 5                 # words in a seed, and in the shortest tile
 THRESHOLD = 0.5             # share of an item's words that tiles must cover
 BLOCK_BYTES = 8 << 20       # benchmark text per pass over the documents
@@ -219,5 +221,5 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, m: int = MIN_RUN, threshol
                 keep = [all(c < threshold * n for _, c, n, _ in index.coverage(t))
                         for t in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array(keep, pa.bool_()))
-        docs = docs.mapInArrow(fn, docs.schema)
+        docs = docs.mapInArrow(lean(fn), docs.schema)
     return docs

@@ -59,7 +59,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaystats.llm.common import forget, free_names, written
+from delaystats.llm.common import forget, free_names, lean, written
 
 BITMAP_BITS = 1 << 24          # candidate bit map: 2 MB, whatever the input
 STAR_PIECE = 2000              # members of one hub tested in one group
@@ -382,7 +382,7 @@ def _element_rows(sample: int):
 def _able(sets: DataFrame, sample: int, num: int, den: int) -> DataFrame:
     """Sets that can link with another one of ``sets``: size n, and the number
     u of their elements, of ``sample`` of 8 parts, that no other set has."""
-    own = (sets.mapInArrow(_element_rows(sample), "element long, node long")
+    own = (sets.mapInArrow(lean(_element_rows(sample)), "element long, node long")
            .groupBy("element").agg(F.min("node").alias("node"), F.max("node").alias("other"))
            .where("node = other").groupBy("node").agg(F.count("*").alias("u")))
     sizes = sets.select("node", (F.length("elements") / 8).cast("long").alias("n")).distinct()
@@ -475,11 +475,11 @@ def _reachable(rows: DataFrame, tested: DataFrame, num: int, den: int) -> DataFr
 def _prepared(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str):
     """Every document's set key, the sets that can link, and their signatures with hubs."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = source.select("text").mapInArrow(_signature_rows(n, num, den), "sig long, node long")
+    rows = source.select("text").mapInArrow(lean(_signature_rows(n, num, den)), "sig long, node long")
     shared = written(rows.repartition("sig").sortWithinPartitions("sig", "node")
-                     .mapInArrow(_shared, "sig long, node long"), "shared")
+                     .mapInArrow(lean(_shared), "sig long, node long"), "shared")
     bits = _bitmap(_levels(shared), 2)
-    keyed = written(source.mapInArrow(_set_rows(n, bits, num, den), "doc_id long, n_shingles long, node long, "
+    keyed = written(source.mapInArrow(lean(_set_rows(n, bits, num, den)), "doc_id long, n_shingles long, node long, "
                                       "key2 long, elements binary"), "sets")
     sets = keyed.where("elements is not null").select("node", "elements")
 

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaystats.llm.common import hash_sample, held_out, written
+from delaystats.llm.common import hash_sample, held_out, lean, written
 
 POSITIVES = 2500        # confirmed toxic texts in the fit, at most
 UNLABELLED = 5000       # unlabelled texts in the fit, at most
@@ -157,7 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def lists(chosen):      # at most POSITIVES or UNLABELLED ids, so the broadcast is bounded
         rows = texts.join(F.broadcast(chosen), "doc_id", "left_semi").select("text")
-        return written(rows.mapInArrow(_word_lists, "words array<string>"), "words")
+        return written(rows.mapInArrow(lean(_word_lists), "words array<string>"), "words")
 
     p_lists, u_lists = lists(chosen_p), lists(chosen_u)
     common = (p_lists.select(F.explode("words").alias("word")).groupBy("word").count()
@@ -196,4 +196,4 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.7, text_col:
         for batch in batches:
             keep = [model.score(t) < threshold for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
-    return docs.mapInArrow(fn, schema)
+    return docs.mapInArrow(lean(fn), schema)

@@ -138,3 +138,35 @@ def test_levels_of_shared_signatures(spark, monkeypatch):
     bits = ngram_join._bitmap(ngram_join._levels(shared), 2)
     levels = [bits[at >> 2] >> (at & 3) * 2 & 3 for at in range(128)]
     assert {at: x for at, x in enumerate(levels) if x} == {3: 1, 126: 2, 64: 3}
+
+
+def test_pipeline_stages_get_small_batches(spark, monkeypatch, tmp_path):
+    import corpus_pipeline
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch({"n": pa.array([batch.num_rows], pa.int64())})
+
+    spark.range(0, 60, 1, 1).selectExpr("repeat(cast(id % 10 as string), 500000) x").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("sizes", lambda spark, docs, sf: docs.mapInArrow(sizes, "n long"))])
+    got = [r.n for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    assert sum(got) == 60 and max(got) <= 12
+
+
+def test_a_pass_gives_back_what_it_took():
+    import psutil
+
+    me = psutil.Process()
+    held = []
+
+    def hungry(batches):
+        kept = {i: str(i) * 20 for i in range(600_000)}
+        held.append(me.memory_info().rss)
+        yield from batches
+        held.append(len(kept))
+
+    batch = pa.record_batch({"x": pa.array([1])})
+    before = me.memory_info().rss
+    assert list(common.lean(hungry)(iter([batch]))) == [batch]
+    took = held[0] - before
+    assert took > 50 << 20 and me.memory_info().rss - before < took / 3
