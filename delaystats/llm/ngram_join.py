@@ -483,8 +483,10 @@ def _prepared(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col
                                       "key2 long, elements binary"), "sets")
     sets = keyed.where("elements is not null").select("node", "elements")
 
-    rows = written(_with_hubs(_with_own_elements(shared, sets, num, den)), "rows")
+    linkable = written(_with_own_elements(shared, sets, num, den), "linkable")     # the counts' shuffles go first
     forget(shared)
+    rows = written(_with_hubs(linkable), "rows")
+    forget(linkable)
     left = _bitmap(rows.select("node").distinct())
     sets = written(sets.mapInArrow(_kept_sets(left), "node long, elements binary"), "alive")
     keys = written(keyed.drop("elements"), "keys")
