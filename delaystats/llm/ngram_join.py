@@ -40,9 +40,13 @@ bit map of fixed size):
 5. For sets x, y with distances a, b from a common hub and ux, uy elements of
    their own, |x ^ y| >= a + b - 2 min(a - ux, b - uy).  Sets that no other
    one of the group can reach by this bound leave it (per-group minima, no
-   pairs); what is left of different components is paired under the bound,
-   each pair once, and tested.  So no pair of different texts stays untested
-   unless the bound rules it out or it is already connected.
+   pairs); what is left of different components is paired under the bound
+   and under that of their sketches (the parities of the elements in each of
+   SKETCH_BITS cells: every element of only one set flips one, so two sets
+   differ in as many elements, at least, as their sketches do in bits), each
+   pair once, and tested.  So no pair of different texts stays untested
+   unless a bound rules it out or it is already connected.  Sets that share a
+   passage by chance are many pairs, and only their sketches are moved.
 
 Equal sets are one class and are never paired with each other.
 """
@@ -56,7 +60,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaystats.llm.common import forget, free_names, lean, written
@@ -66,6 +70,7 @@ STAR_PIECE = 2000              # members of one hub tested in one group
 SEEN_SETS = 200_000            # equal sets remembered per task
 BATCH_ROWS = 200_000           # signatures that go to Spark at a time
 LEVELS = (1, 2, 4)             # shared signatures that the map of G tells apart
+SKETCH_BITS = 1 << 11          # sets of up to 2 500 elements or so are told apart by it
 
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                              0xD6E8FEB86659FD93)]
@@ -365,6 +370,27 @@ def _kept_sets(bits: bytes):
     return fn
 
 
+def _sketch(s: np.ndarray) -> np.ndarray:
+    """The parity of the number of elements in each of SKETCH_BITS cells, as signed longs."""
+    cell = _mix(s * _C[3]) & np.uint64(SKETCH_BITS - 1)
+    odd = np.bincount(cell.astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        flat = [_sketch(np.frombuffer(x, np.uint64)) for x in batch.column(1).to_pylist()]
+        ends = np.arange(len(flat) + 1) * (SKETCH_BITS // 64)
+        yield pa.record_batch({"node": batch.column(0), "sketch": pa.ListArray.from_arrays(
+            pa.array(ends, pa.int32()), pa.array(np.concatenate(flat or [np.empty(0, np.int64)])))})
+
+
+def _differ(x: str, y: str) -> Column:
+    """The number of bits that two sketches differ in."""
+    bits = F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    return F.aggregate(bits, F.lit(0), lambda n, b: n + b)
+
+
 def _element_rows(sample: int):
     """(element, node) of the elements whose hash falls in ``sample`` of 8 parts."""
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -441,10 +467,11 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _reachable(rows: DataFrame, tested: DataFrame, num: int, den: int) -> DataFrame:
-    """Untested pairs of different components that the hub bound allows: with
-    p = (num+den)(2u - a) - (den-num) n and q = (num+den) a - (den-num) n, a
-    pair x, y can link only if p(x) + q(y) <= 0 and p(y) + q(x) <= 0."""
+def _reachable(rows: DataFrame, tested: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Untested pairs of different components that the bounds of hubs and
+    sketches allow: with p = (num+den)(2u - a) - (den-num) n and
+    q = (num+den) a - (den-num) n, a pair x, y can link only if
+    p(x) + q(y) <= 0 and p(y) + q(x) <= 0."""
     step = den - num
     rows = (rows.where("hub != node")
             .join(tested.select(F.col("a").alias("hub"), F.col("b").alias("node"), "dist"), ["hub", "node"])
@@ -455,18 +482,22 @@ def _reachable(rows: DataFrame, tested: DataFrame, num: int, den: int) -> DataFr
                                         F.min("comp").alias("lo"), F.max("comp").alias("hi"))
         rows = (rows.join(least.where("lo != hi").drop("lo", "hi"), "sig")
                 .where("least_p + q <= 0 and p + least_q <= 0").drop("least_p", "least_q"))
-    rows = written(rows.select("sig", "node", "comp", "p", "q"), "reachable")
+    rows = written(rows.select("sig", "node", "n", "comp", "p", "q"), "reachable")
     groups = (rows.groupBy("sig").agg(F.count("*").alias("m"), F.sum(F.xxhash64("node").cast("decimal(38,0)"))
                                       .alias("members"))
               .groupBy("m", "members").agg(F.min("sig").alias("sig")).select("sig"))
     rows = rows.join(groups, "sig")
     # a pair is made by the smallest of its common signatures only
-    rows = rows.join(rows.groupBy("node").agg(F.collect_list("sig").alias("sigs")), "node")
-    x = rows.select("sig", *[F.col(c).alias(f"x_{c}") for c in ("node", "comp", "p", "q", "sigs")])
-    y = rows.select("sig", *[F.col(c).alias(f"y_{c}") for c in ("node", "comp", "p", "q", "sigs")])
+    own = rows.groupBy("node").agg(F.collect_list("sig").alias("sigs"))
+    sketches = sets.mapInArrow(_sketch_rows, "node long, sketch array<long>")
+    rows = rows.join(own.join(sketches, "node"), "node")
+    columns = ("node", "n", "comp", "p", "q", "sigs", "sketch")
+    x = rows.select("sig", *[F.col(c).alias(f"x_{c}") for c in columns])
+    y = rows.select("sig", *[F.col(c).alias(f"y_{c}") for c in columns])
     return (x.join(y, "sig")
-            .where("x_node < y_node and x_comp != y_comp and x_p + y_q <= 0 and y_p + x_q <= 0 "
-                   "and array_min(array_intersect(x_sigs, y_sigs)) = sig")
+            .where(F.expr("x_node < y_node and x_comp != y_comp and x_p + y_q <= 0 and y_p + x_q <= 0")
+                   & ((num + den) * _differ("x_sketch", "y_sketch") <= step * (F.col("x_n") + F.col("y_n")))
+                   & F.expr("array_min(array_intersect(x_sigs, y_sigs)) = sig"))
             .select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct()
             .join(tested.select("a", "b"), ["a", "b"], "left_anti")
             .join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
@@ -502,13 +533,13 @@ def ngram_links(docs: DataFrame, n: int = 4, similarity: tuple[int, int] = (85,
 
     Unlike the components, no pair is left out for being connected already:
     every set is tested against all hubs of its signatures, and every other
-    pair with a common signature that the hub bound allows.
+    pair with a common signature that the bounds allow.
     """
     num, den = similarity
     keyed, sets, rows = _prepared(docs, n, num, den, id_col, text_col)
     pairs = rows.where("hub != node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     star = written(_verify(written(pairs, "pairs"), sets, num, den), "tested")
-    pairs = _reachable(rows.withColumn("comp", F.col("node")), star, num, den)
+    pairs = _reachable(rows.withColumn("comp", F.col("node")), star, sets, num, den)
     more = _verify(written(pairs, "pairs"), sets, num, den)
     links = (star.unionAll(more).where("link")
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
@@ -546,7 +577,7 @@ def ngram_components(docs: DataFrame, n: int = 4, similarity: tuple[int, int] =
     star = written(star.unionAll(_verify(written(pairs, "pairs"), sets, num, den)), "tested")
     labels = components(star.where("link"))
 
-    pairs = _reachable(_open(rest, labels), star, num, den)
+    pairs = _reachable(_open(rest, labels), star, sets, num, den)
     more = written(_verify(written(pairs, "pairs"), sets, num, den), "tested")
     labels = components(star.unionAll(more).where("link"))
     classes = (keyed.groupBy("n_shingles", "node", "key2").agg(F.min("doc_id").alias("first"))

@@ -170,3 +170,26 @@ def test_a_pass_gives_back_what_it_took():
     assert list(common.lean(hungry)(iter([batch]))) == [batch]
     took = held[0] - before
     assert took > 50 << 20 and me.memory_info().rss - before < took / 3
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_elements():
+    r = np.random.default_rng(6)
+    for size in (0, 1, 40, 700, 5000):
+        x = r.integers(0, 1 << 63, size).astype(np.uint64)
+        for lost in {0, size // 9, size}:
+            y = np.append(x[lost:], r.integers(0, 1 << 63, lost).astype(np.uint64))
+            both = [np.unpackbits(ngram_join._sketch(s).view(np.uint8)).astype(int) for s in (x, y)]
+            assert np.abs(both[0] - both[1]).sum() <= 2 * lost
+
+
+def test_sets_that_meet_by_chance_are_not_paired(spark):
+    r = np.random.default_rng(7)
+    sets = {i: np.unique(r.integers(0, 1 << 63, 300).astype(np.uint64)) for i in range(30)}
+    sets[30] = np.unique(np.append(sets[1][5:], sets[2][:5]))     # near to 1, not to the hub 0
+    dist = {i: len(np.setxor1d(sets[0], s)) for i, s in sets.items()}
+    rows = spark.createDataFrame([(s, i, len(sets[i]), 0, 0, i) for i in sets for s in (7, 8)],
+                                 "sig long, node long, n long, u long, hub long, comp long")
+    tested = spark.createDataFrame([(0, i, d, False) for i, d in dist.items() if i],
+                                   "a long, b long, dist long, link boolean")
+    kept = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in sets.items()], "node long, elements binary")
+    assert [tuple(x) for x in ngram_join._reachable(rows, tested, kept, 85, 100).collect()] == [(1, 30)]
