@@ -45,6 +45,8 @@ TASK_WORDS = 300_000        # words of earlier blocks that a task knows, before
 BATCH_TEXTS = 500           # texts taken from a batch at a time
 _CUT = re.compile(r" (?=\S)")
 _SPACES = re.compile(r" (?:\s|\Z)")
+_MARKS = re.compile("[.,](?<![0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff][.,])")
+_LINES = re.compile(r"\n(?<=\s\n)")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -175,10 +177,15 @@ class ByteBpe:
 
 
 def marked(text: str) -> str:
-    """The text, which has no NUL, with a NUL before every single space that a
-    non-space follows: a word never spans such a place, and few different
-    chunks between them make up many texts."""
-    return _CUT.sub("\0 ", text) if _SPACES.search(text) else text.replace(" ", "\0 ")
+    """The text, which has no NUL, with a NUL at places that a word never spans,
+    so that few different chunks between them make up many texts: before every
+    single space that a non-space follows, and, where that holds for all of the
+    text, before full stops and commas after a letter or digit and before line
+    ends after a non-space."""
+    out = _CUT.sub("\0 ", text) if _SPACES.search(text) else text.replace(" ", "\0 ")
+    if not _MARKS.search(text):
+        out = out.replace(".", "\0.").replace(",", "\0,")
+    return out if _LINES.search(text) else out.replace("\n", "\0\n")
 
 
 def _chunks(text: str) -> list[str]:

@@ -15,7 +15,9 @@ that Spark reads can hold; parts ascend by document id, blocks within parts.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -27,11 +29,16 @@ from pyspark.sql import functions as F
 
 from delaystats.llm.byte_bpe import _chunks, marked
 from delaystats.llm.common import worker_cache, written
+from delaystats.llm.verified_bpe import byte_letters
 
 BLOCK_IDS = 1 << 16         # ids after which a block is closed
 CACHED_CHUNKS = 800_000     # encoded text chunks a worker keeps
 CACHED_LENGTH = 200         # characters of a chunk that is kept, at most
+LIBRARY_CHUNKS = 2000       # chunks the library encodes at a time: its results are large
 PIECE_CHARS = 4_000_000     # characters of text encoded at a time (a longer text is a piece)
+#: A chunk that is one word, and the letter that stands for each byte.
+_WORD = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+_LETTERS = {b: c for c, b in byte_letters().items()}
 #: Selector -> (values per word, bits per value).
 SELECTORS = ((240, 0), (1, 32), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8),
              (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
@@ -113,11 +120,26 @@ def unpack(words: np.ndarray) -> np.ndarray:
     return out
 
 
+def _of_words(tokenizer_json: str):
+    """The library for single words in the letters of a byte-level vocabulary:
+    the same model without the steps before it.  None where these steps are other
+    than a byte-level split, or an added token could lie in a word."""
+    from tokenizers import Tokenizer
+
+    spec = json.loads(tokenizer_json)
+    split = spec["pre_tokenizer"] or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    if not plain or spec["normalizer"] or any(_WORD(x["content"]) for x in spec["added_tokens"]):
+        return None
+    return Tokenizer.from_str(json.dumps(spec | {"pre_tokenizer": None, "added_tokens": []}))
+
+
 def _encoder(tokenizer_json: str, special_as_text: bool = False):
     """text -> little-endian uint32 ids.  Some PIECE_CHARS of text at a time are
     cut into chunks (see ``_chunks``), numbered by Arrow, and the ids of the
     different ones put where they occur.  A worker keeps the ids of the chunks
-    that it met last, so that the library encodes few of them again.  A text that
+    that it met last, so that the library encodes few of them again; chunks that
+    are one word go to its model without being split again.  A text that
     holds an added token goes to the library whole, since the library cuts there
     first.  Spark runs a task per core, so the library's own threads stay off."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -129,23 +151,32 @@ def _encoder(tokenizer_json: str, special_as_text: bool = False):
         t.encode_special_tokens = special_as_text
         added = [x.content for x in t.get_added_tokens_decoder().values()]
         library[tokenizer_json, special_as_text] = t, added, [{}, {}]
+        worker_cache("tokenizers_of_words")[tokenizer_json] = _of_words(tokenizer_json)
     t, added, met = library[tokenizer_json, special_as_text]
+    of_words = worker_cache("tokenizers_of_words")[tokenizer_json]
+
+    def coded(of: Tokenizer, chunks: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(chunks), LIBRARY_CHUNKS):
+            ids = [e.ids for e in of.encode_batch_fast(chunks[at:at + LIBRARY_CHUNKS], add_special_tokens=False)]
+            ends = np.cumsum([4 * len(x) for x in ids]).tolist()
+            raw = np.fromiter(chain.from_iterable(ids), "<u4", ends[-1] // 4).tobytes()
+            yield from [raw[a:b] for a, b in zip([0, *ends], ends)]
 
     def ids_of(chunks: list[str]) -> list[bytes]:
         now, before = met
         got = list(map(now.get, chunks))
         unknown = [i for i, x in enumerate(got) if x is None]
-        missing = []
+        missing, words = [], []
         for i in unknown:
             got[i] = x = before.get(chunks[i])
             if x is None:
-                missing.append(i)
-        if missing:
-            ids = [e.ids for e in t.encode_batch_fast([chunks[i] for i in missing], add_special_tokens=False)]
-            ends = np.cumsum([4 * len(x) for x in ids]).tolist()
-            raw = np.fromiter(chain.from_iterable(ids), "<u4", ends[-1] // 4).tobytes()
-            for i, start, end in zip(missing, [0, *ends], ends):
-                got[i] = raw[start:end]
+                (words if of_words and _WORD(chunks[i]) else missing).append(i)
+        if words:
+            letters = "\n".join([chunks[i] for i in words]).encode().decode("latin-1").translate(_LETTERS)
+            for i, x in zip(words, coded(of_words, letters.split(_LETTERS[10]))):
+                got[i] = x
+        for i, x in zip(missing, coded(t, [chunks[i] for i in missing])):
+            got[i] = x
         now.update((chunks[i], got[i]) for i in unknown if len(chunks[i]) <= CACHED_LENGTH)
         if len(now) > CACHED_CHUNKS // 2:
             met[:] = {}, now

@@ -1,12 +1,13 @@
 """What goes to workers and to the driver stays small, with the same results."""
 
+import json
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from delaystats.llm import byte_bpe, common, ngram_join, token_ids, toxicity
+from delaystats.llm import byte_bpe, common, ngram_join, queries, token_ids, toxicity
 
 
 def test_written_tables_send_small_batches_to_python(spark):
@@ -193,3 +194,31 @@ def test_sets_that_meet_by_chance_are_not_paired(spark):
                                    "a long, b long, dist long, link boolean")
     kept = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in sets.items()], "node long, elements binary")
     assert [tuple(x) for x in ngram_join._reachable(rows, tested, kept, 85, 100).collect()] == [(1, 30)]
+
+CUT = ["One, two.\nThree.  Four 3.14, 1,000.", "a.b,c\nd", "..., ok.\n\nNext .5 , x", "it's, we'll. \n x\t\n y\n",
+       "\nfirst\n", ".", ",", "\n", "x\x1c\ny", "x\u3000\ny", "e\u0301. z\u0301, \u4e00. \u0661,", "ab_. cd', ef\r\ngh",
+       "\u00fcber, stra\u00dfe.\n\u00c9t\u00e9 na\u00efve\u00d7, \u00f7."]
+
+
+def test_finer_cuts_cut_no_word():
+    import public_tokenizers
+    import regex
+    split = regex.compile(public_tokenizers.PATTERN).findall
+    assert byte_bpe._chunks(CUT[1]) == ["a", ".b", ",c", "\nd"]
+    assert byte_bpe._chunks("ab, cd.\nEf") == ["ab", ",", " cd", ".", "\nEf"]
+    for text in CUT:
+        assert [w for c in byte_bpe._chunks(text) for w in split(c)] == split(text), text
+
+
+def test_single_words_are_encoded_as_in_texts():
+    from tokenizers import Tokenizer
+    with open(queries.tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = f.read()
+    assert token_ids._of_words(spec) is not None
+    texts = [*CUT, *(c for x in CUT for c in byte_bpe._chunks(x)), "endoftext <|endoftext|> endoftext"]
+    want = [np.array(Tokenizer.from_str(spec).encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    common.worker_cache("tokenizers").clear()
+    assert list(token_ids._encoder(spec)(texts)) == want
+    named = json.loads(spec)
+    named["added_tokens"].append(named["added_tokens"][0] | {"content": "over", "id": 60000})
+    assert token_ids._of_words(json.dumps(named)) is None
