@@ -58,7 +58,6 @@ def pack(values: np.ndarray) -> np.ndarray:
         bits = np.where(high, np.frexp(high.astype(np.float64))[1] + 32, bits).astype(np.uint8)
     most = int(bits.max())
     choice = np.full(n, ESCAPE, np.int8)
-    wider = np.zeros(n + 1, np.int32)               # values before each place that need more bits
     for s in range(len(SELECTORS) - 1, -1, -1):     # few values per word first, the best one wins
         count, width = SELECTORS[s]
         if s == ESCAPE or count > n:
@@ -66,8 +65,9 @@ def pack(values: np.ndarray) -> np.ndarray:
         if width >= most:
             choice[:n - count + 1] = s
             continue
-        np.cumsum(bits > width, out=wider[1:])
-        choice[:n - count + 1][wider[count:] == wider[:n - count + 1]] = s
+        at = np.flatnonzero(bits <= width)          # runs of values that fit
+        first = at[:max(0, len(at) - count + 1)]
+        choice[first[at[count - 1:] - first == count - 1]] = s
     counts = np.array([c for c, _ in SELECTORS])
     step = counts[choice].tolist()
     starts, i = [], 0
@@ -90,9 +90,11 @@ def pack(values: np.ndarray) -> np.ndarray:
         elif width == 0:
             out[place[which]] = head
         else:
-            lanes = np.arange(count)
-            x = v[at[which][:, None] + lanes] << (lanes * width).astype(np.uint64)
-            out[place[which]] = head | np.bitwise_or.reduce(x, axis=1)
+            first = at[which]
+            word = np.full(len(which), head)
+            for lane in range(count):
+                word |= v[first + lane] << np.uint64(lane * width)
+            out[place[which]] = word
     return out
 
 
@@ -166,18 +168,20 @@ def _encoder(tokenizer_json: str, special_as_text: bool = False):
         now, before = met
         got = list(map(now.get, chunks))
         unknown = [i for i, x in enumerate(got) if x is None]
-        missing, words = [], []
-        for i in unknown:
-            got[i] = x = before.get(chunks[i])
-            if x is None:
-                (words if of_words and _WORD(chunks[i]) else missing).append(i)
+        new = [chunks[i] for i in unknown]
+        ids = list(map(before.get, new))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        words = [i for i in missing if _WORD(new[i])] if of_words else []
         if words:
-            letters = "\n".join([chunks[i] for i in words]).encode().decode("latin-1").translate(_LETTERS)
+            letters = "\n".join([new[i] for i in words]).encode().decode("latin-1").translate(_LETTERS)
             for i, x in zip(words, coded(of_words, letters.split(_LETTERS[10]))):
-                got[i] = x
-        for i, x in zip(missing, coded(t, [chunks[i] for i in missing])):
+                ids[i] = x
+            missing = [i for i in missing if ids[i] is None]
+        for i, x in zip(missing, coded(t, [new[i] for i in missing])):
+            ids[i] = x
+        for i, x in zip(unknown, ids):
             got[i] = x
-        now.update((chunks[i], got[i]) for i in unknown if len(chunks[i]) <= CACHED_LENGTH)
+        now.update((c, x) for c, x in zip(new, ids) if len(c) <= CACHED_LENGTH)
         if len(now) > CACHED_CHUNKS // 2:
             met[:] = {}, now
         return got
