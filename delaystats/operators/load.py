@@ -10,13 +10,14 @@ a load that was killed goes on with the groups the ledger does not have.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaystats.operators.ingest import REASON, classify, year_fanout
-from delaystats.operators.ordered import ordinal_within
+from delaystats.operators.ordered import ordinal_within, parts_at
 from delaystats.operators.upsert import upsert
 from delaystats.schema import FANOUT_YEARS, LOAD_BATCH_ROWS, KeyedLayout
 from delaystats.sources.layout import write_partitioned
@@ -26,6 +27,7 @@ LOADED, REJECTED = "loaded", "rejected"
 RAW = "rejected_row"
 GROUP = "load_group"
 STEP = "load_step"
+GROUP_ROWS = "load_group_rows"
 
 
 def both_outcomes(raw: DataFrame, variant: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -104,10 +106,12 @@ def load_groups(raw: DataFrame, path: str, seq: Sequence[str], variant: str = "f
                 group_rows: int = LOAD_BATCH_ROWS, steps: int = 8, stop_after: int | None = None) -> DataFrame:
     """Load ``raw`` in groups of ``group_rows`` rows by the total order ``seq``.
 
-    * Groups are numbered by a distributed prefix sum and staged once, in
-      ``steps`` steps of consecutive groups.
-    * A step converts its groups, writes each as a directory, loaded and
-      rejected rows apart, and then adds them with their counts to the ledger.
+    * Rows are staged once, in ``steps`` steps of consecutive groups, by the
+      tasks that read them: only keys are shuffled to find where steps begin.
+    * A step numbers its groups by a distributed prefix sum, converts them,
+      writes each as a directory, loaded and rejected rows apart, and then adds
+      them with their counts to the ledger.  Its rows are shuffled once, and the
+      next step begins when its shuffle files are gone.
     * Called again after a failure, it takes the staged rows as they are and
       does only the steps the ledger does not have; directories a dead run left
       behind are replaced.
@@ -117,24 +121,25 @@ def load_groups(raw: DataFrame, path: str, seq: Sequence[str], variant: str = "f
     """
     spark = raw.sparkSession
     if not _exists(spark, f"{path}/staged/_SUCCESS"):
-        number = F.floor((F.col("_place") - 1) / group_rows)
-        placed = ordinal_within(raw, [], seq, name="_place").withColumn(GROUP, number.cast("long"))
-        groups = -(-raw.count() // group_rows)
-        each = max(1, -(-groups // steps))
-        staged = placed.drop("_place").withColumn(STEP, F.floor(F.col(GROUP) / each).cast("int"))
-        write_partitioned(staged, f"{path}/staged", partition_by=(STEP,), cluster_by=(GROUP,), mode="overwrite")
+        rows = raw.count()
+        each = max(1, -(-rows // (group_rows * steps))) * group_rows
+        staged = parts_at(raw, seq, range(each + 1, rows + 1, each), name=STEP).withColumn(GROUP_ROWS, F.lit(group_rows))
+        write_partitioned(staged, f"{path}/staged", partition_by=(STEP,), cluster_by=tuple(seq), mode="overwrite",
+                          dealt=True)
     staged_rows = spark.read.parquet(f"{path}/staged")
+    sizes = sorted(tuple(r) for r in staged_rows.groupBy(STEP, GROUP_ROWS).count().collect())
+    firsts = dict(zip([s[0] for s in sizes], accumulate((s[2] for s in sizes), initial=0)))    # rows before a step
     done = set()
     if _exists(spark, f"{path}/ledger"):
         done = {r[STEP] for r in spark.read.schema(f"{STEP} int").parquet(f"{path}/ledger").distinct().collect()}
-    todo = sorted({r[STEP] for r in staged_rows.select(STEP).distinct().collect()} - done)
-    for step in todo[:stop_after]:
-        rows = staged_rows.where(F.col(STEP) == step).drop(STEP)
-        write_partitioned(both_outcomes(rows, variant, keep=[GROUP]), f"{path}/groups", partition_by=(GROUP, STATUS),
-                          cluster_by=tuple(seq), mode="overwrite", dynamic=True)
-        low, high = rows.agg(F.min(GROUP), F.max(GROUP)).first()
+    for step, size, n in [s for s in sizes if s[0] not in done][:stop_after]:
+        rows = staged_rows.where(F.col(STEP) == step).drop(STEP, GROUP_ROWS)
+        number = F.floor((F.col("_place") + firsts[step] - 1) / size)
+        placed = ordinal_within(rows, [], seq, name="_place").withColumn(GROUP, number.cast("long")).drop("_place")
+        write_partitioned(both_outcomes(placed, variant, keep=[GROUP]), f"{path}/groups", partition_by=(GROUP, STATUS),
+                          cluster_by=tuple(seq), mode="overwrite", dynamic=True, dealt=True)
         written = spark.read.schema(f"{GROUP} long, {STATUS} string").parquet(f"{path}/groups").where(
-            F.col(GROUP).between(low, high))
+            F.col(GROUP).between(firsts[step] // size, (firsts[step] + n - 1) // size))
         counts = written.groupBy(GROUP).agg(
             F.count_if(F.col(STATUS) == LOADED).alias(LOADED), F.count_if(F.col(STATUS) == REJECTED).alias(REJECTED))
         counts.withColumn(STEP, F.lit(step)).coalesce(1).write.mode("append").parquet(f"{path}/ledger")

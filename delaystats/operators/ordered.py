@@ -24,13 +24,14 @@ The order must be total inside a scope; equal sort keys share a chunk.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from delaystats.session import scratch_path
+from delaystats.session import scratch_path, write_settings
 
 CHUNK = "_chunk"
 BEFORE = "_before"
@@ -70,6 +71,12 @@ def in_chunks(df: DataFrame, within: Sequence[str], order: Sequence[str], chunks
     points = split_points(df, within, key, chunks)
     if points is None:
         return None
+    return _found(df, key, points).drop("_points")
+
+
+def _found(df: DataFrame, key: Sequence[str], points: DataFrame) -> DataFrame:
+    """``df`` with the number of ``points`` at or before the key of each row in
+    ``_chunk``, and the points themselves in ``_points``."""
     steps = [1 << b for b in reversed(range(points.select(F.size("points")).first()[0].bit_length()))]
     at = F.col("_points")
 
@@ -78,7 +85,7 @@ def in_chunks(df: DataFrame, within: Sequence[str], order: Sequence[str], chunks
             "if", (step > 0) & (F.get(at, low + step - 1) <= own), low + step, low))
 
     chunk = F.transform(F.array(F.struct(*key)), search)[0]     # the key is put together once a row
-    return df.withColumn("_points", points.scalar()).withColumn(CHUNK, chunk).drop("_points")
+    return df.withColumn("_points", points.scalar()).withColumn(CHUNK, chunk)
 
 
 def _materialize(df: DataFrame, what: str) -> DataFrame:
@@ -195,3 +202,44 @@ def ordinal_within(df: DataFrame, within: Sequence[str], order: Sequence[str],
     first = F.first(BEFORE).over(w.rowsBetween(Window.unboundedPreceding, 0))
     both = both.withColumn(name, (first + F.row_number().over(w) - 1).cast("bigint"))
     return both.where(F.col(BEFORE).isNull()).select(*cols, name)
+
+
+def parts_at(df: DataFrame, order: Sequence[str], starts: Sequence[int], name: str = "part") -> DataFrame:
+    """Add ``name``: how many of ``starts`` (ascending places, from 1 on, in the
+    total order of all rows) are at or before the place of each row.
+
+    Only the key columns are sorted and shuffled, to find the keys at ``starts``;
+    the rows stay in the tasks that read them.  Rows whose equal keys fall into
+    several parts are numbered apart.  ``df`` must give the same rows each time
+    it is evaluated.
+    """
+    key, cols = list(order), list(df.columns)
+    if not starts:
+        return df.withColumn(name, F.lit(0))
+    placed = ordinal_within(df.select(*key), [], key, name="_place").where(F.col("_place").isin(list(starts)))
+    with write_settings(df.sparkSession):
+        points = _materialize(placed.agg(
+            F.array_distinct(F.sort_array(F.collect_list(F.struct(*key)))).alias("points")), "starts")
+    rows = _found(df, key, points)
+    at_point = F.coalesce(F.get("_points", F.col(CHUNK) - 1) == F.struct(*key), F.lit(False))
+    rows = rows.withColumn("_same", at_point).drop("_points")
+    sizes = {(r[CHUNK], r["_same"]): r["count"] for r in rows.groupBy(CHUNK, "_same").count().collect()}
+    place, parts, tied = 1, {}, {}
+    for at in sorted(sizes, key=lambda at: (at[0], not at[1])):     # the rows at a point come before those after it
+        parts[at] = bisect_right(starts, place)
+        if bisect_right(starts, place + sizes[at] - 1) != parts[at]:
+            tied[at[0]] = place                                     # only equal keys can
+        place += sizes[at]
+
+    def told(of: dict) -> Column:
+        return F.get(F.array(*[F.lit(of.get(i)) for i in range(max(c for c, _ in sizes) + 1)]), F.col(CHUNK))
+
+    known = F.when(F.col("_same"), told({c: p for (c, same), p in parts.items() if same})).otherwise(
+        told({c: p for (c, same), p in parts.items() if not same}))
+    tie = F.col("_same") & F.col(CHUNK).isin(list(tied))
+    plain = (rows.where(~tie) if tied else rows).withColumn(name, known.cast("int")).select(*cols, name)
+    if not tied:
+        return plain
+    own = told(tied) + F.row_number().over(Window.partitionBy(CHUNK).orderBy(*key)) - 1
+    part = F.size(F.filter(F.array(*map(F.lit, starts)), lambda s: s <= F.col("_place")))
+    return plain.unionByName(rows.where(tie).withColumn("_place", own).withColumn(name, part).select(*cols, name))

@@ -71,9 +71,11 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 #: What a job that writes wide rows runs with: generated methods that the JIT
-#: compiles (see ``build_session``), and splits whose rows, some twenty times as
-#: big unpacked as in a Parquet file, a task can sort in memory.
+#: compiles (see ``build_session``), splits whose rows, some twenty times as
+#: big unpacked as in a Parquet file, a task can sort in memory, and shuffle
+#: files that go when the write ends, not when the driver collects its garbage.
 METHOD_BYTES = 8000
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPLIT_BYTES = 16 << 20
 _WRITES: dict[tuple, list] = {}
 _WRITES_LOCK = threading.Lock()
@@ -82,7 +84,7 @@ _WRITES_LOCK = threading.Lock()
 @contextmanager
 def write_settings(spark: SparkSession, split: bool = True) -> Iterator[None]:
     """The settings above while a write runs."""
-    wanted = {"spark.sql.codegen.hugeMethodLimit": METHOD_BYTES}
+    wanted = {"spark.sql.codegen.hugeMethodLimit": METHOD_BYTES, FREE_SHUFFLES: "true"}
     if split:
         wanted["spark.sql.files.maxPartitionBytes"] = SPLIT_BYTES
     with lowered(spark, wanted):
@@ -90,9 +92,10 @@ def write_settings(spark: SparkSession, split: bool = True) -> Iterator[None]:
 
 
 @contextmanager
-def lowered(spark: SparkSession, wanted: dict[str, int]) -> Iterator[None]:
-    """Settings of sizes, or lower ones that the session has, for a while; the
-    session has its own again after the last of nested or simultaneous uses."""
+def lowered(spark: SparkSession, wanted: dict[str, int | str]) -> Iterator[None]:
+    """Settings of sizes, or lower ones that the session has, and any others as
+    texts, for a while; the session has its own again after the last of nested
+    or simultaneous uses."""
     size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
     held = [(spark._jsparkSession.sessionUUID(), name) for name in wanted]
     with _WRITES_LOCK:
@@ -100,7 +103,7 @@ def lowered(spark: SparkSession, wanted: dict[str, int]) -> Iterator[None]:
             name = at[1]
             if at not in _WRITES:
                 _WRITES[at] = [0, spark.conf.get(name), name in spark.conf.getAll]
-                if int(size(_WRITES[at][1])) > wanted[name]:
+                if isinstance(wanted[name], str) or int(size(_WRITES[at][1])) > wanted[name]:
                     spark.conf.set(name, str(wanted[name]))
             _WRITES[at][0] += 1
     try:

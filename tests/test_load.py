@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from delaystats.operators import ingest, load, measures, topk, upsert
+from delaystats.operators import ingest, load, measures, ordered, topk, upsert
 from delaystats.plans.explain import plan_text
 from delaystats.schema import COLUMNS, KeyedLayout, all_string_schema
 from delaystats.sources import csv as csv_source
@@ -203,3 +203,30 @@ def test_cut_files_hold_the_latest_rows(spark, tmpdir_path, monkeypatch):
     want = upsert.upsert(rows, table.primary_key, ["seq"])
     assert sorted(map(tuple, got.select(rows.columns).collect())) == sorted(map(tuple, want.collect()))
     assert len(glob.glob(f"{path}/**/*.parquet", recursive=True)) >= 18
+
+
+def shuffle_bytes(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    at = [files.apply(i) for i in range(files.size())]
+    return sum(f.length() for f in at if f.getName().startswith("shuffle_") and f.getName().endswith(".data"))
+
+
+def test_writes_leave_no_shuffle_files(spark, tmpdir_path):
+    rows = spark.range(100_000).selectExpr("cast(id % 3 as int) year", "1 month", "cast(id as string) k")
+    before = shuffle_bytes(spark)
+    layout.write_partitioned(rows, os.path.join(tmpdir_path, "w"), cluster_by=("k",))
+    assert shuffle_bytes(spark) - before < 50_000       # it wrote more than 400 000
+
+
+@pytest.mark.parametrize("same", [1, 7, 700])
+def test_groups_have_their_size_where_keys_repeat(spark, tmpdir_path, same):
+    raw, path = raw_rows(spark, 1050), os.path.join(tmpdir_path, "t")
+    raw = raw.withColumn("id", F.col("seq")).withColumn("seq", F.when(F.col("id") >= 30, F.floor((F.col("id") - 30) / same)))
+    ledger = load.load_groups(raw, path, ["seq"], group_rows=50, steps=6)
+    assert {r[load.GROUP]: r["loaded"] + r["rejected"] for r in ledger.collect()} == {g: 50 for g in range(21)}
+    rows = spark.read.parquet(f"{path}/groups").select(
+        load.GROUP, F.coalesce("id", "rejected_row.id").alias("id"), F.coalesce("seq", "rejected_row.seq").alias("seq")).collect()
+    assert sorted(r["id"] for r in rows) == list(range(1050))
+    by_group = [r["seq"] for r in sorted(rows, key=lambda r: (r[load.GROUP], r["seq"] is not None, r["seq"] or 0))]
+    assert by_group == sorted(by_group, key=lambda s: (s is not None, s or 0))
+    assert "Exchange" not in plan_text(ordered.parts_at(spark.range(9000).selectExpr("id v", "-id seq"), ["seq"], [5, 2000]))
