@@ -18,9 +18,8 @@ from pyspark.sql import types as T
 
 from delaystats.operators.ingest import REASON, classify, year_fanout
 from delaystats.operators.ordered import ordinal_within, parts_at
-from delaystats.operators.upsert import upsert
 from delaystats.schema import FANOUT_YEARS, LOAD_BATCH_ROWS, KeyedLayout
-from delaystats.sources.layout import write_partitioned
+from delaystats.sources.layout import in_steps, latest_dealt, write_partitioned
 
 STATUS = "load_status"
 LOADED, REJECTED = "loaded", "rejected"
@@ -79,15 +78,20 @@ def load_final(raw: DataFrame, path: str, staged: str, table: KeyedLayout, seq:
     """The final load path: convert (only ``arrdelay`` is typed), write every
     row once per year of ``years`` under the key of ``table``, last write wins.
 
-    The input is converted once, into ``staged``.  The year of a row is
-    overwritten, so the same rows win in every year: duplicates go before the
-    fan-out, not after it.  Counts are of written rows, one per year."""
-    counts = load_once(raw, staged, "final", partition_by=("month",))
+    The input is converted once, into ``staged``, by the tasks that read it.
+    The year of a row is overwritten, so the same rows win in every year:
+    duplicates go, and rows are dealt to the tasks that write them, before the
+    fan-out.  A big table is written in steps of whole months, one after the
+    other: it is complete when this returns.  Counts are of written rows, one
+    per year."""
+    counts = load_once(raw, staged, "final", partition_by=("month",), dealt=True)
     rows = read_loaded(raw.sparkSession, staged, schema)
-    latest = upsert(rows, [c for c in table.primary_key if c != "year"], seq)
-    write_partitioned(year_fanout(latest, years), path, partition_by=table.partition, cluster_by=table.clustering,
-                      mode="overwrite")
+    keyed = KeyedLayout(table.name, *[tuple(c for c in part if c != "year") for part in (table.partition, table.clustering)])
     times = years[1] - years[0] + 1
+    for i, step in enumerate(in_steps(rows, ["month"]) if "month" in keyed.primary_key else [rows]):
+        latest = latest_dealt(step, keyed, seq, times)
+        write_partitioned(year_fanout(latest, years), path, partition_by=table.partition, cluster_by=table.clustering,
+                          mode="append" if i else "overwrite", dealt=True)
     return {k: v * times for k, v in counts.items()}
 
 

@@ -27,6 +27,8 @@ from delaystats.session import scratch_path, write_settings
 TASK_ROWS = 500_000     # wide rows that one task sorts in memory
 SLICE = "_slice"
 PIECES = 64             # pieces of a partition in which its rows are counted
+STEPS = 8               # parts in which a big table is written, one after the other,
+STEP_ROWS = 4_000_000   # each of so many wide rows at least
 
 
 def _aqe_on(spark: SparkSession) -> bool:
@@ -92,16 +94,38 @@ def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] =
     return path
 
 
-def _deal(df: DataFrame, table: KeyedLayout) -> DataFrame | None:
+def in_steps(df: DataFrame, by: Sequence[str]) -> list[DataFrame]:
+    """``df`` cut into frames that share no value of ``by`` (bounded like
+    partition keys), about STEPS of a big table, none below STEP_ROWS rows but
+    the last.  Written one after the other, only one has shuffle files on disk.
+    ``df`` must give the same rows each time it is evaluated."""
+    place = F.hash(*by)
+    sizes = df.groupBy(place.alias("at")).count().orderBy("at").collect()
+    full = max(STEP_ROWS, -(-sum(r["count"] for r in sizes) // STEPS))
+    steps, rows = [[]], 0
+    for r in sizes:
+        if rows >= full:
+            steps.append([])
+            rows = 0
+        steps[-1].append(r["at"])
+        rows += r["count"]
+    if len(steps) == 1:
+        return [df]
+    return [*[df.where(place.isin(s)) for s in steps[:-1]], df.where(~place.isin([at for s in steps[:-1] for at in s]))]
+
+
+def _deal(df: DataFrame, table: KeyedLayout, times: int = 1) -> DataFrame | None:
     """``df`` dealt to tasks so that each has all rows of its primary keys and
     few partition keys: by the partition key and, where a partition has more
-    than TASK_ROWS rows, a slice of its clustering keys (``_slice``).
+    than TASK_ROWS rows, a slice of its clustering keys (``_slice``).  Tasks get
+    fewer rows if each is to be written so many ``times``.
 
     None where keys are written over and over: half of all rows or more are
     older ones, or one piece of a partition has far more than its share of the
     rows.  Rows are counted first, over the key columns alone.
     """
     spark = df.sparkSession
+    room = max(1, TASK_ROWS // times)
     digest = F.xxhash64(*table.clustering)
     pieces = df.groupBy(*table.partition, F.pmod(digest, F.lit(PIECES)).alias("_piece")).agg(
         F.count(F.lit(1)).alias("_rows"), F.approx_count_distinct(digest, 0.2).alias("_keys"))
@@ -114,17 +138,30 @@ def _deal(df: DataFrame, table: KeyedLayout) -> DataFrame | None:
     rows, keys, hot = parts.agg(F.sum("_rows"), F.sum("_keys"), F.max(hot)).first()
     if not rows or rows > 2 * keys or hot:
         return None
-    big = parts.where(F.col("_rows") > TASK_ROWS).select(
-        *[F.col(c).alias(f"_big_{c}") for c in table.partition], F.ceil(F.col("_rows") / TASK_ROWS).alias("_slices"))
+    big = parts.where(F.col("_rows") > room).select(
+        *[F.col(c).alias(f"_big_{c}") for c in table.partition], F.ceil(F.col("_rows") / room).alias("_slices"))
     same = [F.col(c).eqNullSafe(F.col(f"_big_{c}")) for c in table.partition]
-    # at most a row for every TASK_ROWS rows
+    # at most a row for every ``room`` rows
     told = df.join(F.broadcast(big), same, "left").withColumn(
         SLICE, F.pmod(digest, F.coalesce("_slices", F.lit(1)))).select(*df.columns, SLICE)
-    tasks = -(-2 * rows // TASK_ROWS)
+    tasks = -(-2 * rows // room)
     few = tasks <= int(spark.conf.get("spark.sql.shuffle.partitions"))
     return told.repartition(*([] if few else [tasks]), *table.partition, SLICE)
 
 
+def latest_dealt(df: DataFrame, table: KeyedLayout, seq: Sequence[str], times: int = 1) -> DataFrame:
+    """The latest row of each primary key, dealt to tasks by the partition key
+    and ready to be written, each row so many ``times``.  See ``write_keyed``."""
+    from delaystats.operators.upsert import upsert
+
+    aqe = _aqe_on(df.sparkSession)
+    dealt = _deal(df, table, times) if aqe and table.partition else None
+    if dealt is not None:
+        return upsert(dealt, [*table.primary_key, SLICE], seq).drop(SLICE)
+    latest = upsert(df, table.primary_key, seq)
+    return latest.hint("rebalance", *table.partition) if aqe else latest.repartitionByRange(*table.primary_key)
+
+
 def write_keyed(df: DataFrame, table: KeyedLayout, path: str, seq: Sequence[str],
                 mode: str = "overwrite", **options) -> str:
     """Write ``df`` as the keyed table ``table``: one row per primary key,

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from delaystats.operators import ingest, load, measures, ordered, topk, upsert
 from delaystats.plans.explain import plan_text
-from delaystats.schema import COLUMNS, KeyedLayout, all_string_schema
+from delaystats.schema import COLUMNS, LAYOUTS, KeyedLayout, all_string_schema
 from delaystats.sources import csv as csv_source
 from delaystats.sources import layout, skipping
 from test_ingest import GOOD, line, write
@@ -230,3 +230,44 @@ def test_groups_have_their_size_where_keys_repeat(spark, tmpdir_path, same):
     by_group = [r["seq"] for r in sorted(rows, key=lambda r: (r[load.GROUP], r["seq"] is not None, r["seq"] or 0))]
     assert by_group == sorted(by_group, key=lambda s: (s is not None, s or 0))
     assert "Exchange" not in plan_text(ordered.parts_at(spark.range(9000).selectExpr("id v", "-id seq"), ["seq"], [5, 2000]))
+
+
+FINAL_SCHEMA = T.StructType([T.StructField(c, T.IntegerType() if c in ("year", "arrdelay") else T.StringType())
+                             for c in COLUMNS] + [T.StructField("seq", T.LongType())])
+
+
+@pytest.mark.parametrize("flights", [40, 100_000])     # written over and over, or nearly once
+def test_final_load_in_steps(spark, tmpdir_path, monkeypatch, flights):
+    monkeypatch.setattr(layout, "STEP_ROWS", 300)
+    raw = raw_rows(spark, 2400).withColumns({
+        "month": F.expr("if(seq % 13 = 0, null, cast(seq % 13 as string))"), "flightnum": (F.col("seq") * 7 % flights).cast("string"),
+        "uniquecarrier": F.expr("if(seq % 5 = 0, 'WN', 'AA')"), "day": F.lit("1")})
+    path, staged = os.path.join(tmpdir_path, "f"), os.path.join(tmpdir_path, "s")
+    modes, plain = [], layout.write_partitioned
+
+    def seen(df, to, **options):
+        assert options["dealt"]
+        modes.append((to == path, options.get("mode")))
+        return plain(df, to, **options)
+    monkeypatch.setattr(load, "write_partitioned", seen)
+    counts = load.load_final(raw, path, staged, LAYOUTS["by_carrier_month"], ["seq"], FINAL_SCHEMA, (2007, 2009))
+    assert counts == {"loaded": 2160 * 3, "rejected": 240 * 3}
+    assert [m for final, m in modes if final][:2] == ["overwrite", "append"] and len(modes) > 4
+    want = {}
+    for r in raw.where("arrdelay != 'NA'").orderBy("seq").collect():
+        for year in (2007, 2008, 2009):
+            want[year, r["uniquecarrier"], r["month"], r["flightnum"], r["day"]] = (r["seq"], int(r["arrdelay"]), r["tailnum"])
+    got = layout.read_layout(spark, path, FINAL_SCHEMA).collect()
+    assert len(got) == len(want) and want == {
+        (r["year"], r["uniquecarrier"], r["month"], r["flightnum"], r["day"]): (r["seq"], r["arrdelay"], r["tailnum"]) for r in got}
+
+
+def test_steps_have_all_rows_once(spark, monkeypatch):
+    monkeypatch.setattr(layout, "STEP_ROWS", 100)
+    df = spark.range(1000).selectExpr("if(id % 7 = 0, null, cast(id % 7 as int)) a", "id % 3 b", "id")
+    steps = layout.in_steps(df, ["a", "b"])
+    assert 2 < len(steps) <= layout.STEPS
+    keys = [{(r["a"], r["b"]) for r in s.collect()} for s in steps]
+    assert sorted(r["id"] for s in steps for r in s.collect()) == list(range(1000))
+    assert sum(map(len, keys)) == len(set().union(*keys)) == 21
+    assert len(layout.in_steps(df.limit(90), ["a"])) == len(layout.in_steps(df.where("false"), ["a"])) == 1
