@@ -215,7 +215,7 @@ def test_writes_leave_no_shuffle_files(spark, tmpdir_path):
     rows = spark.range(100_000).selectExpr("cast(id % 3 as int) year", "1 month", "cast(id as string) k")
     before = shuffle_bytes(spark)
     layout.write_partitioned(rows, os.path.join(tmpdir_path, "w"), cluster_by=("k",))
-    assert shuffle_bytes(spark) - before < 50_000       # it wrote more than 400 000
+    assert shuffle_bytes(spark) - before < 50_000       # 753 781 when they stayed
 
 
 @pytest.mark.parametrize("same", [1, 7, 700])
@@ -271,3 +271,22 @@ def test_steps_have_all_rows_once(spark, monkeypatch):
     assert sorted(r["id"] for s in steps for r in s.collect()) == list(range(1000))
     assert sum(map(len, keys)) == len(set().union(*keys)) == 21
     assert len(layout.in_steps(df.limit(90), ["a"])) == len(layout.in_steps(df.where("false"), ["a"])) == 1
+
+
+@pytest.fixture
+def small_sf(spark, tmpdir_path):
+    rows = spark.range(4000).selectExpr(
+        "id % 900 l_orderkey", "id % 700 l_partkey", "id % 60 l_suppkey", "cast(1 + id % 7 as int) l_linenumber",
+        "cast(id % 50 as double) l_quantity", "cast(id as double) l_extendedprice", "if(id % 3 = 0, 'R', 'N') l_returnflag",
+        "if(id % 101 = 0, null, timestamp'1997-01-01 00:00:00' + make_dt_interval(cast(id % 400 as int))) l_shipdate")
+    rows.write.parquet(os.path.join(tmpdir_path, "lineitem.parquet"))
+    return tmpdir_path
+
+
+def test_load_counters_write_keeps_no_shuffle(spark, small_sf):
+    from delaystats.plans import catalog
+    before = shuffle_bytes(spark)
+    counts = catalog.load_counters_write(spark, small_sf).first()
+    assert shuffle_bytes(spark) - before < 100_000      # 1 894 810 when they stayed
+    bad = len([i for i in range(4000) if i % 7 == 6])
+    assert tuple(counts) == (5 * (4000 - bad), 5 * bad)
