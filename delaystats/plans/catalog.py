@@ -82,7 +82,8 @@ def bucketed_table(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         buckets = layout.bucket_count(spark, store_path(spark, sf_dir), BUCKETS)
         layout.write_bucketed(flight_store(spark, sf_dir), name, path, buckets,
                               bucket_by=("uniquecarrier", "flightnum"),
-                              sort_by=("uniquecarrier", "flightnum", "year", "month", "day"))
+                              sort_by=("uniquecarrier", "flightnum", "year", "month", "day"),
+                              steps_by=("year", "month"))
         return name, path
     return _once(spark, sf_dir, "bucketed", make)
 

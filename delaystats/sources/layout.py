@@ -94,11 +94,14 @@ def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] =
     return path
 
 
-def in_steps(df: DataFrame, by: Sequence[str]) -> list[DataFrame]:
+def in_steps(df: DataFrame, by: Sequence[str], at_most: int | None = None) -> list[DataFrame]:
     """``df`` cut into frames that share no value of ``by`` (bounded like
     partition keys), about STEPS of a big table, none below STEP_ROWS rows but
     the last.  Written one after the other, only one has shuffle files on disk.
-    ``df`` must give the same rows each time it is evaluated."""
+    ``df`` must give the same rows each time it is evaluated; rows are not
+    counted if it is known to have few ``at_most``."""
+    if at_most is not None and at_most <= STEP_ROWS:
+        return [df]
     place = F.hash(*by)
     sizes = df.groupBy(place.alias("at")).count().orderBy("at").collect()
     full = max(STEP_ROWS, -(-sum(r["count"] for r in sizes) // STEPS))
@@ -189,16 +192,20 @@ def write_keyed(df: DataFrame, table: KeyedLayout, path: str, seq: Sequence[str]
 
 def write_bucketed(df: DataFrame, table: str, path: str, buckets: int,
                    bucket_by: str | Sequence[str] = "uniquecarrier",
-                   sort_by: tuple[str, ...] = ("year", "month", "flightnum", "day")) -> str:
+                   sort_by: tuple[str, ...] = ("year", "month", "flightnum", "day"),
+                   steps_by: Sequence[str] = ()) -> str:
+    """Write ``df`` in hash buckets.  With ``steps_by``, the partition key by
+    which it is stored, a big table is written in steps (see ``in_steps``)."""
     keys = [bucket_by] if isinstance(bucket_by, str) else list(bucket_by)
-    # one exchange on the bucket key: a file per bucket, not tasks x buckets
-    with write_settings(df.sparkSession):
-        (df.repartition(buckets, *keys).write.mode("overwrite")
-         .bucketBy(buckets, keys)
-         .sortBy(*sort_by)
-         .option("path", path)
-         .format("parquet")
-         .saveAsTable(table))
+    # one exchange on the bucket key: a file per bucket and step, not tasks x buckets
+    for i, step in enumerate(in_steps(df, steps_by) if steps_by else [df]):
+        with write_settings(df.sparkSession):
+            (step.repartition(buckets, *keys).write.mode("append" if i else "overwrite")
+             .bucketBy(buckets, keys)
+             .sortBy(*sort_by)
+             .option("path", path)
+             .format("parquet")
+             .saveAsTable(table))
     return table
 
 

@@ -26,7 +26,7 @@ from delaystats.functions import parse_date
 from delaystats.operators.ingest import classify
 from delaystats.schema import CARRIERS, COLUMNS, v5_type
 from delaystats.session import scratch_path
-from delaystats.sources.layout import read_layout, write_partitioned
+from delaystats.sources.layout import in_steps, read_layout, write_partitioned
 
 # Load sequence: a total order over the rows (last write wins by it).
 SEQ = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
@@ -135,10 +135,13 @@ def source_key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 
 def build_store(spark: SparkSession, sf_dir: str, path: str | None = None) -> str:
-    """Load ``flights_raw`` into the keyed ``year/month`` layout; return its path."""
+    """Load ``flights_raw`` into the keyed ``year/month`` layout, a big one in
+    steps of whole months; return its path."""
     path = path or scratch_path(spark, "store")
-    typed = typed_flights(flights_raw(spark, sf_dir)).select(*STORE_SCHEMA.fieldNames())
-    write_partitioned(typed, path, mode="overwrite")
+    raw = flights_raw(spark, sf_dir)
+    typed = typed_flights(raw).select(*STORE_SCHEMA.fieldNames())
+    for i, step in enumerate(in_steps(typed, ("year", "month"), at_most=raw.count())):
+        write_partitioned(step, path, mode="append" if i else "overwrite")
     return path
 
 

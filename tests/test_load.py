@@ -290,3 +290,23 @@ def test_load_counters_write_keeps_no_shuffle(spark, small_sf):
     assert shuffle_bytes(spark) - before < 100_000      # 1 894 810 when they stayed
     bad = len([i for i in range(4000) if i % 7 == 6])
     assert tuple(counts) == (5 * (4000 - bad), 5 * bad)
+
+
+def test_store_and_buckets_are_written_in_steps(spark, small_sf, monkeypatch):
+    from delaystats.plans import catalog
+    from delaystats.sources import testdata
+    names = testdata.STORE_SCHEMA.fieldNames()
+    want = testdata.typed_flights(testdata.flights_raw(spark, small_sf)).select(names)
+    monkeypatch.setattr(layout, "STEP_ROWS", 500)
+    before = shuffle_bytes(spark)
+    stored = testdata.flight_store(spark, small_sf)
+    cut = catalog.bucketed(spark, small_sf)
+    assert shuffle_bytes(spark) - before < 100_000
+    path = catalog.bucketed_table(spark, small_sf)[1]
+    files = len(glob.glob(f"{path.removeprefix('file:')}/*.parquet"))
+    assert catalog.BUCKETS * 3 < files <= catalog.BUCKETS * layout.STEPS
+    rows = sorted(map(str, want.collect()))
+    assert rows == sorted(map(str, stored.select(names).collect())) == sorted(map(str, cut.select(names).collect()))
+    assert "Exchange" not in plan_text(catalog.bucketed_upsert_day(spark, small_sf))
+    got = catalog.bucketed_upsert_day(spark, small_sf).collect()
+    assert sorted(map(str, got)) == sorted(map(str, catalog.QUERIES["keyed_upsert_day"](spark, small_sf).collect()))
